@@ -86,3 +86,17 @@ def column_profile(df: DataFrame) -> DataFrame:
             )
         )
     return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+
+
+def column_coverage(df: DataFrame) -> DataFrame:
+    """Position and name of each column, and the rows that have a value in it."""
+    counts = df.agg(*[F.count(f"`{name}`").alias(f"n{i}") for i, name in enumerate(df.columns)])
+    entries = [
+        F.struct(
+            F.lit(i + 1).cast("bigint").alias("position"),
+            F.lit(name).alias("column_name"),
+            F.col(f"n{i}").alias("filled_rows"),
+        )
+        for i, name in enumerate(df.columns)
+    ]
+    return counts.select(F.inline(F.array(*entries)))
