@@ -1,46 +1,43 @@
-"""Column helpers for money, times and text; everything stays inside Spark's own expressions."""
+"""Money, times and text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_OFFSET = r":\d{1,2}(\.\d+)?\s*[+-]\d{1,2}(:?\d{2})?$"
-
-
-def guarded_ratio(amount: Column, quantity: Column) -> Column:
+def guarded_ratio(amount: str, quantity: str) -> str:
     """``amount / quantity``, NULL where the quantity is zero or missing."""
-    return amount / F.nullif(quantity, F.lit(0))
+    return f"({amount}) / nullif({quantity}, 0)"
 
 
-def exact_sum(amount: Column, scale: int = 10) -> Column:
+def exact_sum(amount: str, scale: int = 10) -> str:
     """Sum of a double that does not depend on row order or partitioning.
 
     The values are added as decimals of ``scale`` digits, so a re-run task gives the same total.
     """
-    return F.sum(amount.cast(T.DecimalType(28, scale))).cast("double")
+    return f"cast(sum(cast({amount} as decimal(28, {scale}))) as double)"
 
 
-def concat_present(*parts: Column) -> Column:
+def concat_present(*parts: str) -> str:
     """Concatenation that skips NULL parts; empty text when all are NULL."""
-    return F.concat_ws("", *parts)
+    return "concat_ws('', " + ", ".join(f"cast({part} as string)" for part in parts) + ")"
 
 
-def utc_instant(instant: Column) -> Column:
+def utc_instant(instant: str) -> str:
     """A zoned timestamp as zone-less UTC, whatever the session time zone is."""
-    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1000000)).cast("decimal(18,6)")
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    seconds = f"cast(cast(unix_micros({instant}) as decimal(20, 0)) / 1000000 as decimal(18, 6))"
+    return f"(timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
 
 
-def utc_timestamp(text: Column) -> Column:
+def utc_timestamp(text: str) -> str:
     """ISO text as zone-less UTC: an offset is applied, text without a zone is taken as UTC."""
-    shifted = utc_instant(text.cast("timestamp"))
-    return F.when(text.rlike(_OFFSET), shifted).otherwise(text.cast("timestamp_ntz"))
+    clock = f"substring({text}, 12)"
+    shifted = utc_instant(f"cast({text} as timestamp)")
+    return (
+        f"case when contains({clock}, '+') or contains({clock}, '-') then {shifted}"
+        f" else cast({text} as timestamp_ntz) end"
+    )
 
 
-def cast_text(text: Column, kind: str) -> Column:
+def cast_text(text: str, kind: str) -> str:
     """Feed text to a staged type. Unreadable text raises; it never turns into NULL.
 
     Whole-number columns round fractions half away from zero.
@@ -48,15 +45,15 @@ def cast_text(text: Column, kind: str) -> Column:
     if kind == "timestamp":
         return utc_timestamp(text)
     if kind == "bigint":
-        rounded = F.round(text.cast("decimal(38,10)")).cast("bigint")
-        return F.coalesce(text.try_cast("bigint"), rounded)
-    return text.cast(kind)
+        rounded = f"cast(round(cast({text} as decimal(38, 10))) as bigint)"
+        return f"coalesce(try_cast({text} as bigint), {rounded})"
+    return text if kind == "string" else f"cast({text} as {kind})"
 
 
-def month_end(day: Column) -> Column:
-    return F.last_day(day)
+def month_end(day: str) -> str:
+    return f"last_day({day})"
 
 
-def plus_month_less_day(day: Column) -> Column:
+def plus_month_less_day(day: str) -> str:
     """The last day of a one-month term that starts on ``day``; short months clip."""
-    return F.date_sub(F.add_months(day, 1), 1)
+    return f"date_sub(add_months({day}, 1), 1)"

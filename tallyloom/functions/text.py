@@ -6,8 +6,7 @@ the screening, so a malformed value costs no parser exception.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from tallyloom.functions.sql import literal
 
 # The accepted forms are date, date and time, and T-separated time with Z or an offset.
 _DATE = r"^\s*(\d{1,4}-\d{1,2}-\d{1,2})"
@@ -25,50 +24,56 @@ _PLAIN_DECIMAL = r"^-?\d+(\.\d+)?\z"
 _TYPE_LETTER = r"[0-9.][dDfF]\s*\z"
 
 
-def _if_present(text: Column, condition: Column) -> Column:
-    return F.when(text.isNotNull(), condition)
+def _if_present(text: str, condition: str) -> str:
+    return f"if({text} is null, null, {condition})"
 
 
-def is_date_time(text: Column) -> Column:
-    day = F.regexp_extract(text, _DATE, 1)
-    four_digit_year = F.lpad(day, F.length(day) + 5 - F.instr(day, "-"), F.lit("0"))
-    return _if_present(
-        text, text.rlike(_DATE_TIME) & four_digit_year.try_cast("date").isNotNull()
-    )
+def matches(text: str, pattern: str) -> str:
+    return f"({text} rlike {literal(pattern)})"
+
 
+def is_date_time(text: str) -> str:
+    day = f"regexp_extract({text}, {literal(_DATE)}, 1)"
+    four_digit_year = f"lpad({day}, length({day}) + 5 - instr({day}, '-'), '0')"
+    readable = f"try_cast({four_digit_year} as date) is not null"
+    return _if_present(text, f"{matches(text, _DATE_TIME)} and {readable}")
 
-def is_key_value(text: Column) -> Column:
-    return text.rlike(_KEY_VALUE)
 
+def is_key_value(text: str) -> str:
+    return matches(text, _KEY_VALUE)
 
-def is_json(text: Column) -> Column:
+
+def is_json(text: str) -> str:
     """Whole text is one JSON value.
 
     Spark's parser stops after the first value and ignores what follows. Text that still parses both
     as an array element and as an object member has nothing after its first value.
     """
-    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    as_member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return _if_present(text, as_element.isNotNull() & as_member.isNotNull())
+    as_element = f"try_parse_json('[' || {text} || ']') is not null"
+    as_member = f"try_parse_json('{{\"v\":' || {text} || '}}') is not null"
+    return _if_present(text, f"{as_element} and {as_member}")
 
 
-def _is_number(text: Column) -> Column:
-    return _if_present(text, text.try_cast("double").isNotNull() & ~text.rlike(_TYPE_LETTER))
+def _is_number(text: str) -> str:
+    return _if_present(
+        text, f"try_cast({text} as double) is not null and not {matches(text, _TYPE_LETTER)}"
+    )
 
 
-def is_decimal(text: Column) -> Column:
-    return _is_number(text) | text.rlike(_PLAIN_DECIMAL)
+def is_decimal(text: str) -> str:
+    return f"({_is_number(text)} or {matches(text, _PLAIN_DECIMAL)})"
 
 
-def is_castable(text: Column, kind: str) -> Column:
+def is_castable(text: str, kind: str) -> str:
     """Whether ``cast_text(text, kind)`` would succeed."""
     if kind == "double":
         return _is_number(text)
     if kind == "bigint":
-        rounded = F.round(text.try_cast("decimal(38,10)"))
-        fits = text.try_cast("bigint").isNotNull() | rounded.try_cast("bigint").isNotNull()
+        rounded = f"try_cast(round(try_cast({text} as decimal(38, 10))) as bigint)"
+        fits = f"coalesce(try_cast({text} as bigint), {rounded}) is not null"
     elif kind == "string":
-        fits = F.lit(True)
+        fits = "true"
     else:
-        fits = text.try_cast("timestamp_ntz" if kind == "timestamp" else kind).isNotNull()
+        target = "timestamp_ntz" if kind == "timestamp" else kind
+        fits = f"try_cast({text} as {target}) is not null"
     return _if_present(text, fits)

@@ -6,11 +6,11 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tallyloom.functions import literal, quoted
 from tallyloom.model import column_list, dataset_schema
-from tallyloom.operators.mapping import Constant, Mapped, apply_mapping, rule_column
+from tallyloom.operators.mapping import Constant, Rules, apply_mapping, rule_sql, typed
 from tallyloom.operators.staging import LOADED_AT
 
 DATASET = "CostAndUsage"
@@ -25,8 +25,8 @@ class Branch:
     """One staged frame and the rules that turn its rows into cost-and-usage rows."""
 
     staged: DataFrame
-    rules: Mapped
-    extras: Mapped = field(default_factory=dict)
+    rules: Rules
+    extras: Rules = field(default_factory=dict)
 
     def frame(self, extras: Iterable[str] = ()) -> DataFrame:
         """Canonical columns, load time, then the named extras (NULL where this branch has none)."""
@@ -44,8 +44,24 @@ class MappedFeed:
     def frame(self) -> DataFrame:
         """The provider's rows with its extra columns; nothing is removed."""
         extras = list(dict.fromkeys(name for branch in self.branches for name in branch.extras))
+        return reduce(DataFrame.unionByName, [branch.frame(extras) for branch in self.branches])
+
+    def columns(self, names: Iterable[str]) -> DataFrame:
+        """Some canonical columns and the load time; the others are not even planned."""
+        schema = dataset_schema(DATASET)
         return reduce(
-            DataFrame.unionByName, [branch.frame(extras) for branch in self.branches]
+            DataFrame.unionByName,
+            [
+                branch.staged.selectExpr(
+                    *[
+                        f"{typed(rule_sql(branch.rules.get(name, Constant(None))), schema[name].dataType)}"
+                        f" as {name}"
+                        for name in names
+                    ],
+                    LOADED_AT,
+                )
+                for branch in self.branches
+            ],
         )
 
     def latest(self, key: Sequence[str] = CHARGE_KEY) -> DataFrame:
@@ -54,51 +70,28 @@ class MappedFeed:
         Most canonical columns are constants or repeat another column. Only the ones that differ go
         through the shuffle; the others are put back afterwards.
         """
-        schema = dataset_schema(DATASET)
-        constants: dict[str, Column] = {}
+        constants: dict[str, str] = {}
         carried: dict[str, str] = {}
         first_with: dict[tuple, str] = {}
-        for target in schema:
+        for target in dataset_schema(DATASET):
             rules = tuple(branch.rules.get(target.name, Constant(None)) for branch in self.branches)
+            kind = target.dataType.simpleString()
             if isinstance(rules[0], Constant) and all(rule == rules[0] for rule in rules):
-                constants[target.name] = rule_column(rules[0]).cast(target.dataType)
-                continue
-            signature = (target.dataType.simpleString(), *map(_identity, rules))
-            carried[target.name] = first_with.setdefault(signature, target.name)
+                constants[target.name] = typed(rule_sql(rules[0]), target.dataType)
+            else:
+                carried[target.name] = first_with.setdefault((kind, *rules), target.name)
         distinct = list(dict.fromkeys(carried.values()))
-        narrow = reduce(
-            DataFrame.unionByName,
-            [
-                branch.staged.select(
-                    *[
-                        rule_column(branch.rules.get(name, Constant(None)))
-                        .cast(schema[name].dataType)
-                        .alias(name)
-                        for name in distinct
-                    ],
-                    F.col(LOADED_AT),
-                )
-                for branch in self.branches
-            ],
-        )
         newest = dedup_latest(
-            narrow,
+            self.columns(distinct),
             key=list(dict.fromkeys(carried[name] for name in key if name in carried)),
             tie_break=distinct,
         )
-        return newest.select(
-            *[
-                (constants[name] if name in constants else F.col(carried[name])).alias(name)
-                for name in schema.fieldNames()
-            ],
-            F.col(LOADED_AT),
+        return newest.selectExpr(
+            *[f"{constants.get(name) or carried[name]} as {name}" for name in column_list(DATASET)],
+            LOADED_AT,
         )
 
 
-def _identity(rule: object) -> object:
-    return id(rule) if isinstance(rule, Column) else rule
-
-
 def dedup_latest(
     df: DataFrame,
     key: Sequence[str] = (PROVIDER, *CHARGE_KEY),
@@ -110,23 +103,26 @@ def dedup_latest(
     Rows that tie are ranked by ``tie_break`` (default: every other column), so a re-run keeps the
     same row. Spark keeps one row per key on the map side too, so a hot key is cut before the shuffle.
     """
-    rest = [name for name in df.columns if name not in key and name != order]
-    ranking = [F.col(order).desc_nulls_last()] + [
-        F.col(name).asc_nulls_last() for name in (rest if tie_break is None else tie_break)
+    ties = df.columns if tie_break is None else tie_break
+    ranking = [f"{quoted(order)} desc nulls last"] + [
+        f"{quoted(name)} asc nulls last" for name in ties if name not in key and name != order
     ]
-    window = Window.partitionBy(*(key or [F.lit(1)])).orderBy(*ranking)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    partition = ", ".join(quoted(name) for name in key) or "1"
+    rank = f"row_number() over (partition by {partition} order by {', '.join(ranking)}) as _rank"
+    return df.selectExpr("*", rank).where("_rank = 1").drop("_rank")
 
 
 def dedup_report(
     df: DataFrame, key: Sequence[str] = (PROVIDER, *CHARGE_KEY), by: str = PROVIDER
 ) -> DataFrame:
     """Rows per provider before and after keeping one row per key, and how many go away."""
-    per_key = df.groupBy(*dict.fromkeys([by, *key])).agg(F.count("*").alias("n"))
-    return per_key.groupBy(by).agg(
-        F.sum("n").alias("rows"),
-        F.count("*").alias("kept"),
-        (F.sum("n") - F.count("*")).alias("dropped"),
+    per_key = df.groupBy(*dict.fromkeys([by, *key])).count()
+    totals = per_key.groupBy(by).agg({"count": "sum", "*": "count"})
+    return totals.selectExpr(
+        by,
+        "`sum(count)` as rows",
+        "`count(1)` as kept",
+        "`sum(count)` - `count(1)` as dropped",
     )
 
 
@@ -152,10 +148,14 @@ def canonical_all(
     )
 
 
-def canonical_union(feeds: Iterable[MappedFeed]) -> DataFrame:
-    """Cost and usage of all feeds with duplicates left in."""
-    return reduce(DataFrame.unionByName, [canonical_one(feed) for feed in feeds])
+def duplicates(feeds: Iterable[MappedFeed], key: Sequence[str] = CHARGE_KEY) -> DataFrame:
+    """What ``canonical_all`` removes, per provider; only the key columns are mapped."""
+    keyed = [
+        feed.columns(key).selectExpr("*", f"{literal(feed.provider)} as {PROVIDER}")
+        for feed in feeds
+    ]
+    return dedup_report(reduce(DataFrame.unionByName, keyed), (PROVIDER, *key))
 
 
 def _tagged(df: DataFrame, provider: str) -> DataFrame:
-    return df.select(*column_list(DATASET), LOADED_AT, F.lit(provider).alias(PROVIDER))
+    return df.selectExpr(*column_list(DATASET), LOADED_AT, f"{literal(provider)} as {PROVIDER}")

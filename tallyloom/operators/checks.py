@@ -6,15 +6,23 @@ type cannot break them, a column of the wrong type breaks them wherever it has a
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyloom.functions import is_castable, is_date_time, is_decimal, is_json, is_key_value
+from tallyloom.functions import (
+    is_castable,
+    is_date_time,
+    is_decimal,
+    is_json,
+    is_key_value,
+    listed,
+    literal,
+    quoted,
+)
+from tallyloom.functions.text import matches
 
 
 @dataclass(frozen=True)
@@ -28,7 +36,7 @@ class Check:
     params: dict = field(default_factory=dict, hash=False)
 
     def __post_init__(self) -> None:
-        if self.kind not in CONDITIONS and self.kind != "distinct_count":
+        if self.kind not in CONDITIONS and not self.is_aggregate:
             raise ValueError(f"unknown check {self.kind!r}")
 
     @property
@@ -44,7 +52,7 @@ class Check:
         others = [self.params[key] for key in ("other", "factor", "result") if key in self.params]
         return [self.column, *others]
 
-    def broken(self, schema: T.StructType) -> Column | None:
+    def broken(self, schema: T.StructType) -> str | None:
         """Where a row breaks the check; None when the schema alone shows that no row can."""
         return CONDITIONS[self.kind](_Subject(self, schema))
 
@@ -53,68 +61,71 @@ class _Subject:
     """The column under check, with its type at hand."""
 
     def __init__(self, check: Check, schema: T.StructType) -> None:
-        self.check = check
-        self.schema = schema
-        self.value = F.col(f"`{check.column}`")
+        self.params = check.params
+        self.value = quoted(check.column)
         self.type = schema[check.column].dataType
 
     @property
-    def text(self) -> Column:
-        return self.value if isinstance(self.type, T.StringType) else self.value.cast("string")
+    def text(self) -> str:
+        is_text = isinstance(self.type, T.StringType)
+        return self.value if is_text else f"cast({self.value} as string)"
 
-    def param(self, name: str) -> object:
-        return self.check.params[name]
+    @property
+    def number(self) -> str:
+        return f"cast({self.value} as double)"
+
+    def param(self, name: str) -> str:
+        return literal(self.params[name])
 
-    def column(self, name: str) -> Column:
-        return F.col(f"`{self.param(name)}`")
+    def other(self, name: str, kind: str) -> str:
+        return f"cast({quoted(self.params[name])} as {kind})"
 
-    def type_within(self, *family: type) -> Column | None:
-        return None if isinstance(self.type, family) else self.value.isNotNull()
+    def type_within(self, *family: type) -> str | None:
+        return None if isinstance(self.type, family) else f"{self.value} is not null"
 
 
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
-def _date_time_format(s: _Subject) -> Column | None:
+def _date_time_format(s: _Subject) -> str | None:
     """The text form has whole seconds; a typed value can only fail on a fraction."""
     if isinstance(s.type, T.DateType):
         return None
     if isinstance(s.type, (T.TimestampType, T.TimestampNTZType)):
-        return s.value != F.date_trunc("second", s.value)
-    return ~is_date_time(s.text)
+        return f"{s.value} != date_trunc('second', {s.value})"
+    return f"not {is_date_time(s.text)}"
 
 
-def _json_format(s: _Subject) -> Column | None:
+def _json_format(s: _Subject) -> str | None:
     if isinstance(s.type, (T.StructType, T.VariantType, T.ArrayType, T.MapType)):
         return None
-    return ~is_json(s.text)
+    return f"not {is_json(s.text)}"
 
 
-def _multiplied(s: _Subject) -> Column:
-    product = s.value.cast("double") * s.column("factor").cast("double")
-    return F.abs(product - s.column("result").cast("double")) > F.lit(s.param("tolerance"))
+def _multiplied(s: _Subject) -> str:
+    difference = f"{s.number} * {s.other('factor', 'double')} - {s.other('result', 'double')}"
+    return f"abs({difference}) > {s.param('tolerance')}"
 
 
-# The comparators, each with what must hold between the two columns.
-_COMPARATORS: dict[str, Callable[[Column, Column], Column]] = {
-    ">": operator.gt,
-    "<": operator.lt,
-    ">=": operator.ge,
-    "<=": operator.le,
-    "==": operator.eq,
-    "!=": operator.ne,
-}
+def _outside(s: _Subject) -> str:
+    return f"{s.value} not in ({listed(s.params['values'])})"
+
+
+# The comparators.
+_COMPARATORS = (">", "<", ">=", "<=", "==", "!=")
 
 
-def _compared(s: _Subject) -> Column:
+def _compared(s: _Subject) -> str:
     """The comparator does not hold. ``legacy`` reports rows where ``==`` or ``!=`` does hold."""
-    comparator = str(s.param("comparator"))
+    comparator = s.params["comparator"]
+    if comparator not in _COMPARATORS:
+        raise ValueError(f"unknown comparator {comparator!r}")
     kind = "string" if comparator in ("==", "!=") else "double"
-    holds = _COMPARATORS[comparator](s.value.cast(kind), s.column("other").cast(kind))
-    return holds if kind == "string" and s.check.params.get("legacy") else ~holds
+    holds = f"(cast({s.value} as {kind}) {comparator} {s.other('other', kind)})"
+    return holds if kind == "string" and s.params.get("legacy") else f"not {holds}"
 
 
-CONDITIONS: dict[str, Callable[[_Subject], Column | None]] = {
+CONDITIONS: dict[str, Callable[[_Subject], str | None]] = {
     "type_string": lambda s: s.type_within(T.StringType),
     "type_decimal": lambda s: s.type_within(T.NumericType),
     "type_datetime": lambda s: s.type_within(*_TIMES),
@@ -124,22 +135,22 @@ CONDITIONS: dict[str, Callable[[_Subject], Column | None]] = {
     "format_datetime": _date_time_format,
     "format_currency": lambda s: s.type_within(T.StringType),
     "format_unit": lambda s: s.type_within(T.StringType),
-    "format_key_value": lambda s: ~is_key_value(s.text),
+    "format_key_value": lambda s: f"not {is_key_value(s.text)}",
     "format_json": _json_format,
-    "regex_match": lambda s: ~s.text.rlike(str(s.param("pattern"))),
-    "national_currency": lambda s: ~s.value.isin(*s.param("values")),
-    "accepted_values": lambda s: ~s.value.isin(*s.param("values")),
-    "greater_or_equal": lambda s: s.value.cast("double") < F.lit(s.param("threshold")),
-    "less_or_equal": lambda s: s.value.cast("double") > F.lit(s.param("threshold")),
+    "regex_match": lambda s: f"not {matches(s.text, s.params['pattern'])}",
+    "national_currency": _outside,
+    "accepted_values": _outside,
+    "greater_or_equal": lambda s: f"{s.number} < {s.param('threshold')}",
+    "less_or_equal": lambda s: f"{s.number} > {s.param('threshold')}",
     "decimal_value": lambda s: (
-        None if isinstance(s.type, T.NumericType) else ~is_decimal(s.text)
+        None if isinstance(s.type, T.NumericType) else f"not {is_decimal(s.text)}"
     ),
-    "castable": lambda s: ~is_castable(s.text, str(s.param("to"))),
-    "column_equality": lambda s: s.value.cast("string") != s.column("other").cast("string"),
+    "castable": lambda s: f"not {is_castable(s.text, s.params['to'])}",
+    "column_equality": lambda s: f"cast({s.value} as string) != {s.other('other', 'string')}",
     "multiplication_equals": _multiplied,
-    "string_ends_with": lambda s: ~s.text.endswith(str(s.param("value"))),
+    "string_ends_with": lambda s: f"not endswith({s.text}, {s.param('value')})",
     "column_comparison": _compared,
-    "not_null": lambda s: s.value.isNull(),
+    "not_null": lambda s: f"{s.value} is null",
 }
 
 
@@ -147,14 +158,14 @@ def violations(df: DataFrame, check: Check, keep: tuple[str, ...] = ()) -> DataF
     """The rows that break the check: the columns it reads, after the columns to ``keep``."""
     if check.is_aggregate:
         return distinct_count(df, check)
-    shown = [f"`{name}`" for name in dict.fromkeys([*keep, *check.columns()])]
-    broken = check.broken(df.schema)
-    return df.where(F.lit(False) if broken is None else broken).select(*shown)
+    shown = [quoted(name) for name in dict.fromkeys([*keep, *check.columns()])]
+    return df.where(check.broken(df.schema) or "false").selectExpr(*shown)
 
 
 def distinct_count(df: DataFrame, check: Check) -> DataFrame:
     """One row when ``other``, over rows with a value in ``column``, has not ``expected`` values."""
-    counted = df.where(F.col(f"`{check.column}`").isNotNull()).agg(
-        F.count_distinct(F.col(f"`{check.params['other']}`")).alias("distinct_count")
+    other, expected = quoted(check.params["other"]), literal(check.params["expected"])
+    counted = df.where(f"{quoted(check.column)} is not null").selectExpr(
+        f"count(distinct {other}) as distinct_count"
     )
-    return counted.where(F.col("distinct_count") != F.lit(check.params["expected"]))
+    return counted.where(f"distinct_count != {expected}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions import literal, quoted, records
 from tallyloom.model import Manifest
 
 
@@ -31,16 +32,17 @@ def schema_failures(df: DataFrame, manifest: Manifest) -> DataFrame:
         return df.sparkSession.createDataFrame(
             [], "column_name string, failure_reason string, rows_with_value bigint"
         )
-    counts = df.agg(*[F.count(f"`{name}`").alias(f"n{i}") for i, name in enumerate(found)])
-    entries = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(failure_reason(name)).alias("failure_reason"),
-            F.col(f"n{i}").alias("rows_with_value"),
+    counts = df.selectExpr(*[f"count({quoted(name)}) as n{i}" for i, name in enumerate(found)])
+    return counts.selectExpr(
+        records(
+            {
+                "column_name": literal(name),
+                "failure_reason": literal(failure_reason(name)),
+                "rows_with_value": f"n{i}",
+            }
+            for i, name in enumerate(found)
         )
-        for i, name in enumerate(found)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+    )
 
 
 def manifest_frame(spark: SparkSession, manifest: Manifest) -> DataFrame:
@@ -50,7 +52,7 @@ def manifest_frame(spark: SparkSession, manifest: Manifest) -> DataFrame:
 
 def payload_key_drift(df: DataFrame, payload: str, manifest: Manifest) -> DataFrame:
     """Top-level keys of a JSON column that the manifest does not know, with the rows that have them."""
-    keys = df.select(F.explode(F.array_distinct(F.json_object_keys(payload))).alias("key"))
+    keys = df.selectExpr(f"explode(array_distinct(json_object_keys({quoted(payload)}))) as key")
     known = F.broadcast(manifest_frame(df.sparkSession, manifest))
     return (
         keys.join(known, "key", "left_anti").groupBy("key").agg(F.count("*").alias("rows_with_key"))

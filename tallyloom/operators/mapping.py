@@ -5,24 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyloom.functions import concat_present, utc_timestamp
+from tallyloom.functions import concat_present, literal, quoted, utc_timestamp
 from tallyloom.model import column_list, dataset_schema
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 @dataclass(frozen=True)
 class Rename:
     source: str
 
-    def column(self) -> Column:
-        return _quoted(self.source)
+    def sql(self) -> str:
+        return quoted(self.source)
 
 
 @dataclass(frozen=True)
@@ -30,28 +25,29 @@ class Cast:
     source: str
     kind: str
 
-    def column(self) -> Column:
-        return _quoted(self.source).cast(self.kind)
+    def sql(self) -> str:
+        return f"cast({quoted(self.source)} as {self.kind})"
 
 
 @dataclass(frozen=True)
 class Coalesce:
-    """The source column, or a default: a plain value, or another column given as a rule."""
+    """The source column, or a default: a plain value, or another rule."""
 
     source: str
     default: object
 
-    def column(self) -> Column:
-        fallback = rule_column(self.default) if is_rule(self.default) else F.lit(self.default)
-        return F.coalesce(_quoted(self.source), fallback)
+    def sql(self) -> str:
+        default = self.default
+        fallback = default.sql() if isinstance(default, Rule) else literal(default)
+        return f"coalesce({quoted(self.source)}, {fallback})"
 
 
 @dataclass(frozen=True)
 class Expression:
-    sql: str
+    text: str
 
-    def column(self) -> Column:
-        return F.expr(self.sql)
+    def sql(self) -> str:
+        return self.text
 
 
 @dataclass(frozen=True)
@@ -59,42 +55,41 @@ class Constant:
     value: object
     kind: str = "string"
 
-    def column(self) -> Column:
-        return F.lit(self.value).cast(self.kind)
+    def sql(self) -> str:
+        return f"cast({literal(self.value)} as {self.kind})"
 
 
 @dataclass(frozen=True)
 class Concat:
-    """Text parts joined without a separator; NULL parts are skipped."""
+    """Text parts, each an expression, joined without a separator; NULL parts are skipped."""
 
     parts: tuple[str, ...]
 
-    def column(self) -> Column:
-        return concat_present(*[F.expr(part).cast("string") for part in self.parts])
+    def sql(self) -> str:
+        return concat_present(*self.parts)
 
 
 Rule = Rename | Cast | Coalesce | Expression | Constant | Concat
-Mapped = Mapping[str, "Rule | Column | str"]
+
+# target column -> rule; a bare name is a rename
+Rules = Mapping[str, Rule | str]
 
 
-def is_rule(value: object) -> bool:
-    return isinstance(value, Rule)
+def rule_sql(rule: Rule | str) -> str:
+    return quoted(rule) if isinstance(rule, str) else rule.sql()
 
 
-def rule_column(rule: Rule | Column | str) -> Column:
-    """A rule as a column; a bare name is a rename, a column is used as it is."""
-    if isinstance(rule, str):
-        return Rename(rule).column()
-    return rule.column() if is_rule(rule) else rule
+def _named(sql: str, target: str) -> str:
+    return f"{sql} as {quoted(target)}"
 
 
-def rename_map(df: DataFrame, rules: Mapped) -> DataFrame:
+def rename_map(df: DataFrame, rules: Rules) -> DataFrame:
     """Only the listed targets, in the listed order."""
-    return df.select([rule_column(rule).alias(target) for target, rule in rules.items()])
+    return df.selectExpr(*[_named(rule_sql(rule), target) for target, rule in rules.items()])
 
 
 def apply_mapping(
-    df: DataFrame, rules: Mapped, dataset: str, extras: Mapped | None = None
+    df: DataFrame, rules: Rules, dataset: str, extras: Rules | None = None
 ) -> DataFrame:
     """Every column of ``dataset`` in order and in its declared type, then ``extras``.
 
@@ -105,18 +100,20 @@ def apply_mapping(
     if unknown:
         raise ValueError(f"{dataset} has no column {sorted(unknown)}")
     columns = [
-        (rule_column(rules[field.name]) if field.name in rules else F.lit(None))
-        .cast(field.dataType)
-        .alias(field.name)
+        _named(typed(rule_sql(rules.get(field.name, Constant(None))), field.dataType), field.name)
         for field in schema
     ]
-    columns += [rule_column(rule).alias(target) for target, rule in (extras or {}).items()]
-    return df.select(columns)
+    columns += [_named(rule_sql(rule), target) for target, rule in (extras or {}).items()]
+    return df.selectExpr(*columns)
+
+
+def typed(sql: str, kind: T.DataType) -> str:
+    return f"cast({sql} as {kind.simpleString()})"
 
 
 def select_canonical(df: DataFrame, dataset: str, keep: Iterable[str] = ()) -> DataFrame:
     """The columns of ``dataset`` in order, as they are."""
-    return df.select([_quoted(name) for name in [*column_list(dataset), *keep]])
+    return df.selectExpr(*[quoted(name) for name in [*column_list(dataset), *keep]])
 
 
 def conform(df: DataFrame, dataset: str, keep: Iterable[str] = ()) -> DataFrame:
@@ -124,9 +121,8 @@ def conform(df: DataFrame, dataset: str, keep: Iterable[str] = ()) -> DataFrame:
     present = dict(df.dtypes)
     columns = []
     for field in dataset_schema(dataset):
-        column = _quoted(field.name) if field.name in present else F.lit(None)
+        sql = quoted(field.name) if field.name in present else "null"
         if present.get(field.name) == "string" and isinstance(field.dataType, T.TimestampNTZType):
-            column = utc_timestamp(column)
-        columns.append(column.cast(field.dataType).alias(field.name))
-    return df.select(*columns, *[_quoted(name) for name in keep])
-
+            sql = utc_timestamp(sql)
+        columns.append(_named(typed(sql, field.dataType), field.name))
+    return df.selectExpr(*columns, *[quoted(name) for name in keep])

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from tallyloom.functions import literal, records
 from tallyloom.operators.checks import Check, distinct_count
 
 FAILED = "_failed"
@@ -38,50 +39,44 @@ def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     Checks that the schema already decides cost nothing. Each distinct count is an aggregation of
     its own, because several in one would multiply the rows.
     """
-    row_checks = [(i, check) for i, check in enumerate(checks) if not check.is_aggregate]
-    counted: dict[int, Column] = {}
-    for position, check in row_checks:
-        broken = check.broken(df.schema)
-        if broken is not None:
-            counted[position] = F.count_if(broken).alias(f"n{position}")
-    parts = []
-    if row_checks:
-        entries = F.array(
-            *[
-                _entry(check, F.col(f"n{position}") if position in counted else F.lit(0))
-                for position, check in row_checks
-            ]
-        )
-        totals = df.agg(F.count("*").alias("rows"), *counted.values())
-        parts.append(totals.select(F.inline(entries)))
+    schema = df.schema
+    counts, rows = ["count(*) as total"], []
+    for i, check in enumerate(checks):
+        if not check.is_aggregate:
+            broken = check.broken(schema)
+            if broken is not None:
+                counts.append(f"count_if({broken}) as n{i}")
+            rows.append(_entry(check, "0L" if broken is None else f"n{i}"))
+    parts = [df.selectExpr(*counts).selectExpr(records(rows))] if rows else []
     for check in checks:
         if check.is_aggregate:
-            found = distinct_count(df, check).agg(F.count("*").alias("n"))
-            parts.append(found.select(F.inline(F.array(_entry(check, F.col("n"))))))
+            found = distinct_count(df, check).selectExpr("count(*) as n")
+            parts.append(found.selectExpr(records([_entry(check, "n")])))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _entry(check: Check, found: Column) -> Column:
-    found = found.cast("bigint")
-    return F.struct(
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"),
-        F.lit(check.severity).alias("severity"),
-        F.lit(",".join(check.tags)).alias("tags"),
-        found.alias("violations"),
-        F.when(found == 0, F.lit("pass")).otherwise(F.lit(check.severity)).alias("status"),
-    )
+def _entry(check: Check, found: str) -> dict[str, str]:
+    return {
+        "column_name": literal(check.column),
+        "check_name": literal(check.kind),
+        "severity": literal(check.severity),
+        "tags": literal(",".join(check.tags)),
+        "violations": found,
+        "status": f"if({found} = 0, 'pass', {literal(check.severity)})",
+    }
 
 
 def with_failures(df: DataFrame, checks: Iterable[Check], severity: str = "error") -> DataFrame:
     """Adds the names of the checks each row breaks, counting checks of one severity."""
+    schema = df.schema
     marks = []
     for check in checks:
-        broken = None if check.is_aggregate else check.broken(df.schema)
-        if broken is not None and check.severity == severity:
-            marks.append(F.when(broken, F.lit(check.name)))
-    failed = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
-    return df.withColumn(FAILED, failed)
+        if check.severity == severity and not check.is_aggregate:
+            broken = check.broken(schema)
+            if broken is not None:
+                marks.append(f"if({broken}, {literal(check.name)}, null)")
+    failed = f"array_compact(array({', '.join(marks)}))" if marks else "cast(array() as array<string>)"
+    return df.selectExpr("*", f"{failed} as {FAILED}")
 
 
 def quarantine(
@@ -89,17 +84,20 @@ def quarantine(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that may go on, and rows held back together with the checks they break."""
     marked = with_failures(df, checks, severity)
-    return marked.where(F.size(FAILED) == 0).drop(FAILED), marked.where(F.size(FAILED) > 0)
+    return marked.where(f"size({FAILED}) = 0").drop(FAILED), marked.where(f"size({FAILED}) > 0")
 
 
 def write_quarantine(
     df: DataFrame, checks: Iterable[Check], path: str, severity: str = "error"
 ) -> None:
-    """Both sides of the split in one pass, as the two partitions of one table."""
-    marked = with_failures(df, checks, severity)
-    (
-        marked.withColumn(QUARANTINED, F.size(FAILED) > 0)
-        .write.partitionBy(QUARANTINED)
-        .mode("errorifexists")
-        .parquet(path)
-    )
+    """Both sides of the split in one pass over the rows, as the two partitions of one table."""
+    marked = with_failures(df, checks, severity).selectExpr("*", f"size({FAILED}) > 0 as {QUARANTINED}")
+    marked.write.partitionBy(QUARANTINED).mode("errorifexists").parquet(path)
+
+
+def read_quarantine(
+    spark: SparkSession, path: str, held: bool, schema: T.StructType | None = None
+) -> DataFrame:
+    """One side of a written split; the other side's files are not opened."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).where(f"{QUARANTINED} = {literal(held)}").drop(QUARANTINED)

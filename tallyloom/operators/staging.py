@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tallyloom.functions import cast_text, is_castable, utc_instant
+from tallyloom.functions import cast_text, is_castable, literal, quoted, records, utc_instant
 
 LOADED_AT = "_loaded_at"
 
@@ -21,33 +20,24 @@ def staging_spec(table: str) -> dict[str, tuple[str, str]]:
     return {target: (source, kind) for target, source, kind in rows}
 
 
-def _source(df: DataFrame, name: str) -> Column:
-    return df["`" + name + "`"]
-
-
-def load_time(df: DataFrame, loaded_at: Column | None = None) -> Column:
+def load_time(df: DataFrame, loaded_at: str | None = None) -> str:
     """The load time of a staged row: given, carried by the feed, or the time of the query."""
     if loaded_at is not None:
         return loaded_at
-    if LOADED_AT in df.columns:
-        return F.col(LOADED_AT)
-    return utc_instant(F.current_timestamp())
+    return LOADED_AT if LOADED_AT in df.columns else utc_instant("current_timestamp()")
 
 
-def stage(df: DataFrame, spec: StagingSpec, loaded_at: Column | None = None) -> DataFrame:
+def stage(df: DataFrame, spec: StagingSpec, loaded_at: str | None = None) -> DataFrame:
     """The spec's columns in order, cast, and the load time. Source columns not listed are dropped."""
     kinds = dict(df.dtypes)
     columns = []
     for target, (source, kind) in spec.items():
-        column = _source(df, source)
-        is_text = kinds.get(source) == "string"
-        converted = cast_text(column, kind) if is_text else column.cast(_plain_kind(kind))
-        columns.append(converted.alias(target))
-    return df.select(*columns, load_time(df, loaded_at).alias(LOADED_AT))
-
-
-def _plain_kind(kind: str) -> str:
-    return "timestamp_ntz" if kind == "timestamp" else kind
+        if kinds.get(source, "string") == "string":
+            sql = cast_text(quoted(source), kind)
+        else:
+            sql = f"cast({quoted(source)} as {'timestamp_ntz' if kind == 'timestamp' else kind})"
+        columns.append(f"{sql} as {quoted(target)}")
+    return df.selectExpr(*columns, f"{load_time(df, loaded_at)} as {LOADED_AT}")
 
 
 def castability(df: DataFrame, spec: StagingSpec) -> DataFrame:
@@ -56,20 +46,17 @@ def castability(df: DataFrame, spec: StagingSpec) -> DataFrame:
     One scan and one aggregation for all columns, to be run before staging, which stops at the
     first bad value.
     """
-    checks = []
-    for position, (source, kind) in enumerate(spec.values()):
-        column = _source(df, source)
-        checks.append(F.count(column).alias(f"p{position}"))
-        checks.append(F.count_if(~is_castable(column, kind)).alias(f"b{position}"))
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(source).alias("column_name"),
-                F.lit(kind).alias("declared_type"),
-                F.col(f"p{position}").alias("present"),
-                F.col(f"b{position}").alias("not_castable"),
-            )
-            for position, (source, kind) in enumerate(spec.values())
-        ]
-    )
-    return df.agg(*checks).select(F.inline(rows))
+    aggregates, rows = [], []
+    for i, (source, kind) in enumerate(spec.values()):
+        column = quoted(source)
+        aggregates.append(f"count({column}) as p{i}")
+        aggregates.append(f"count_if(not {is_castable(column, kind)}) as b{i}")
+        rows.append(
+            {
+                "column_name": literal(source),
+                "declared_type": literal(kind),
+                "present": f"p{i}",
+                "not_castable": f"b{i}",
+            }
+        )
+    return df.selectExpr(*aggregates).selectExpr(records(rows))

@@ -7,8 +7,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tallyloom.functions import literal
 from tallyloom.model import STAGED_MANIFESTS, column_list, empty_dataset, manifest
 from tallyloom.operators.canonical import MappedFeed, canonical_all, canonical_one
 from tallyloom.operators.checks import Check
@@ -78,7 +78,7 @@ class Build:
         for name, df, suite in planned:
             chosen = select_checks(suite, tags=tags, severity=severity)
             if chosen:
-                parts.append(report(df, chosen).select(F.lit(name).alias("dataset"), "*"))
+                parts.append(report(df, chosen).selectExpr(f"{literal(name)} as dataset", "*"))
         return reduce(DataFrame.unionByName, parts)
 
     def schema_failures(self) -> list[tuple[str, str]]:

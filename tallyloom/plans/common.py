@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from tallyloom.operators.mapping import Constant, Mapped
+from tallyloom.operators.mapping import Constant, Rules
 
 
 def same(rule: object, *targets: str) -> dict[str, object]:
@@ -12,13 +12,13 @@ def same(rule: object, *targets: str) -> dict[str, object]:
     return dict.fromkeys(targets, rule)
 
 
-def vendor(name: str) -> Mapped:
+def vendor(name: str) -> Rules:
     return same(
         Constant(name), "InvoiceIssuerName", "HostProviderName", "ServiceProviderName"
     )
 
 
-def direct(columns: Iterable[str]) -> Mapped:
+def direct(columns: Iterable[str]) -> Rules:
     """Columns the feed already names as the dataset does."""
     return {name: name for name in columns}
 

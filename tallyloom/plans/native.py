@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from tallyloom.operators.canonical import Branch, MappedFeed
 from tallyloom.operators.staging import stage
@@ -44,7 +44,7 @@ EXTRAS = {
 }
 
 
-def stage_export(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def stage_export(raw: DataFrame, loaded_at: str | None = None) -> DataFrame:
     return stage(raw, SPEC, loaded_at)
 
 

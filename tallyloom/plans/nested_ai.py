@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import cast_text, exact_sum
+from tallyloom.functions import cast_text, exact_sum, listed, literal
 from tallyloom.operators.canonical import Branch, MappedFeed
 from tallyloom.operators.mapping import Constant, Expression
 from tallyloom.operators.staging import LOADED_AT, load_time
@@ -74,55 +76,58 @@ _COST_TEXT = (
 ).split()
 
 
-def _results(pages: DataFrame, loaded_at: Column | None) -> DataFrame:
+def _results(pages: DataFrame, loaded_at: str | None) -> DataFrame:
     """One row per result; pages and buckets without results give none."""
-    buckets = pages.select(F.explode("data").alias("b"), load_time(pages, loaded_at).alias(LOADED_AT))
-    return buckets.select(
-        cast_text(F.col("b.starting_at"), "timestamp").alias("bucket_start"),
-        cast_text(F.col("b.ending_at"), "timestamp").alias("bucket_end"),
-        F.explode("b.results").alias("r"),
+    buckets = pages.selectExpr("explode(data) as b", f"{load_time(pages, loaded_at)} as {LOADED_AT}")
+    return buckets.selectExpr(
+        f"{cast_text('b.starting_at', 'timestamp')} as bucket_start",
+        f"{cast_text('b.ending_at', 'timestamp')} as bucket_end",
+        "explode(b.results) as r",
         LOADED_AT,
     )
 
 
-def stage_usage(pages: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    cache, tools = "r.cache_creation", "r.server_tool_use"
+def stage_usage(pages: DataFrame, loaded_at: str | None = None) -> DataFrame:
     counts = {
-        "uncached_input_tokens": "r.uncached_input_tokens",
-        "cache_read_input_tokens": "r.cache_read_input_tokens",
-        "output_tokens": "r.output_tokens",
-        "cache_creation_1h_tokens": f"{cache}.ephemeral_1h_input_tokens",
-        "cache_creation_5m_tokens": f"{cache}.ephemeral_5m_input_tokens",
-        "web_search_requests": f"{tools}.web_search_requests",
+        "uncached_input_tokens": "uncached_input_tokens",
+        "cache_read_input_tokens": "cache_read_input_tokens",
+        "output_tokens": "output_tokens",
+        "cache_creation_1h_tokens": "cache_creation.ephemeral_1h_input_tokens",
+        "cache_creation_5m_tokens": "cache_creation.ephemeral_5m_input_tokens",
+        "web_search_requests": "server_tool_use.web_search_requests",
     }
-    return _results(pages, loaded_at).select(
+    return _results(pages, loaded_at).selectExpr(
         *BUCKET,
-        *[F.col(source).cast("bigint").alias(target) for target, source in counts.items()],
-        *[F.col(f"r.{name}").cast("string").alias(name) for name in _USAGE_TEXT],
+        *[f"cast(r.{source} as bigint) as {target}" for target, source in counts.items()],
+        *[f"cast(r.{name} as string) as {name}" for name in _USAGE_TEXT],
         LOADED_AT,
     )
 
 
 def stage_cost(
-    pages: DataFrame, loaded_at: Column | None = None, units_per_dollar: float = 100.0
+    pages: DataFrame, loaded_at: str | None = None, units_per_dollar: float = 100.0
 ) -> DataFrame:
     """Cost results; amounts arrive as text in cents unless ``units_per_dollar`` says otherwise."""
-    amount = F.col("r.amount").cast("string")
-    return _results(pages, loaded_at).select(
+    return _results(pages, loaded_at).selectExpr(
         *BUCKET,
-        amount.alias("amount_cents"),
-        (amount.cast("double") / F.lit(units_per_dollar)).alias("amount_usd"),
-        *[F.col(f"r.{name}").cast("string").alias(name) for name in _COST_TEXT],
+        "cast(r.amount as string) as amount_cents",
+        f"cast(r.amount as double) / {literal(float(units_per_dollar))} as amount_usd",
+        *[f"cast(r.{name} as string) as {name}" for name in _COST_TEXT],
         LOADED_AT,
     )
 
 
+_METER_SUMS = [f"sum({meter}) as {meter}" for meter, *_ in METERS]
+_NEWEST = f"max({LOADED_AT}) as {LOADED_AT}"
+
+
+def _aggregate(df: DataFrame, keys: Sequence[str], aggregates: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(aggregate) for aggregate in aggregates])
+
+
 def usage_totals(usage: DataFrame) -> DataFrame:
     """Meter sums per bucket, model and workspace, and the newest load time."""
-    return usage.groupBy(*GROUP).agg(
-        *[F.sum(meter).alias(meter) for meter, *_ in METERS],
-        F.max(LOADED_AT).alias(LOADED_AT),
-    )
+    return _aggregate(usage, GROUP, [*_METER_SUMS, _NEWEST])
 
 
 def usage_totals_with_lists(usage: DataFrame) -> DataFrame:
@@ -131,45 +136,32 @@ def usage_totals_with_lists(usage: DataFrame) -> DataFrame:
     Sums are first taken per tier and key. That spreads a hot group over many tasks and leaves the
     list building with one row per distinct pair.
     """
-    fine = usage.groupBy(*GROUP, "service_tier", "api_key_id").agg(
-        *[F.sum(meter).alias(meter) for meter, *_ in METERS],
-        F.max(LOADED_AT).alias(LOADED_AT),
-    )
-    return fine.groupBy(*GROUP).agg(
-        *[F.sum(meter).alias(meter) for meter, *_ in METERS],
-        F.sort_array(F.collect_set("service_tier")).alias("service_tiers"),
-        F.sort_array(F.collect_set("api_key_id")).alias("api_key_ids"),
-        F.max(LOADED_AT).alias(LOADED_AT),
-    )
+    fine = _aggregate(usage, (*GROUP, "service_tier", "api_key_id"), [*_METER_SUMS, _NEWEST])
+    lists = [
+        "sort_array(collect_set(service_tier)) as service_tiers",
+        "sort_array(collect_set(api_key_id)) as api_key_ids",
+    ]
+    return _aggregate(fine, GROUP, [*_METER_SUMS, *lists, _NEWEST])
 
 
 def cost_totals(cost: DataFrame) -> DataFrame:
     """Dollars per bucket, model, workspace, token type and cost type."""
-    return (
-        cost.where("amount_usd is not null")
-        .groupBy(*GROUP, "token_type", "cost_type")
-        .agg(exact_sum(F.col("amount_usd")).alias("amount_usd"))
+    return _aggregate(
+        cost.where("amount_usd is not null"),
+        (*GROUP, "token_type", "cost_type"),
+        [f"{exact_sum('amount_usd')} as amount_usd"],
     )
 
 
 def unpivot_meters(totals: DataFrame) -> DataFrame:
     """One row per meter with a positive quantity, in one pass over the totals."""
     kept = [name for name in totals.columns if name not in {meter for meter, *_ in METERS}]
-    cells = [
-        cell
+    cells = ", ".join(
+        f"{literal(meter)}, {meter}, {listed((unit, label))}, cast({literal(cost_key)} as string)"
         for meter, unit, label, cost_key in METERS
-        for cell in (
-            F.lit(meter),
-            F.col(meter),
-            F.lit(unit),
-            F.lit(label),
-            F.lit(cost_key).cast("string"),
-        )
-    ]
-    long = F.stack(F.lit(len(METERS)), *cells).alias(
-        "token_slot", "quantity", "unit", "label", "cost_key"
     )
-    return totals.select(*kept, long).where("quantity > 0")
+    long = f"stack({len(METERS)}, {cells}) as (token_slot, quantity, unit, label, cost_key)"
+    return totals.selectExpr(*kept, long).where("quantity > 0")
 
 
 def join_cost(meters: DataFrame, costs: DataFrame, strict: bool = False) -> DataFrame:
@@ -181,32 +173,27 @@ def join_cost(meters: DataFrame, costs: DataFrame, strict: bool = False) -> Data
     Two cost types for one meter give two rows. ``strict`` adds them up first, so that each meter
     row comes out once with its whole cost.
     """
-    by_token = F.concat(F.lit("token:"), F.col("token_type"))
-    by_type = F.when(F.col("cost_type") == FEE_COST_TYPE, F.lit("fee"))
-    keyed = costs.select(
-        F.col("bucket_start").alias("c_start"),
-        F.col("model").alias("c_model"),
-        F.col("workspace_id").alias("c_workspace"),
-        F.explode(F.array(by_token, by_type)).alias("c_key"),
+    pays_for = f"array('token:' || token_type, if(cost_type = '{FEE_COST_TYPE}', 'fee', null))"
+    keyed = costs.selectExpr(
+        "bucket_start as c_start",
+        "model as c_model",
+        "workspace_id as c_workspace",
+        f"explode({pays_for}) as c_key",
         "amount_usd",
     ).where("c_key is not null")
     if strict:
-        keyed = keyed.groupBy("c_start", "c_model", "c_workspace", "c_key").agg(
-            exact_sum(F.col("amount_usd")).alias("amount_usd")
-        )
-    wanted = F.coalesce(F.concat(F.lit("token:"), F.col("cost_key")), F.lit("fee"))
-    return (
-        meters.withColumn("m_key", wanted)
-        .join(
+        keyed = _aggregate(
             keyed,
-            (F.col("bucket_start") == F.col("c_start"))
-            & (F.col("model") == F.col("c_model"))
-            & F.col("workspace_id").eqNullSafe(F.col("c_workspace"))
-            & (F.col("m_key") == F.col("c_key")),
-            "left",
+            ("c_start", "c_model", "c_workspace", "c_key"),
+            [f"{exact_sum('amount_usd')} as amount_usd"],
         )
-        .drop("m_key", "c_start", "c_model", "c_workspace", "c_key")
+    wanted = meters.selectExpr("*", "coalesce('token:' || cost_key, 'fee') as m_key")
+    same_charge = F.expr(
+        "bucket_start = c_start and model = c_model and workspace_id <=> c_workspace"
+        " and m_key = c_key"
     )
+    joined = wanted.join(keyed, same_charge, "left")
+    return joined.drop("m_key", "c_start", "c_model", "c_workspace", "c_key")
 
 
 BILLED = "coalesce(amount_usd, 0.0D)"
@@ -270,35 +257,28 @@ def raw_key_drift(lines: DataFrame, feed: str) -> DataFrame:
     fields silently, so drift can only be seen here. One pass: pages open into buckets, buckets into
     results, and only unknown keys reach the aggregation.
     """
-    page = F.array(_object("page", F.col("value")))
-    buckets = F.from_json("value", "data array<string>")["data"]
-    opened = lines.select(
-        F.inline(F.concat(page, _objects("bucket", buckets)))
-    )
-    inside = F.when(
-        F.col("level") == "bucket", F.from_json("json", "results array<string>")["results"]
+    opened = lines.selectExpr(
+        _with_parts("'page'", "value", "bucket", "from_json(value, 'data array<string>').data")
     )
-    objects = opened.select(
-        F.inline(F.concat(F.array(_object("level", "json")), _objects("result", inside)))
+    results = "from_json(json, 'results array<string>').results"
+    objects = opened.selectExpr(
+        _with_parts("level", "json", "result", f"if(level = 'bucket', {results}, null)")
     )
     known = _KNOWN_KEYS | {"result": _RESULT_KEYS[feed]}
-    unknown = [
-        (F.col("level") == level) & ~F.col("key").isin(*keys) for level, keys in known.items()
-    ]
+    unknown = " or ".join(
+        f"(level = '{level}' and key not in ({listed(keys)}))" for level, keys in known.items()
+    )
     return (
-        objects.select("level", F.explode(F.json_object_keys("json")).alias("key"))
-        .where(unknown[0] | unknown[1] | unknown[2])
+        objects.selectExpr("level", "explode(json_object_keys(json)) as key")
+        .where(unknown)
         .groupBy("level", "key")
         .agg(F.count("*").alias("objects"))
     )
 
 
-def _object(level: Column | str, json: Column | str) -> Column:
-    level = F.col("level") if level == "level" else F.lit(level)
-    return F.struct(level.alias("level"), (F.col(json) if isinstance(json, str) else json).alias("json"))
-
-
-def _objects(level: str, items: Column) -> Column:
-    """A list of JSON texts as objects of one level; no list gives an empty one."""
-    tagged = F.transform(items, lambda item: _object(level, item))
-    return F.coalesce(tagged, F.array().cast("array<struct<level:string,json:string>>"))
+def _with_parts(level: str, json: str, part_level: str, parts: str) -> str:
+    """The object itself and the objects in it, each with its level."""
+    itself = f"array(struct({level} as level, {json} as json))"
+    inside = f"transform({parts}, part -> struct('{part_level}' as level, part as json))"
+    none = "cast(array() as array<struct<level: string, json: string>>)"
+    return f"inline(concat({itself}, coalesce({inside}, {none})))"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
+from tallyloom.functions import guarded_ratio
 from tallyloom.operators.canonical import Branch, MappedFeed
 from tallyloom.operators.mapping import Constant, Expression
 from tallyloom.operators.staging import stage, staging_spec
@@ -48,7 +49,7 @@ def _category() -> Expression:
 
 def _unit_price(cost: str) -> Expression:
     """A zero cost has no unit price, just as a zero amount has none."""
-    return Expression(f"nullif({cost}, 0) / nullif(UsageAmount, 0)")
+    return Expression(guarded_ratio(f"nullif({cost}, 0)", "UsageAmount"))
 
 
 RULES = {
@@ -84,7 +85,7 @@ EXTRAS = {
 }
 
 
-def stage_report(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def stage_report(raw: DataFrame, loaded_at: str | None = None) -> DataFrame:
     return stage(raw, SPEC, loaded_at)
 
 

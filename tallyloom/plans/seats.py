@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
-from tallyloom.functions import month_end, plus_month_less_day
+from tallyloom.functions import guarded_ratio, month_end, plus_month_less_day
 from tallyloom.operators.canonical import Branch, MappedFeed
 from tallyloom.operators.mapping import Constant, Expression
 from tallyloom.operators.staging import stage, staging_spec
@@ -88,8 +88,8 @@ CREDIT_RULES = {
     **_ACCOUNT,
     **same("net_amount", "BilledCost", "ContractedCost", "EffectiveCost"),
     "ListCost": "gross_amount",
-    "ContractedUnitPrice": Expression("net_amount / nullif(quantity, 0)"),
-    "ListUnitPrice": Expression("gross_amount / nullif(quantity, 0)"),
+    "ContractedUnitPrice": Expression(guarded_ratio("net_amount", "quantity")),
+    "ListUnitPrice": Expression(guarded_ratio("gross_amount", "quantity")),
     **same(
         "usage_date",
         "BillingPeriodStart",
@@ -109,18 +109,19 @@ SEAT_EXTRAS = {"_charge_type": Constant("seat"), "_plan_type": "plan_type"}
 CREDIT_EXTRAS = {"_charge_type": Constant("ai_credits"), "_model": "model"}
 
 
-def stage_seats(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def stage_seats(raw: DataFrame, loaded_at: str | None = None) -> DataFrame:
     return stage(raw, SEATS_SPEC, loaded_at)
 
 
-def stage_credits(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def stage_credits(raw: DataFrame, loaded_at: str | None = None) -> DataFrame:
     return stage(raw, CREDITS_SPEC, loaded_at)
 
 
 def seat_periods(seats: DataFrame) -> DataFrame:
-    created = seats["seat_created_at"]
-    return seats.withColumns(
-        {"billing_end": month_end(created), "charge_end": plus_month_less_day(created)}
+    return seats.selectExpr(
+        "*",
+        f"{month_end('seat_created_at')} as billing_end",
+        f"{plus_month_less_day('seat_created_at')} as charge_end",
     )
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions import listed
 from tallyloom.model import (
     CURRENCY_CODES,
     DATASETS,
@@ -24,11 +25,18 @@ from tallyloom.operators.canonical import (
     canonical_all,
     canonical_one,
     dedup_latest,
-    dedup_report,
+    duplicates,
 )
 from tallyloom.operators.checks import Check, violations
 from tallyloom.operators.drift import payload_key_drift, schema_failures
-from tallyloom.operators.report import quarantine, report, select_checks, with_failures
+from tallyloom.operators.report import (
+    FAILED,
+    read_quarantine,
+    report,
+    select_checks,
+    with_failures,
+    write_quarantine,
+)
 from tallyloom.operators.staging import castability
 from tallyloom.plans import native, nested_ai, prefixed, seats
 from tallyloom.plans.suites import cost_and_usage_suite, provider_suite, staging_suite
@@ -63,9 +71,9 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def _days_as_timestamps(df: DataFrame) -> DataFrame:
     """Dates widened to timestamps, so that results compare across engines."""
-    return df.select(
-        [
-            F.col(name).cast("timestamp_ntz").alias(name) if kind == "date" else F.col(name)
+    return df.selectExpr(
+        *[
+            f"cast({name} as timestamp_ntz) as {name}" if kind == "date" else name
             for name, kind in df.dtypes
         ]
     )
@@ -126,10 +134,10 @@ def _all_feeds(spark: SparkSession, sf_dir: str) -> list[MappedFeed]:
 @query("read_csv_all_string")
 def read_csv_all_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = feeds.table(spark, sf_dir, "orders")
-    remark = F.expr("case when o_orderstatus <> 'P' then o_orderpriority || ', \"' || o_orderstatus || '\"' end")
+    remark = "if(o_orderstatus <> 'P', o_orderpriority || ', \"' || o_orderstatus || '\"', null)"
     path = scratch_path(spark, "orders-csv")
-    text = orders.select([F.col(name).cast("string").alias(name) for name in orders.columns])
-    text.withColumn("remark", remark).write.options(header=True, escape='"').csv(path)
+    text = [f"cast({name} as string) as {name}" for name in orders.columns]
+    orders.selectExpr(*text, f"{remark} as remark").write.options(header=True, escape='"').csv(path)
     return read_csv(spark, path)
 
 
@@ -171,14 +179,12 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stage_generic_feed")
 def stage_generic_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, typed = feeds.invoices(spark, sf_dir)
-    as_of = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
-    return stage_generic(text, typed, loaded_at=as_of)
+    return stage_generic(text, typed, loaded_at="timestamp_ntz'2024-06-01 00:00:00'")
 
 
 @query("source_freshness")
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    as_of = F.lit("2024-01-31 12:00:00").cast("timestamp_ntz")
-    return freshness(_usage(spark, sf_dir), as_of)
+    return freshness(_usage(spark, sf_dir), "timestamp_ntz'2024-01-31 12:00:00'")
 
 
 @query("currency_seed_antijoin")
@@ -290,30 +296,27 @@ def apply_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("column_list")
 def column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dataset's columns in order, and how many rows the report fills in each."""
-    return column_coverage(_report_feed(spark, sf_dir).frame().select(*column_list("CostAndUsage")))
+    return column_coverage(_report_feed(spark, sf_dir).columns(column_list("CostAndUsage")).drop("_loaded_at"))
 
 
 @query("type_map")
 def type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared type of each column, tried on the report's values as text, some of them unusable."""
-    kinds = {name: DATASETS["CostAndUsage"][name] for name in column_list("CostAndUsage")}
-    frame = _report_feed(spark, sf_dir).frame()
-    text = frame.select([F.col(name).cast("string").alias(name) for name in kinds])
-    unusable = F.col("BillingCurrency") == "usd"
-    text = text.withColumns(
-        {
-            name: F.when(unusable, F.concat(F.lit("about "), name)).otherwise(F.col(name))
-            for name in ("BilledCost", "ChargePeriodStart", "ChargeDescription")
-        }
+    kinds = DATASETS["CostAndUsage"]
+    spoiled = ("BilledCost", "ChargePeriodStart", "ChargeDescription")
+    text = _report_feed(spark, sf_dir).frame().selectExpr(
+        *[
+            f"if(BillingCurrency = 'usd', 'about ' || {name}, cast({name} as string)) as {name}"
+            if name in spoiled
+            else f"cast({name} as string) as {name}"
+            for name in kinds
+        ]
+    )
+    spec = {name: (name, kind.replace("json", "string")) for name, kind in kinds.items()}
+    declared = listed(x for name in kinds for x in (name, declared_type(name).simpleString()))
+    return castability(text, spec).selectExpr(
+        "column_name", f"map({declared})[column_name] as declared_type", "present", "not_castable"
     )
-    spec = {
-        name: (name, "double" if kind == "double" else "timestamp" if kind == "timestamp" else "string")
-        for name, kind in kinds.items()
-    }
-    declared = {name: declared_type(name).simpleString() for name in kinds}
-    found = castability(text, spec)
-    pairs = [part for name, kind in declared.items() for part in (F.lit(name), F.lit(kind))]
-    return found.withColumn("declared_type", F.create_map(*pairs)[F.col("column_name")])
 
 
 @query("select_canonical")
@@ -448,8 +451,7 @@ def newest_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dedup_report")
 def dropped_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = [canonical_one(feed) for feed in _all_feeds(spark, sf_dir)]
-    return dedup_report(reduce(DataFrame.unionByName, frames))
+    return duplicates(_all_feeds(spark, sf_dir))
 
 
 @query("billing_period")
@@ -517,13 +519,11 @@ def v_distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("v_castable")
 def v_castable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = feeds.observed(spark, sf_dir).select(
+    raw = feeds.observed(spark, sf_dir).selectExpr(
         "amount",
-        F.expr("case when event_type = 'view' then 'many' else '' || user_id end").alias("count"),
-        F.expr("case when event_type = 'view' then 'soon' else date_format(ts, 'yyyy-MM-dd') end").alias(
-            "day"
-        ),
-        F.expr("case when event_type = 'click' then 'today' else seen_at end").alias("moment"),
+        "if(event_type = 'view', 'many', '' || user_id) as count",
+        "if(event_type = 'view', 'soon', date_format(ts, 'yyyy-MM-dd')) as day",
+        "if(event_type = 'click', 'today', seen_at) as moment",
         "currency",
     )
     spec = {
@@ -556,24 +556,24 @@ def v_schema_assert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("v_payload_key_drift")
 def v_payload_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of a JSON column that its manifest does not name."""
-    payload = F.expr(
+    payload = (
         "case event_type when 'view' then replace(props, 'k', 'unit')"
         " when 'error' then '{\"k\": 1, \"code\": 2, \"retry\": true}' else props end"
     )
-    events = feeds.table(spark, sf_dir, "events").select(payload.alias("payload"))
+    events = feeds.table(spark, sf_dir, "events").selectExpr(f"{payload} as payload")
     return payload_key_drift(events, "payload", Manifest(frozenset(["k"]), frozenset(["retry"])))
 
 
 @query("v_page_key_drift")
 def v_page_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unknown keys in raw usage pages: new fields on every signup result and every click page."""
-    pages = feeds.usage_pages(spark, sf_dir).select(F.to_json(F.struct("has_more", "data")).alias("value"))
-    changed = F.expr(
+    pages = feeds.usage_pages(spark, sf_dir).selectExpr("to_json(struct(has_more, data)) as value")
+    changed = (
         "replace(replace(value, '\"service_tier\":\"batch\"', '\"service_tier\":\"batch\",\"priority\":1'),"
         " '{\"has_more\":false', '{\"has_more\":false,\"request_id\":7')"
     )
     path = scratch_path(spark, "pages-text")
-    pages.select(changed.alias("value")).write.text(path)
+    pages.selectExpr(f"{changed} as value").write.text(path)
     return nested_ai.raw_key_drift(read_json_lines(spark, path), "usage")
 
 
@@ -611,7 +611,7 @@ def v_staging_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
         "aws_cur": _report,
     }
     parts = [
-        report(make(spark, sf_dir), staging_suite(name)).select(F.lit(name).alias("feed"), "*")
+        report(make(spark, sf_dir), staging_suite(name)).selectExpr(f"'{name}' as feed", "*")
         for name, make in staged.items()
     ]
     return reduce(DataFrame.unionByName, parts).drop("tags")
@@ -620,9 +620,10 @@ def v_staging_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("v_provider_suite")
 def v_provider_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
-        report(feed.frame(), provider_suite(feed.provider)).select(
-            F.lit(feed.provider).alias("provider"), "*"
-        )
+        report(
+            feed.columns(["InvoiceIssuerName", "ServiceProviderName", "BillingCurrency"]),
+            provider_suite(feed.provider),
+        ).selectExpr(f"'{feed.provider}' as provider", "*")
         for feed in _all_feeds(spark, sf_dir)
     ]
     return reduce(DataFrame.unionByName, parts).drop("tags")
@@ -630,11 +631,16 @@ def v_provider_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("quarantine_split")
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows on each side of the split, per broken check."""
-    good, held = quarantine(_flawed(spark, sf_dir), cost_and_usage_suite())
-    passed = good.select(F.lit("passed").alias("side"), F.lit(None).cast("string").alias("reason"), "BilledCost")
-    reasons = held.select(F.lit("held").alias("side"), F.array_join("_failed", ",").alias("reason"), "BilledCost")
-    return passed.unionByName(reasons).groupBy("side", "reason").agg(F.count("*").alias("rows"))
+    """Rows on each side of the split, per set of broken checks, after one pass that writes both."""
+    path = scratch_path(spark, "quarantine")
+    write_quarantine(_flawed(spark, sf_dir), cost_and_usage_suite(), path)
+    sides = [
+        read_quarantine(spark, path, held).selectExpr(
+            f"'{name}' as side", f"nullif(array_join({FAILED}, ','), '') as reason"
+        )
+        for name, held in (("passed", False), ("held", True))
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("side", "reason").agg(F.count("*").alias("rows"))
 
 
 @query("quarantine_rows")

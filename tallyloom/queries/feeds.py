@@ -6,118 +6,143 @@ lists, zero quantities, several versions of one charge.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages"
-    " benchmark labels conversations"
-).split()
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyloom.functions import quoted, record
+
+# The shapes of the given tables; naming them saves a look into each file when a query is planned.
+_SHAPES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+    " props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+TABLES = tuple(_SHAPES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SHAPES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{sql} as {quoted(name)}" for name, sql in columns.items()])
 
 
 def _as_text(df: DataFrame, keep: tuple[str, ...] = ("_loaded_at",)) -> DataFrame:
-    return df.select(
-        [
-            F.col(f"`{name}`") if name in keep else F.col(f"`{name}`").cast("string").alias(name)
+    return _select(
+        df,
+        {
+            name: quoted(name) if name in keep else f"cast({quoted(name)} as string)"
             for name in df.columns
-        ]
+        },
     )
 
 
+_NO_TEXT = "cast(null as string)"
+
+
 def report(spark: SparkSession, sf_dir: str, as_text: bool = False) -> DataFrame:
     """A prefixed cost report with one line per ``lineitem`` row."""
-    kind = F.expr(
+    kind = (
         "case l_returnflag || l_linestatus when 'AO' then 'Usage' when 'RO' then 'Fee'"
         " when 'RF' then 'Credit' when 'AF' then 'Tax' else 'DiscountedUsage' end"
     )
-    currency = F.expr(
-        "case l_linenumber when 1 then 'EUR' when 2 then 'usd' when 3 then null else 'USD' end"
-    )
-    month = F.expr("date_trunc('month', l_shipdate)")
-    start = F.col("l_shipdate")
+    currency = "case l_linenumber when 1 then 'EUR' when 2 then 'usd' when 3 then null else 'USD' end"
+    length = "if(l_linenumber = 4, interval '23:59:59.5' hour to second, interval '23:59:59' hour to second)"
     columns = {
-        "bill/BillingPeriodStartDate": month,
-        "bill/BillingPeriodEndDate": F.expr("cast(last_day(l_shipdate) as timestamp_ntz)"),
-        "bill/InvoiceId": F.lit(None).cast("string"),
-        "line_item/UsageAccountId": F.expr("'acct-' || l_suppkey"),
+        "bill/BillingPeriodStartDate": "date_trunc('month', l_shipdate)",
+        "bill/BillingPeriodEndDate": "cast(last_day(l_shipdate) as timestamp_ntz)",
+        "bill/InvoiceId": _NO_TEXT,
+        "line_item/UsageAccountId": "'acct-' || l_suppkey",
         "line_item/LineItemType": kind,
-        "line_item/UsageStartDate": start,
-        "line_item/UsageEndDate": F.when(
-            F.col("l_linenumber") == 4, start + F.expr("interval '23:59:59.5' hour to second")
-        ).otherwise(start + F.expr("interval '23:59:59' hour to second")),
-        "line_item/ProductCode": F.expr("'service-' || l_returnflag"),
-        "line_item/UsageType": F.expr("l_linestatus || '-' || l_linenumber"),
-        "line_item/Operation": F.expr("'part-' || l_partkey"),
-        "line_item/UsageAmount": F.expr("if(l_linenumber = 7, 0.0D, l_quantity)"),
-        "line_item/UnblendedCost": F.expr("if(l_tax = 0.08D, 0.0D, l_extendedprice)"),
-        "line_item/NetUnblendedCost": F.expr(
-            "case when l_discount > 0 then l_extendedprice * (1 - l_discount) end"
-        ),
+        "line_item/UsageStartDate": "l_shipdate",
+        "line_item/UsageEndDate": f"l_shipdate + {length}",
+        "line_item/ProductCode": "'service-' || l_returnflag",
+        "line_item/UsageType": "l_linestatus || '-' || l_linenumber",
+        "line_item/Operation": "'part-' || l_partkey",
+        "line_item/UsageAmount": "if(l_linenumber = 7, 0.0D, l_quantity)",
+        "line_item/UnblendedCost": "if(l_tax = 0.08D, 0.0D, l_extendedprice)",
+        "line_item/NetUnblendedCost": "if(l_discount > 0, l_extendedprice * (1 - l_discount), null)",
         "line_item/CurrencyCode": currency,
-        "line_item/LineItemDescription": F.expr("'Lines of status ' || l_linestatus"),
-        "line_item/ResourceId": F.expr("case when l_linenumber > 2 then 'order-' || l_orderkey end"),
-        "product/ProductName": F.expr("'Service ' || l_returnflag"),
-        "product/Region": F.expr("'region-' || l_linenumber"),
-        "product/InstanceType": F.lit(None).cast("string"),
-        "pricing/Unit": F.lit("Units"),
-        "pricing/RateId": F.expr("'rate-' || l_partkey"),
-        "pricing/Term": F.expr("if(l_discount > 0, 'Reserved', 'OnDemand')"),
-        "line_item/AvailabilityZone": F.lit(None).cast("string"),
-        "_loaded_at": F.expr("l_shipdate + make_dt_interval(l_linenumber)"),
+        "line_item/LineItemDescription": "'Lines of status ' || l_linestatus",
+        "line_item/ResourceId": "if(l_linenumber > 2, 'order-' || l_orderkey, null)",
+        "product/ProductName": "'Service ' || l_returnflag",
+        "product/Region": "'region-' || l_linenumber",
+        "product/InstanceType": _NO_TEXT,
+        "pricing/Unit": "'Units'",
+        "pricing/RateId": "'rate-' || l_partkey",
+        "pricing/Term": "if(l_discount > 0, 'Reserved', 'OnDemand')",
+        "line_item/AvailabilityZone": _NO_TEXT,
+        "_loaded_at": "l_shipdate + make_dt_interval(l_linenumber)",
     }
-    df = table(spark, sf_dir, "lineitem").select([c.alias(n) for n, c in columns.items()])
+    df = _select(table(spark, sf_dir, "lineitem"), columns)
     return _as_text(df) if as_text else df
 
 
-def _workspace() -> Column:
-    return F.expr("case when user_id % 10 > 0 then 'ws-' || user_id % 10 end")
+_WORKSPACE = "case when user_id % 10 > 0 then 'ws-' || user_id % 10 end"
+_PLACE = "if(event_id % 2 = 0, 'us', 'eu')"
 
 
-def _bucket(results: Column) -> Column:
-    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    hour = F.date_trunc("hour", F.col("ts"))
-    later = F.expr("date_trunc('hour', ts) + if(event_id % 11 = 0, interval 2 hour, interval 1 hour)")
-    return F.array(
-        F.struct(
-            F.date_format(hour, iso).alias("starting_at"),
-            F.date_format(later, iso).alias("ending_at"),
-            results.alias("results"),
-        )
+def _pages(events: DataFrame, results: str) -> DataFrame:
+    iso = "\"yyyy-MM-dd'T'HH:mm:ss'Z'\""
+    hour = "date_trunc('hour', ts)"
+    later = f"{hour} + if(event_id % 11 = 0, interval 2 hour, interval 1 hour)"
+    bucket = record(
+        {
+            "starting_at": f"date_format({hour}, {iso})",
+            "ending_at": f"date_format({later}, {iso})",
+            "results": results,
+        }
     )
-
-
-def _pages(events: DataFrame, results: Column) -> DataFrame:
-    return events.select(
-        F.lit(False).alias("has_more"),
-        F.lit(None).cast("string").alias("next_page"),
-        _bucket(results).alias("data"),
-        F.col("ts").alias("_loaded_at"),
+    return _select(
+        events,
+        {
+            "has_more": "false",
+            "next_page": _NO_TEXT,
+            "data": f"array({bucket})",
+            "_loaded_at": "ts",
+        },
     )
 
 
-def _usage_result(tier: str, counts: dict[str, str]) -> Column:
-    number = {name: F.expr(f"cast({sql} as bigint)") for name, sql in counts.items()}
-    return F.struct(
-        number["uncached"].alias("uncached_input_tokens"),
-        number["read"].alias("cache_read_input_tokens"),
-        number["output"].alias("output_tokens"),
-        F.struct(
-            number["hour"].alias("ephemeral_1h_input_tokens"),
-            number["minutes"].alias("ephemeral_5m_input_tokens"),
-        ).alias("cache_creation"),
-        F.struct(number["searches"].alias("web_search_requests")).alias("server_tool_use"),
-        F.col("event_type").alias("model"),
-        F.expr("'key-' || user_id % 5").alias("api_key_id"),
-        _workspace().alias("workspace_id"),
-        F.lit("acct-1").alias("account_id"),
-        F.lit(None).cast("string").alias("service_account_id"),
-        F.lit(tier).alias("service_tier"),
-        F.lit("200000").alias("context_window"),
-        F.expr("if(event_id % 2 = 0, 'us', 'eu')").alias("inference_geo"),
+def _usage_result(tier: str, counts: dict[str, str]) -> str:
+    number = {name: f"cast({sql} as bigint)" for name, sql in counts.items()}
+    cache = {
+        "ephemeral_1h_input_tokens": number["hour"],
+        "ephemeral_5m_input_tokens": number["minutes"],
+    }
+    return record(
+        {
+            "uncached_input_tokens": number["uncached"],
+            "cache_read_input_tokens": number["read"],
+            "output_tokens": number["output"],
+            "cache_creation": record(cache),
+            "server_tool_use": record({"web_search_requests": number["searches"]}),
+            "model": "event_type",
+            "api_key_id": "'key-' || user_id % 5",
+            "workspace_id": _WORKSPACE,
+            "account_id": "'acct-1'",
+            "service_account_id": _NO_TEXT,
+            "service_tier": f"'{tier}'",
+            "context_window": "'200000'",
+            "inference_geo": _PLACE,
+        }
     )
 
 
@@ -130,7 +155,7 @@ def usage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "read": "event_id % 4",
             "output": "user_id",
             "hour": "if(event_type = 'purchase', floor(value), 0)",
-            "minutes": "case when event_type <> 'view' then event_id % 3 end",
+            "minutes": "if(event_type <> 'view', event_id % 3, null)",
             "searches": "if(event_type = 'click', 1, 0)",
         },
     )
@@ -146,86 +171,88 @@ def usage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     results = (
-        F.when(F.col("event_type") == "error", F.slice(F.array(standard), 1, 0))
-        .when(F.col("event_type") == "signup", F.array(standard, batch))
-        .otherwise(F.array(standard))
+        f"case event_type when 'error' then slice(array({standard}), 1, 0)"
+        f" when 'signup' then array({standard}, {batch}) else array({standard}) end"
     )
     return _pages(table(spark, sf_dir, "events"), results)
 
 
 def cost_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per event with one cost result; views have no amount."""
-    token_type = F.expr(
+    token_type = (
         "case event_id % 6 when 0 then 'uncached_input_tokens' when 1 then 'cache_read_input_tokens'"
         " when 2 then 'cache_creation.ephemeral_1h_input_tokens'"
         " when 3 then 'cache_creation.ephemeral_5m_input_tokens' when 4 then 'output_tokens' end"
     )
-    cost_type = F.expr(
+    cost_type = (
         "case when event_id % 6 = 5 then 'web_search' when event_id % 13 = 0 then 'manual'"
         " else 'tokens' end"
     )
-    amount = F.expr(
-        "case when event_type <> 'view' then cast(cast(floor(value * 100) as bigint) as string) end"
-    )
-    result = F.struct(
-        amount.alias("amount"),
-        F.lit("USD").alias("currency"),
-        cost_type.alias("cost_type"),
-        F.lit("Usage costs").alias("description"),
-        F.col("event_type").alias("model"),
-        token_type.alias("token_type"),
-        _workspace().alias("workspace_id"),
-        F.lit("standard").alias("service_tier"),
-        F.lit("200000").alias("context_window"),
-        F.expr("if(event_id % 2 = 0, 'us', 'eu')").alias("inference_geo"),
+    cents = "cast(cast(floor(value * 100) as bigint) as string)"
+    result = record(
+        {
+            "amount": f"if(event_type <> 'view', {cents}, null)",
+            "currency": "'USD'",
+            "cost_type": cost_type,
+            "description": "'Usage costs'",
+            "model": "event_type",
+            "token_type": token_type,
+            "workspace_id": _WORKSPACE,
+            "service_tier": "'standard'",
+            "context_window": "'200000'",
+            "inference_geo": _PLACE,
+        }
     )
-    return _pages(table(spark, sf_dir, "events"), F.array(result))
+    return _pages(table(spark, sf_dir, "events"), f"array({result})")
 
 
 def seats(spark: SparkSession, sf_dir: str, as_text: bool = False) -> DataFrame:
     """A seat per customer, created on the day of the first order."""
     active = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+        .groupBy("o_custkey")
+        .agg({"o_orderdate": "min", "o_orderkey": "count"})
+        .withColumnsRenamed({"min(o_orderdate)": "first", "count(o_orderkey)": "orders"})
     )
+    customer = table(spark, sf_dir, "customer")
+    joined = customer.join(active, customer["c_custkey"] == active["o_custkey"], "left")
     plan = "if(c_mktsegment in ('BUILDING', 'MACHINERY'), 'enterprise', 'business')"
-    df = (
-        table(spark, sf_dir, "customer")
-        .join(active, "c_custkey", "left")
-        .select(
-            F.col("c_name").alias("user"),
-            F.lit("org").alias("organization"),
-            F.col("c_mktsegment").alias("team"),
-            F.expr(plan).alias("plan_type"),
-            F.col("first").cast("date").alias("seat_created_at"),
-            F.col("last").alias("last_activity_at"),
-            F.lit("editor").alias("last_activity_editor"),
-            F.lit(None).cast("string").alias("pending_cancellation_date"),
-            F.expr(f"if({plan} = 'enterprise', 39.0D, 19.0D)").alias("monthly_cost"),
-            F.col("last").alias("_loaded_at"),
-        )
-    )
+    last = "first + make_dt_interval(cast(orders as int))"
+    columns = {
+        "user": "c_name",
+        "organization": "'org'",
+        "team": "c_mktsegment",
+        "plan_type": plan,
+        "seat_created_at": "cast(first as date)",
+        "last_activity_at": last,
+        "last_activity_editor": "'editor'",
+        "pending_cancellation_date": _NO_TEXT,
+        "monthly_cost": f"if({plan} = 'enterprise', 39.0D, 19.0D)",
+        "_loaded_at": last,
+    }
+    df = _select(joined, columns)
     return _as_text(df) if as_text else df
 
 
 def credits(spark: SparkSession, sf_dir: str, as_text: bool = False) -> DataFrame:
     """A usage credit per order; some have a zero quantity."""
-    df = table(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("date").alias("date"),
-        F.lit("Assistant").alias("product"),
-        F.expr("'sku-' || o_orderstatus").alias("sku"),
-        F.col("o_orderpriority").alias("model"),
-        F.lit("requests").alias("unit_type"),
-        F.expr("o_orderkey % 7").alias("quantity"),
-        F.col("o_totalprice").alias("gross_amount"),
-        F.expr("if(o_orderstatus = 'F', 100.0D, 0.0D)").alias("discount_amount"),
-        F.expr("o_totalprice - if(o_orderstatus = 'F', 100.0D, 0.0D)").alias("net_amount"),
-        F.lit("org").alias("organization"),
-        F.expr("'user-' || o_custkey").alias("user"),
-        F.col("o_orderstatus").alias("team"),
-        F.col("o_orderdate").alias("_loaded_at"),
-    )
+    discount = "if(o_orderstatus = 'F', 100.0D, 0.0D)"
+    columns = {
+        "date": "cast(o_orderdate as date)",
+        "product": "'Assistant'",
+        "sku": "'sku-' || o_orderstatus",
+        "model": "o_orderpriority",
+        "unit_type": "'requests'",
+        "quantity": "o_orderkey % 7",
+        "gross_amount": "o_totalprice",
+        "discount_amount": discount,
+        "net_amount": f"o_totalprice - {discount}",
+        "organization": "'org'",
+        "user": "'user-' || o_custkey",
+        "team": "o_orderstatus",
+        "_loaded_at": "o_orderdate",
+    }
+    df = _select(table(spark, sf_dir, "orders"), columns)
     return _as_text(df) if as_text else df
 
 
@@ -272,9 +299,7 @@ def native(spark: SparkSession, sf_dir: str, as_text: bool = False) -> DataFrame
         "ChargePeriodEnd": "date_add(date'2024-01-02', p_size)",
     }
     loaded = {"_loaded_at": "timestamp_ntz'2024-02-01 00:00:00' + make_dt_interval(p_size)"}
-    df = table(spark, sf_dir, "part").select(
-        [F.expr(sql).alias(name) for name, sql in (texts | doubles | dates | loaded).items()]
-    )
+    df = _select(table(spark, sf_dir, "part"), texts | doubles | dates | loaded)
     return _as_text(df) if as_text else df
 
 
@@ -302,28 +327,23 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "same_or_other": "case user_id % 3 when 0 then event_type when 1 then null else 'other' end",
         "hundreds": "floor(value)",
     }
-    return table(spark, sf_dir, "events").select(
-        [F.expr(sql).alias(name) for name, sql in columns.items()]
-    )
+    return _select(table(spark, sf_dir, "events"), columns)
 
 
 def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A billing period per order, with its canonical column names, as text."""
-    return _as_text(
-        table(spark, sf_dir, "orders").select(
-            F.col("o_orderdate").alias("BillingPeriodCreated"),
-            F.expr("cast(last_day(o_orderdate) as timestamp_ntz)").alias("BillingPeriodEnd"),
-            F.expr("date_trunc('month', o_orderdate)").alias("BillingPeriodStart"),
-            F.expr("if(o_orderstatus = 'F', 'Closed', 'Open')").alias("BillingPeriodStatus"),
-            F.expr("'Issuer ' || o_orderpriority").alias("InvoiceIssuerName"),
-        ),
-        (),
-    )
+    columns = {
+        "BillingPeriodCreated": "o_orderdate",
+        "BillingPeriodEnd": "cast(last_day(o_orderdate) as timestamp_ntz)",
+        "BillingPeriodStart": "date_trunc('month', o_orderdate)",
+        "BillingPeriodStatus": "if(o_orderstatus = 'F', 'Closed', 'Open')",
+        "InvoiceIssuerName": "'Issuer ' || o_orderpriority",
+    }
+    return _as_text(_select(table(spark, sf_dir, "orders"), columns))
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Invoice details as text (closed orders) and typed (the others); the typed side has more columns."""
-    orders = table(spark, sf_dir, "orders")
     common = {
         "BilledCost": "o_totalprice",
         "BillingAccountId": "'acct-' || o_custkey",
@@ -332,27 +352,21 @@ def invoices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         "InvoiceId": "'invoice-' || o_custkey",
         "InvoiceIssueDate": "o_orderdate",
     }
-    more = {"PaymentCurrency": "'EUR'", "PaymentCurrencyBilledCost": "o_totalprice * 0.5"}
-    closed = orders.where("o_orderstatus = 'F'")
-    text = closed.select([F.expr(sql).alias(name) for name, sql in common.items()])
-    typed = orders.where("o_orderstatus <> 'F'").select(
-        [F.expr(sql).alias(name) for name, sql in (common | more).items()]
-    )
-    return _as_text(text, ()), typed
+    more = {"PaymentCurrency": "'EUR'", "PaymentCurrencyBilledCost": "o_totalprice * 0.5D"}
+    orders = table(spark, sf_dir, "orders")
+    closed, others = orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F'")
+    return _as_text(_select(closed, common)), _select(others, common | more)
 
 
 def commitments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A contract commitment per supplier, as text."""
-    return _as_text(
-        table(spark, sf_dir, "supplier").select(
-            F.lit("USD").alias("BillingCurrency"),
-            F.expr("'{\"nation\": ' || s_nationkey || '}'").alias("ContractCommitmentApplicability"),
-            F.col("s_acctbal").alias("ContractCommitmentCost"),
-            F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(s_nationkey)").alias(
-                "ContractCommitmentPeriodStart"
-            ),
-            F.expr("'commitment-' || s_suppkey").alias("ContractCommitmentId"),
-            F.expr("s_name").alias("ContractId"),
-        ),
-        (),
-    )
+    columns = {
+        "BillingCurrency": "'USD'",
+        "ContractCommitmentApplicability": "'{\"nation\": ' || s_nationkey || '}'",
+        "ContractCommitmentCost": "s_acctbal",
+        "ContractCommitmentPeriodStart": "timestamp_ntz'2024-01-01 00:00:00'"
+        " + make_dt_interval(s_nationkey)",
+        "ContractCommitmentId": "'commitment-' || s_suppkey",
+        "ContractId": "s_name",
+    }
+    return _as_text(_select(table(spark, sf_dir, "supplier"), columns))

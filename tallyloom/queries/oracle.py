@@ -119,13 +119,14 @@ SEATS = """
 SELECT c_name AS user_name, 'org' AS organization, c_mktsegment AS team,
   CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'enterprise' ELSE 'business' END
     AS plan_type,
-  date_trunc('day', first)::TIMESTAMP AS seat_created_at, last AS last_activity_at,
+  date_trunc('day', first)::TIMESTAMP AS seat_created_at,
+  first + to_days(orders::INTEGER) AS last_activity_at,
   'editor' AS last_activity_editor,
   CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 39.0 ELSE 19.0 END::DOUBLE
     AS monthly_cost,
-  last AS _loaded_at
+  first + to_days(orders::INTEGER) AS _loaded_at
 FROM customer LEFT JOIN (
-  SELECT o_custkey, min(o_orderdate) AS first, max(o_orderdate) AS last FROM orders GROUP BY 1
+  SELECT o_custkey, min(o_orderdate) AS first, count(*) AS orders FROM orders GROUP BY 1
 ) ON o_custkey = c_custkey
 """
 

@@ -88,4 +88,4 @@ def read_json_lines(spark: SparkSession, path: Paths) -> DataFrame:
 
 def with_load_time(df: DataFrame) -> DataFrame:
     """Adds the time the row's file was written, which orders versions of the same charge."""
-    return df.withColumn(LOADED_AT, utc_instant(F.col("_metadata.file_modification_time")))
+    return df.selectExpr("*", f"{utc_instant('_metadata.file_modification_time')} as {LOADED_AT}")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tallyloom.functions import quoted
 from tallyloom.operators.staging import LOADED_AT
 
 # Fixed value: hours after which a feed is reported as stale.
@@ -12,10 +12,11 @@ WARN_AFTER_HOURS = 24
 
 
 def freshness(
-    df: DataFrame, as_of: Column, warn_after_hours: float = WARN_AFTER_HOURS, column: str = LOADED_AT
+    df: DataFrame, as_of: str, warn_after_hours: float = WARN_AFTER_HOURS, column: str = LOADED_AT
 ) -> DataFrame:
     """Newest load time, its age in hours at ``as_of``, and ``pass`` or ``warn``; no rows warns too."""
-    newest = df.agg(F.max(column).alias("newest"))
-    age = F.timestamp_diff("SECOND", F.col("newest"), as_of) / F.lit(3600.0)
-    status = F.when(F.col("age_hours") <= F.lit(float(warn_after_hours)), "pass").otherwise("warn")
-    return newest.withColumn("age_hours", age).withColumn("status", status)
+    return (
+        df.selectExpr(f"max({quoted(column)}) as newest")
+        .selectExpr("newest", f"timestampdiff(second, newest, {as_of}) / 3600.0D as age_hours")
+        .selectExpr("*", f"if(age_hours <= {warn_after_hours}, 'pass', 'warn') as status")
+    )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyloom.functions import literal, quoted
 from tallyloom.operators.staging import LOADED_AT, load_time
 from tallyloom.sources.files import read_csv, read_parquet, with_load_time
 
@@ -20,11 +20,11 @@ def union_by_name(text: DataFrame, typed: DataFrame) -> DataFrame:
     Where the sides disagree on a type the column becomes text, as the CSV side already is.
     """
     kinds = dict(text.dtypes)
-    aligned = typed.select(
-        [
-            F.col(f"`{name}`").cast("string").alias(name)
-            if kinds.get(name, kind) != kind
-            else F.col(f"`{name}`")
+    aligned = typed.selectExpr(
+        *[
+            quoted(name)
+            if kinds.get(name, kind) == kind
+            else f"cast({quoted(name)} as string) as {quoted(name)}"
             for name, kind in typed.dtypes
         ]
     )
@@ -34,14 +34,16 @@ def union_by_name(text: DataFrame, typed: DataFrame) -> DataFrame:
 def stage_generic(
     text: DataFrame,
     typed: DataFrame | None = None,
-    loaded_at: Column | None = None,
+    loaded_at: str | None = None,
     version: str = SPEC_VERSION,
 ) -> DataFrame:
     """The feed's own columns, then load time and specification version."""
     both = text if typed is None else union_by_name(text, typed)
-    stamped = both.withColumn(LOADED_AT, load_time(both, loaded_at))
-    own = [f"`{name}`" for name in stamped.columns if name != LOADED_AT]
-    return stamped.select(*own, LOADED_AT, F.lit(version).alias(VERSION_COLUMN))
+    return both.selectExpr(
+        *[quoted(name) for name in both.columns if name != LOADED_AT],
+        f"{load_time(both, loaded_at)} as {LOADED_AT}",
+        f"{literal(version)} as {VERSION_COLUMN}",
+    )
 
 
 def read_generic(

@@ -6,10 +6,9 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions import utc_instant
+from tallyloom.functions import literal, quoted, records, utc_instant
 
 
 def file_inventory(spark: SparkSession, pattern: str) -> DataFrame:
@@ -17,36 +16,33 @@ def file_inventory(spark: SparkSession, pattern: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .load(pattern)
-        .select(
-            F.col("path").alias("file_path"),
-            F.col("length").alias("file_size"),
-            utc_instant(F.col("modificationTime")).alias("modified_at"),
+        .selectExpr(
+            "path as file_path",
+            "length as file_size",
+            f"{utc_instant('modificationTime')} as modified_at",
         )
     )
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows, size and modification time of each file behind a file-based frame."""
-    meta = F.col("_metadata")
+    file = ("file_path", "file_name", "file_size")
     return (
-        df.select(
-            meta["file_path"].alias("file_path"),
-            meta["file_name"].alias("file_name"),
-            meta["file_size"].alias("file_size"),
-            meta["file_modification_time"].alias("written"),
+        df.selectExpr(
+            *[f"_metadata.{name} as {name}" for name in file],
+            "_metadata.file_modification_time as written",
         )
-        .groupBy("file_path", "file_name", "file_size", "written")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("modified_at", utc_instant(F.col("written")))
-        .drop("written")
+        .groupBy(*file, "written")
+        .count()
+        .selectExpr(*file, "count as rows", f"{utc_instant('written')} as modified_at")
     )
 
 
 def dataset_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Name, row count and column count of each table; the counts of all tables run as one job."""
     counted = [
-        df.agg(F.count("*").alias("rows")).select(
-            F.lit(name).alias("table_name"), "rows", F.lit(len(df.columns)).cast("bigint").alias("columns")
+        df.selectExpr("count(*) as rows").selectExpr(
+            f"{literal(name)} as table_name", "rows", f"{len(df.columns)}L as columns"
         )
         for name, df in tables.items()
     ]
@@ -55,10 +51,10 @@ def dataset_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def catalog_tables(spark: SparkSession, database: str | None = None) -> dict[str, DataFrame]:
     """The tables and views of the catalog, ready for ``dataset_inventory``."""
-    found = spark.catalog.listTables(database)
-    prefix = f"`{database}`." if database else ""
+    prefix = f"{quoted(database)}." if database else ""
     return {
-        t.name: spark.table(f"`{t.name}`" if t.isTemporary else f"{prefix}`{t.name}`") for t in found
+        found.name: spark.table(quoted(found.name) if found.isTemporary else prefix + quoted(found.name))
+        for found in spark.catalog.listTables(database)
     }
 
 
@@ -67,36 +63,33 @@ def column_profile(df: DataFrame) -> DataFrame:
 
     One scan and one aggregation for all columns. Types without an order have no range.
     """
-    aggregates, entries = [], []
+    aggregates, rows = [], []
     for i, field in enumerate(df.schema):
-        column = F.col(f"`{field.name}`")
+        column = quoted(field.name)
         ordered = not isinstance(field.dataType, (T.MapType, T.VariantType, T.BinaryType))
-        aggregates.append(F.count_if(column.isNull()).alias(f"nulls{i}"))
-        for name, pick in (("low", F.min), ("high", F.max)):
-            edge = pick(column) if ordered else F.first(F.lit(None))
-            aggregates.append(edge.cast("string").alias(f"{name}{i}"))
-        entries.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.lit(field.dataType.simpleString()).alias("data_type"),
-                F.lit("YES" if field.nullable else "NO").alias("is_nullable"),
-                F.col(f"nulls{i}").alias("null_rows"),
-                F.col(f"low{i}").alias("min_value"),
-                F.col(f"high{i}").alias("max_value"),
-            )
+        aggregates.append(f"count_if({column} is null) as nulls{i}")
+        for edge in ("min", "max"):
+            value = f"cast({edge}({column}) as string)" if ordered else "cast(null as string)"
+            aggregates.append(f"{value} as {edge}{i}")
+        rows.append(
+            {
+                "column_name": literal(field.name),
+                "data_type": literal(field.dataType.simpleString()),
+                "is_nullable": literal("YES" if field.nullable else "NO"),
+                "null_rows": f"nulls{i}",
+                "min_value": f"min{i}",
+                "max_value": f"max{i}",
+            }
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    return df.selectExpr(*aggregates).selectExpr(records(rows))
 
 
 def column_coverage(df: DataFrame) -> DataFrame:
     """Position and name of each column, and the rows that have a value in it."""
-    counts = df.agg(*[F.count(f"`{name}`").alias(f"n{i}") for i, name in enumerate(df.columns)])
-    entries = [
-        F.struct(
-            F.lit(i + 1).cast("bigint").alias("position"),
-            F.lit(name).alias("column_name"),
-            F.col(f"n{i}").alias("filled_rows"),
+    counts = df.selectExpr(*[f"count({quoted(name)}) as n{i}" for i, name in enumerate(df.columns)])
+    return counts.selectExpr(
+        records(
+            {"position": f"{i + 1}L", "column_name": literal(name), "filled_rows": f"n{i}"}
+            for i, name in enumerate(df.columns)
         )
-        for i, name in enumerate(df.columns)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+    )
