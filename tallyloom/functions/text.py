@@ -20,6 +20,9 @@ _KEY_VALUE = r"^[A-Za-z0-9_]+:[A-Za-z0-9_]+\z"
 # Fixed value: a plain decimal number.
 _PLAIN_DECIMAL = r"^-?\d+(\.\d+)?\z"
 
+# How the text of a JSON value begins and ends; what fails this need not be parsed.
+_JSON_EDGES = r"(?s)^[ \t\r\n]*(\{.*\}|\[.*\]|\".*\"|-?[0-9].*|true|false|null)[ \t\r\n]*\z"
+
 # The JVM's number parser also takes a trailing type letter, as in "1d".
 _TYPE_LETTER = r"[0-9.][dDfF]\s*\z"
 
@@ -46,12 +49,17 @@ def is_key_value(text: str) -> str:
 def is_json(text: str) -> str:
     """Whole text is one JSON value.
 
-    Spark's parser stops after the first value and ignores what follows. Text that still parses both
-    as an array element and as an object member has nothing after its first value.
+    Spark's parser stops after the first value and ignores what follows, so the text is parsed as the
+    only element of an array. Text with a bracket of its own might close that array early; it must
+    parse as an object member as well, which the same trick cannot pass.
     """
-    as_element = f"try_parse_json('[' || {text} || ']') is not null"
+    as_element = f"try_parse_json('[' || {text} || ']')"
+    alone = f"coalesce(size(cast({as_element} as array<variant>)) = 1, false)"
     as_member = f"try_parse_json('{{\"v\":' || {text} || '}}') is not null"
-    return _if_present(text, f"{as_element} and {as_member}")
+    return _if_present(
+        text,
+        f"{matches(text, _JSON_EDGES)} and {alone} and (not contains({text}, ']') or {as_member})",
+    )
 
 
 def _is_number(text: str) -> str:

@@ -92,7 +92,7 @@ def _date_time_format(s: _Subject) -> str | None:
     if isinstance(s.type, T.DateType):
         return None
     if isinstance(s.type, (T.TimestampType, T.TimestampNTZType)):
-        return f"{s.value} != date_trunc('second', {s.value})"
+        return f"unix_micros(cast({s.value} as timestamp)) % 1000000 != 0"
     return f"not {is_date_time(s.text)}"
 
 

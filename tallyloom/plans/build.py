@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from tallyloom.plans import native, nested_ai, prefixed, seats
 from tallyloom.plans.suites import cost_and_usage_suite, provider_suite, staging_suite
 from tallyloom.sources.files import read_csv, read_json, with_load_time
 from tallyloom.sources.generic import read_generic
-from tallyloom.sources.sinks import publish_views
+from tallyloom.sources.sinks import publish_views, read_partitioned, write_partitioned
 
 # The providers of a full run, in order, and the feeds each one needs.
 PROVIDER_FEEDS = {
@@ -64,6 +64,16 @@ class Build:
     def publish(self) -> None:
         publish_views(self.views())
 
+    def write(self, path: str) -> Build:
+        """Writes cost and usage, and goes on from the written table.
+
+        Checks and queries then read Parquet instead of running the chain from the files again.
+        """
+        df = self.canonical["CostAndUsage"]
+        write_partitioned(df, path)
+        written = read_partitioned(df.sparkSession, path, schema=df.schema)
+        return replace(self, canonical=self.canonical | {"CostAndUsage": written})
+
     def check(self, tags: Sequence[str] = (), severity: str | None = None) -> DataFrame:
         """The report of all configured checks, one aggregation per frame, with the frame's name."""
         planned: list[tuple[str, DataFrame, list[Check]]] = [

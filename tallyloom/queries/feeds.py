@@ -66,7 +66,7 @@ def report(spark: SparkSession, sf_dir: str, as_text: bool = False) -> DataFrame
     currency = "case l_linenumber when 1 then 'EUR' when 2 then 'usd' when 3 then null else 'USD' end"
     length = "if(l_linenumber = 4, interval '23:59:59.5' hour to second, interval '23:59:59' hour to second)"
     columns = {
-        "bill/BillingPeriodStartDate": "date_trunc('month', l_shipdate)",
+        "bill/BillingPeriodStartDate": "cast(trunc(l_shipdate, 'month') as timestamp_ntz)",
         "bill/BillingPeriodEndDate": "cast(last_day(l_shipdate) as timestamp_ntz)",
         "bill/InvoiceId": _NO_TEXT,
         "line_item/UsageAccountId": "'acct-' || l_suppkey",
@@ -100,13 +100,12 @@ _PLACE = "if(event_id % 2 = 0, 'us', 'eu')"
 
 
 def _pages(events: DataFrame, results: str) -> DataFrame:
-    iso = "\"yyyy-MM-dd'T'HH:mm:ss'Z'\""
-    hour = "date_trunc('hour', ts)"
-    later = f"{hour} + if(event_id % 11 = 0, interval 2 hour, interval 1 hour)"
+    hour = "substring(cast(ts as string), 1, 13) || ':00:00'"
+    later = f"cast({hour} as timestamp_ntz) + if(event_id % 11 = 0, interval 2 hour, interval 1 hour)"
     bucket = record(
         {
-            "starting_at": f"date_format({hour}, {iso})",
-            "ending_at": f"date_format({later}, {iso})",
+            "starting_at": f"replace({hour}, ' ', 'T') || 'Z'",
+            "ending_at": f"replace(cast({later} as string), ' ', 'T') || 'Z'",
             "results": results,
         }
     )
@@ -335,7 +334,7 @@ def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = {
         "BillingPeriodCreated": "o_orderdate",
         "BillingPeriodEnd": "cast(last_day(o_orderdate) as timestamp_ntz)",
-        "BillingPeriodStart": "date_trunc('month', o_orderdate)",
+        "BillingPeriodStart": "cast(trunc(o_orderdate, 'month') as timestamp_ntz)",
         "BillingPeriodStatus": "if(o_orderstatus = 'F', 'Closed', 'Open')",
         "InvoiceIssuerName": "'Issuer ' || o_orderpriority",
     }
