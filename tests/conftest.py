@@ -9,13 +9,18 @@ from tallyloom.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def scratch(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("scratch"))
+
+
+@pytest.fixture(scope="session")
+def spark(scratch):
     session = build_session(
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
-        spark__sql__warehouse__dir="/tmp/tallyloom-warehouse",
+        spark__checkpoint__dir=scratch,
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

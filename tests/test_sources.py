@@ -1,0 +1,173 @@
+"""Readers, inventories, sinks and the scratch folder."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+
+from tallyloom import sources
+from tallyloom.operators.canonical import PROVIDER
+from tallyloom.operators.staging import castability, stage
+from tallyloom.session import scratch_path
+from tallyloom.sources.inventory import catalog_tables, column_coverage
+
+
+def write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_csv_is_all_text(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'n,t,u\n1,"x, ""y""",\n002,,"z"\n')
+    df = sources.read_csv(spark, path)
+    assert {kind for _, kind in df.dtypes} == {"string"}
+    assert [tuple(r) for r in df.collect()] == [("1", 'x, "y"', None), ("002", None, "z")]
+    assert [r[0] for r in df.select("n").collect()] == ["1", "002"]
+
+
+def test_csv_dialects(spark, tmp_path):
+    path = write(tmp_path / "b.csv", "1;'x;y'\n2;z\n")
+    df = sources.read_csv(spark, path, header=False, delimiter=";", quote="'", columns=["n", "t"])
+    assert [tuple(r) for r in df.collect()] == [("1", "x;y"), ("2", "z")]
+
+
+def test_broken_csv_rows_stop_the_read(spark, tmp_path):
+    short = write(tmp_path / "short.csv", "a,b\n1,2\n3\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        sources.read_csv(spark, short).select("a").collect()
+    torn = write(tmp_path / "torn.csv", 'a,b\n1,"two\nlines"\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        sources.read_csv(spark, torn).collect()
+    whole = sources.read_csv(spark, torn, multi_line=True).collect()
+    assert [tuple(r) for r in whole] == [("1", "two\nlines")]
+
+
+def test_csv_files_must_agree_on_columns(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder / "1.csv", "a,b\n1,2\n")
+    write(folder / "2.csv", "b,a\n2,1\n")
+    with pytest.raises(Exception, match="header|HEADER"):
+        sources.read_csv(spark, str(folder)).collect()
+
+
+def test_parquet_matches_columns_by_name(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.sql("select 1 as a, 'x' as b").write.parquet(f"{path}/day=2025-01-01")
+    spark.sql("select 2.5D as c, 2 as a").write.parquet(f"{path}/day=2025-01-02")
+    df = sources.read_parquet(spark, path)
+    got = {(r["a"], r["b"], r["c"], r["day"]) for r in df.collect()}
+    assert got == {(1, "x", None, dt.date(2025, 1, 1)), (2, None, 2.5, dt.date(2025, 1, 2))}
+    flat = sources.read_parquet(spark, path, hive_partitioning=False)
+    assert sorted(flat.columns) == ["a", "b", "c"]
+    named = sources.read_parquet(spark, path, schema="a int")
+    assert {r["a"] for r in named.collect()} == {1, 2}
+
+
+@pytest.mark.parametrize("form", ["newline_delimited", "array"])
+def test_json_forms(spark, tmp_path, form):
+    rows = [{"a": 1, "b": {"c": [1, 2]}}, {"a": 2, "x": 3}]
+    text = json.dumps(rows, indent=1) if form == "array" else "\n".join(map(json.dumps, rows)) + "\n"
+    path = write(tmp_path / "a.json", text)
+    schema = "a bigint, b struct<c: array<int>>"
+    for asked in (form, "auto"):
+        got = sources.read_json(spark, path, schema, asked).collect()
+        assert [(r["a"], r["b"] and r["b"]["c"]) for r in got] == [(1, [1, 2]), (2, None)]
+    with pytest.raises(ValueError, match="bson"):
+        sources.read_json(spark, path, schema, "bson")
+
+
+def test_load_time_is_the_files(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "a\n1\n")
+    loaded = sources.with_load_time(sources.read_csv(spark, path)).head()["_loaded_at"]
+    age = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - loaded
+    assert dt.timedelta(minutes=-1) < age < dt.timedelta(minutes=5)
+
+
+def test_generic_feed(spark, tmp_path):
+    text = spark.createDataFrame([("1.5", "x")], "BilledCost string, only_text string")
+    typed = spark.createDataFrame([(2.5, 7)], "BilledCost double, only_typed int")
+    df = sources.stage_generic(text, typed, loaded_at="timestamp_ntz'2025-01-01 00:00:00'")
+    assert df.columns == ["BilledCost", "only_text", "only_typed", "_loaded_at", "_focus_version"]
+    got = sorted(tuple(r)[:3] for r in df.collect())
+    assert got == [("1.5", "x", None), ("2.5", None, 7)]
+    assert {r["_focus_version"] for r in df.collect()} == {"1.4"}
+
+
+def test_freshness(spark):
+    df = spark.sql("select timestamp_ntz'2025-01-01 00:00:00' as _loaded_at")
+    at = "timestamp_ntz'2025-01-02 00:00:00'"
+    row = sources.freshness(df, at).head()
+    assert (row["age_hours"], row["status"]) == (24.0, "pass")
+    assert sources.freshness(df, at, warn_after_hours=23.5).head()["status"] == "warn"
+    assert sources.freshness(df.where("false"), at).head()["status"] == "warn"
+
+
+def test_inventories(spark, tmp_path):
+    for name in ("x", "y"):
+        write(tmp_path / f"{name}.csv", "a,b\n1,\n2,3\n")
+    files = sources.file_inventory(spark, str(tmp_path / "*.csv")).collect()
+    assert sorted(r["file_path"].rsplit("/", 1)[1] for r in files) == ["x.csv", "y.csv"]
+    assert {r["file_size"] for r in files} == {11}
+    df = sources.read_csv(spark, str(tmp_path / "*.csv"))
+    assert {(r["file_name"], r["rows"]) for r in sources.rows_per_file(df).collect()} == {
+        ("x.csv", 2),
+        ("y.csv", 2),
+    }
+    df.createOrReplaceTempView("inventory_view")
+    tables = {"inventory_view": catalog_tables(spark)["inventory_view"]}
+    assert [tuple(r) for r in sources.dataset_inventory(tables).collect()] == [("inventory_view", 4, 2)]
+    profile = {r["column_name"]: tuple(r)[1:] for r in sources.column_profile(df).collect()}
+    assert profile == {"a": ("string", "YES", 0, "1", "2"), "b": ("string", "YES", 2, "3", "3")}
+    assert [tuple(r) for r in column_coverage(df).collect()] == [(1, "a", 4), (2, "b", 2)]
+
+
+def test_staging_stops_where_castability_warns(spark):
+    raw = spark.createDataFrame([("1", "x"), ("oops", "y"), (None, None)], "n string, t string")
+    spec = {"number": ("n", "bigint"), "text": ("t", "string")}
+    found = {r["column_name"]: (r["present"], r["not_castable"]) for r in castability(raw, spec).collect()}
+    assert found == {"n": (2, 1), "t": (2, 0)}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        stage(raw, spec).collect()
+    good = stage(raw.where("n is null or n = '1'"), spec)
+    assert good.columns == ["number", "text", "_loaded_at"]
+
+
+def test_partitioned_table_is_pruned(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.range(100).selectExpr("id", f"if(id < 90, 'big', 'small') as {PROVIDER}")
+    sources.write_partitioned(df, path, rebalance=True)
+    back = sources.read_partitioned(spark, path, providers=["small"], schema=df.schema)
+    assert back.count() == 10
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_provider" in plan or "PartitionFilters: [(_provider" in plan
+    assert sources.read_partitioned(spark, path).count() == 100
+
+
+def test_jdbc_options():
+    got = sources.jdbc_options("postgres", "host/db", "t")
+    assert got == {"url": "jdbc:postgresql://host/db", "driver": "org.postgresql.Driver", "dbtable": "t"}
+    with pytest.raises(KeyError):
+        sources.jdbc_options("oracle", "x", "t")
+
+
+class _Unset:
+    """A session without a shared folder."""
+
+    def __init__(self, master):
+        self.master = master
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return default
+
+
+def test_scratch_folder_follows_the_session(spark, scratch):
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second
+    assert first.startswith(f"{scratch}/x-")
+    assert "tallyloom-" in scratch_path(_Unset("local[4]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(_Unset("spark://host:7077"), "x")
