@@ -152,11 +152,19 @@ def canonical_all(
 
 def duplicates(feeds: Iterable[MappedFeed], key: Sequence[str] = CHARGE_KEY) -> DataFrame:
     """What ``canonical_all`` removes, per provider; only the key columns are mapped."""
-    keyed = [
-        feed.columns(key).selectExpr("*", f"{literal(feed.provider)} as {PROVIDER}")
+    counted = [
+        feed.columns(key)
+        .groupBy(*key)
+        .count()
+        .selectExpr(
+            f"{literal(feed.provider)} as {PROVIDER}",
+            "coalesce(sum(count), 0) as rows",
+            "count(*) as kept",
+            "coalesce(sum(count), 0) - count(*) as dropped",
+        )
         for feed in feeds
     ]
-    return dedup_report(reduce(DataFrame.unionByName, keyed), (PROVIDER, *key))
+    return reduce(DataFrame.unionByName, counted)
 
 
 def _tagged(df: DataFrame, provider: str) -> DataFrame:

@@ -77,14 +77,18 @@ _COST_TEXT = (
 
 
 def _results(pages: DataFrame, loaded_at: str | None) -> DataFrame:
-    """One row per result; pages and buckets without results give none."""
+    """One row per result; pages and buckets without results give none.
+
+    The bucket's times are read once per bucket, before its results are opened.
+    """
     buckets = pages.selectExpr("explode(data) as b", f"{load_time(pages, loaded_at)} as {LOADED_AT}")
-    return buckets.selectExpr(
+    timed = buckets.selectExpr(
         f"{cast_text('b.starting_at', 'timestamp')} as bucket_start",
         f"{cast_text('b.ending_at', 'timestamp')} as bucket_end",
-        "explode(b.results) as r",
+        "b.results as results",
         LOADED_AT,
     )
+    return timed.selectExpr(*BUCKET, "explode(results) as r", LOADED_AT)
 
 
 def stage_usage(pages: DataFrame, loaded_at: str | None = None) -> DataFrame:
