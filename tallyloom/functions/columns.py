@@ -29,12 +29,9 @@ def utc_instant(instant: str) -> str:
 
 def utc_timestamp(text: str) -> str:
     """ISO text as zone-less UTC: an offset is applied, text without a zone is taken as UTC."""
-    clock = f"substring({text}, 12)"
     shifted = utc_instant(f"cast({text} as timestamp)")
-    return (
-        f"case when contains({clock}, '+') or contains({clock}, '-') then {shifted}"
-        f" else cast({text} as timestamp_ntz) end"
-    )
+    has_offset = f"locate('+', {text}, 12) > 0 or locate('-', {text}, 12) > 0"
+    return f"case when {has_offset} then {shifted} else cast({text} as timestamp_ntz) end"
 
 
 def cast_text(text: str, kind: str) -> str:

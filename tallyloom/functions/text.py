@@ -36,10 +36,10 @@ def matches(text: str, pattern: str) -> str:
 
 
 def is_date_time(text: str) -> str:
-    day = f"regexp_extract({text}, {literal(_DATE)}, 1)"
-    four_digit_year = f"lpad({day}, length({day}) + 5 - instr({day}, '-'), '0')"
-    readable = f"try_cast({four_digit_year} as date) is not null"
-    return _if_present(text, f"{matches(text, _DATE_TIME)} and {readable}")
+    # a cast wants four to seven digits of year
+    day = f"regexp_replace({text}, {literal('(?s)' + _DATE + '.*')}, '000$1')"
+    on_calendar = f"try_cast({day} as date) is not null"
+    return _if_present(text, f"{matches(text, _DATE_TIME)} and {on_calendar}")
 
 
 def is_key_value(text: str) -> str:

@@ -39,9 +39,7 @@ def read_jdbc(
     if bounds is None:
         edges = dict(options)
         table = edges.pop("dbtable")
-        query = (
-            f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table} t"
-        )
+        query = f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}"
         row = spark.read.format("jdbc").options(**edges).option("query", query).load().head()
         if row[0] is None:
             return reader.load()
