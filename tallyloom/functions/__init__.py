@@ -14,11 +14,12 @@ from tallyloom.functions.columns import (
     utc_instant,
     utc_timestamp,
 )
-from tallyloom.functions.sql import listed, literal, quoted, record, records
+from tallyloom.functions.sql import column_of, listed, literal, quoted, record, records
 from tallyloom.functions.text import is_castable, is_date_time, is_decimal, is_json, is_key_value
 
 __all__ = [
     "cast_text",
+    "column_of",
     "concat_present",
     "exact_sum",
     "guarded_ratio",

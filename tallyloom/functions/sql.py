@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.sql import DataFrame, SparkSession
+
 
 def quoted(name: str) -> str:
     """A column name, whatever characters it has."""
@@ -37,3 +39,11 @@ def record(fields: Mapping[str, str]) -> str:
 def records(rows: Iterable[Mapping[str, str]]) -> str:
     """A table of a few rows, made from the single row it is selected from."""
     return "inline(array(" + ", ".join(record(row) for row in rows) + "))"
+
+
+def column_of(spark: SparkSession, name: str, values: Iterable[object]) -> DataFrame:
+    """A one-column table of a few values, whose size Spark knows when it plans."""
+    rows = [f"({literal(value)})" for value in values]
+    some = ", ".join(rows) or "(cast(null as string))"
+    df = spark.sql(f"select {quoted(name)} from values {some} as t({quoted(name)})")
+    return df if rows else df.where("false")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.functions import column_of
+
 # The national currency codes accepted by the specification.
 CURRENCY_CODES: tuple[str, ...] = tuple(
     """
@@ -22,4 +24,4 @@ CURRENCY_CODES: tuple[str, ...] = tuple(
 
 def currency_frame(spark: SparkSession) -> DataFrame:
     """The codes as a one-column table; 180 rows, so safe to broadcast."""
-    return spark.createDataFrame([(code,) for code in CURRENCY_CODES], "currency_code string")
+    return column_of(spark, "currency_code", CURRENCY_CODES)

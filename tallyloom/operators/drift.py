@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions import literal, quoted, records
+from tallyloom.functions import column_of, literal, quoted, records
 from tallyloom.model import Manifest
 
 
@@ -47,7 +47,7 @@ def schema_failures(df: DataFrame, manifest: Manifest) -> DataFrame:
 
 def manifest_frame(spark: SparkSession, manifest: Manifest) -> DataFrame:
     """The known names as a table; as short as the manifest, so safe to broadcast."""
-    return spark.createDataFrame([(name,) for name in sorted(manifest.known)], "key string")
+    return column_of(spark, "key", sorted(manifest.known))
 
 
 def payload_key_drift(df: DataFrame, payload: str, manifest: Manifest) -> DataFrame:

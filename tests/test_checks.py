@@ -193,3 +193,9 @@ def test_page_drift(spark):
     df = spark.createDataFrame([(line,) for line in lines], "value string")
     found = {(r["level"], r["key"]): r["objects"] for r in nested_ai.raw_key_drift(df, "usage").collect()}
     assert found == {("page", "more"): 1, ("bucket", "zone"): 2, ("result", "new"): 2}
+
+
+def test_an_empty_manifest_knows_nothing(spark):
+    assert drift.manifest_frame(spark, Manifest()).count() == 0
+    df = spark.createDataFrame([('{"a":1}',)], "p string")
+    assert drift.payload_key_drift(df, "p", Manifest()).head()["key"] == "a"
