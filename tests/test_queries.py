@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tallyloom.queries import ORACLE, QUERIES
 from tools.compare import difference, views
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,7 +41,7 @@ def test_same_as_sql(spark, con, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_flagship(spark):
