@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm.fingerprint import compare_with_edits
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.substring import remove_repeats
 
@@ -16,12 +17,17 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op10_near_dedup": op10_near_dedup,
 }
 ORACLE: dict[str, str] = {}
