@@ -8,24 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.fingerprint import compare_with_edits
 from tallyloom.llm.near_dedup import near_duplicates
+from tallyloom.llm.quality import classify
 from tallyloom.llm.substring import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return remove_repeats(spark, _table(spark, sf_dir, "documents"))
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_with_edits(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return compare_with_edits(spark, _table(spark, sf_dir, "documents"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op10_near_dedup": op10_near_dedup,
