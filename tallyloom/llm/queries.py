@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.fingerprint import compare_with_edits
+from tallyloom.llm.markup import main_text
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.quality import classify
 from tallyloom.llm.substring import remove_repeats
@@ -30,6 +31,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(spark, _table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(spark, _table(spark, sf_dir, "pages"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_fingerprints": op3_fingerprints,
+    "op9_main_text": op9_main_text,
     "op10_near_dedup": op10_near_dedup,
 }
 ORACLE: dict[str, str] = {}
