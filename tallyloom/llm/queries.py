@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.decontaminate import find_items
 from tallyloom.llm.fingerprint import compare_with_edits
+from tallyloom.llm.licenses import scan
 from tallyloom.llm.lines import drop_boilerplate
 from tallyloom.llm.markup import main_text
 from tallyloom.llm.mixing import mix
@@ -35,6 +37,15 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(spark, _table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shared", "n_shingles", "containment")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(spark, _table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -97,6 +108,8 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_fingerprints": op3_fingerprints,
+    "op4_decontamination": op4_decontamination,
+    "op5_license_scan": op5_license_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_revisits": op8_revisits,
