@@ -83,7 +83,8 @@ def drop_boilerplate(
     """The columns of ``docs`` with cleaned ``text``, and ``n_lines`` and ``n_dropped``.
 
     A line that at least ``least_sites`` distinct sites show is boilerplate. It stays in the smallest
-    doc_id that has it, so no content is lost altogether, and goes everywhere else. Lines end with a
+    doc_id that has it, so no content is lost altogether, and goes everywhere else. Further columns
+    stay, but for the two that are counted here. Lines end with a
     line feed and are compared whole; blank lines always stay. A null site is no site, a null text has no
     lines and stays null, and rows without a doc_id count for the spread but keep their lines. Rows that
     share a doc_id are treated alike.
@@ -98,18 +99,25 @@ def drop_boilerplate(
         .groupBy(*_BODY)
         .agg(F.collect_set("place").alias("places"))
     )
-    keyed = docs.withColumns({"_body": F.xxhash64("text")})
-    places = places.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_hash"), "places")
-    joined = keyed.join(
-        places, (keyed["doc_id"] == places["_doc"]) & (keyed["_body"] == places["_hash"]), "left"
+    text = F.col("text")
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").alias("doc_id"),
+        F.xxhash64(text).alias("body"),
+        text.alias("text"),
     )
+    joined = keyed.join(places, ["doc_id", "body"], "left")
     kept = F.expr(
         "case when places is null then text else array_join(filter(split(text, '\\n'),"
         " (line, i) -> not array_contains(places, i)), '\\n') end"
     )
-    rest = [kept.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    counts = [
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).alias("n_lines"),
-        F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).alias("n_dropped"),
+    counts = {
+        "n_lines": F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))),
+        "n_dropped": F.when(F.col("places").isNull(), 0).otherwise(F.size("places")),
+    }
+    rest = [
+        kept.alias("text") if c == "text" else F.col(f"row.`{c}`")
+        for c in docs.columns
+        if c not in counts
     ]
-    return joined.select(*rest, *counts)
+    return joined.select(*rest, *[made.alias(name) for name, made in counts.items()])

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyloom.llm import arrays as a
 from tallyloom.llm.ship import ship
@@ -232,32 +233,30 @@ def _scores(model: Model):
             good = (rows @ model.weights).tolist()
             ends = np.searchsorted(document, np.arange(batch.num_rows + 1)).tolist()
             scores = []
-            for i in range(batch.num_rows):
-                low, high = ends[i], ends[i + 1]
+            for low, high in zip(ends[:-1], ends[1:], strict=True):
                 if low == high:
                     scores.append(model.share)
                 else:
                     chance = np.array(marginals(good[low:high], model))
-                    scores.append(float((chance * length[low:high]).sum() / length[low:high].sum()))
-            names = batch.schema.names + ["score"]
+                    whole = float((chance * length[low:high]).sum() / length[low:high].sum())
+                    scores.append(min(1.0, max(0.0, whole)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([min(1.0, max(0.0, s)) for s in scores], pa.float64())],
-                names=names,
+                [batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"]
             )
 
     return run
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns, ``text`` among them or not, and the score of every document.
+    """``row``, a struct of the ``keep`` columns, and the score of every document.
 
     A null text counts as empty; texts without words get the model's share of good documents. Every row
     is judged by its own text alone, so repeated rows get equal scores, and an empty table gives none.
     """
     ship(spark)
-    rows = docs.select(*dict.fromkeys([*keep, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(_scores(model), f"{schema}, score double").select(*keep, "score")
+    rows = docs.select(F.struct(*keep).alias("row"), F.col("text").alias("text"))
+    schema = StructType([rows.schema["row"], StructField("score", DoubleType())])
+    return rows.mapInArrow(_scores(model), schema)
 
 
 def is_held_out(doc_id: str = "doc_id"):
@@ -269,8 +268,8 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     """One row per document: doc_id, held_out, score and predicted (1 from CUTOFF on)."""
     model = train(spark, docs, labels.where(~is_held_out()))
     return score(spark, docs, model, ["doc_id"]).select(
-        "doc_id",
-        is_held_out().alias("held_out"),
+        "row.doc_id",
+        is_held_out("row.doc_id").alias("held_out"),
         "score",
         (F.col("score") >= CUTOFF).cast("int").alias("predicted"),
     )
