@@ -8,7 +8,7 @@ weighted shingles.
 
 Texts that are equal form one node first. Bands of equal registers form buckets. In each bucket the
 member that shares most buckets overall is compared with all others, which is linear in bucket sizes and
-joins a hot group of copies in one step. Where a bucket then still holds several classes, its members
+joins a hot group of copies in one step. Where the others of a bucket still are of several classes, they
 meet again under their rarest shingles (a prefix filter, exact for the threshold), and only pairs from
 different classes are compared. Links are judged by the exact Jaccard of the shingle sets.
 """
@@ -213,13 +213,14 @@ def near_duplicates(
     labelled = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "band", "doc_id", F.coalesce("label", "doc_id").alias("label")
     )
+    untried = labelled.join(pivots, "band").where("doc_id <> one")  # pivots have met all the others
     mixed = (
-        labelled.groupBy("band")
+        untried.groupBy("band")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low < high")
         .select("band")
     )
-    open_docs = labelled.join(mixed, "band").select("doc_id", "label").distinct()
+    open_docs = untried.join(mixed, "band").select("doc_id", "label").distinct()
     path = scratch_path(spark, "open")
     open_docs.write.parquet(path)
     more = _linked(_rare_pairs(spark, spark.read.parquet(path), sets, threshold), sets, threshold)
@@ -244,34 +245,53 @@ def near_duplicates(
 def _rare_pairs(
     spark: SparkSession, open_docs: DataFrame, sets: DataFrame, threshold: float
 ) -> DataFrame:
-    """Pairs of different classes that share a shingle among the rarest of both.
+    """Pairs of different classes that can reach the threshold and share one of their rarest shingles.
 
-    With n shingles ordered from rare to frequent, sets of at least the threshold's Jaccard share one of
-    the first floor((1 - threshold) n) + 1 of each. Shingles whose holders are all of one class drop out.
+    Two sets of sizes n and k reach a Jaccard of t if they share at least t / (1 + t) * (n + k) shingles.
+    Only shingles that several classes hold can be shared by such a pair; let a document have e of
+    them, ordered from rare to frequent. For partners of at least l shingles it needs c of these, so one of the
+    first e - c + 1 is shared, or there is no partner if c is more than e. Sizes fall into classes
+    of a few percent, each with its own l. No pair that reaches the threshold is lost.
     """
-    sized = sets.join(open_docs, "doc_id")
-    each = sized.select("doc_id", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
+    each = sets.join(open_docs, "doc_id").select(
+        "doc_id", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("s")
+    )
     path = scratch_path(spark, "shingles")
     each.write.parquet(path)
     each = spark.read.parquet(path)
     spread = each.groupBy("s").agg(
         F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    by_rank = Window.partitionBy("doc_id").orderBy("held", "s")
+    spread = spread.where("low < high").select("s", "held")
+    whole = Window.partitionBy("doc_id")
+    share = threshold / (1 + threshold)
+    step = 1.04
+    needed = f"ceil({share!r} * (size + greatest({threshold!r} * size, floor(pow({step}, k)))) - 1e-6)"
+    partners = F.expr(
+        f"filter(sequence(cast(floor(ln({threshold!r} * size) / ln({step}) - 1e-9) as int),"
+        f" cast(floor(ln(size / {threshold!r}) / ln({step}) + 1e-9) as int)),"
+        f" k -> place <= e - {needed} + 1)"
+    )
     path = scratch_path(spark, "rare")
     (
         each.join(spread, "s")
-        .withColumn("rank", F.row_number().over(by_rank))
-        .where(F.col("rank") <= F.floor((1 - threshold) * F.col("size") + 1e-9) + 1)
-        .where("low < high")
-        .select("s", "doc_id", "label", "size")
+        .withColumn("e", F.count("*").over(whole))
+        .where(F.col("e") >= threshold * F.col("size") - 1e-6)
+        .withColumn("place", F.row_number().over(whole.orderBy("held", "s")))
+        .withColumn("own", F.expr(f"cast(floor(ln(size) / ln({step})) as int)"))
+        .select("s", "doc_id", "label", "size", "own", F.explode(partners).alias("partner"))
         .write.parquet(path)
     )
     rare = spark.read.parquet(path)
-    other = rare.select("s", *[F.col(c).alias(f"{c}_2") for c in ("doc_id", "label", "size")])
+    other = rare.select(
+        "s",
+        F.col("own").alias("partner"),
+        F.col("partner").alias("own"),
+        *[F.col(c).alias(f"{c}_2") for c in ("doc_id", "label", "size")],
+    )
     near = F.least("size", "size_2") >= threshold * F.greatest("size", "size_2")
     return (
-        rare.join(other, "s")
+        rare.join(other, ["s", "own", "partner"])
         .where((F.col("doc_id") < F.col("doc_id_2")) & (F.col("label") != F.col("label_2")) & near)
         .select(F.col("doc_id").alias("one"), F.col("doc_id_2").alias("two"))
         .distinct()
