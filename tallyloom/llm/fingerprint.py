@@ -27,8 +27,9 @@ from tallyloom.llm.ship import ship
 
 LEAST, USUAL, MOST = 16, 32, 192  # bytes; the gear hash spans as many bytes as LEAST
 STRICT_BITS, LOOSE_BITS = 6, 3
-ROWS_PER_RANGE = 5_000
-MOST_RANGES = 10_000
+ROWS_PER_RANGE = 1_000
+RANGES_PER_TASK = 8  # ranges are dealt to tasks by hash; several to a task even out
+MOST_RANGES = 20_000
 
 _GEAR = (a.mix(np.arange(256, dtype=np.uint64), 11) >> np.uint64(48)).astype(np.uint16)
 
@@ -166,7 +167,7 @@ def compare_with_edits(spark: SparkSession, docs: DataFrame) -> DataFrame:
     bounds = []
     if shares:
         known = rows.where("doc_id is not null")
-        bounds = known.agg(F.percentile_approx("place", shares, 10 * MOST_RANGES)).head()[0] or []
+        bounds = known.agg(F.percentile_approx("place", shares, 5 * MOST_RANGES)).head()[0] or []
     if bounds:
         splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
         dealt = Bucketizer(splits=splits, inputCol="place", outputCol="dealt").transform(rows)
@@ -187,7 +188,7 @@ def compare_with_edits(spark: SparkSession, docs: DataFrame) -> DataFrame:
         dealt.join(F.broadcast(table), "range")
         .select(F.explode(F.when(is_head, F.array(own, also)).otherwise(F.array(own))).alias("p"), "*")
         .select("p.range", "p.guest", "doc_id", "tie", "text")
-        .repartition(max(1, len(heads)), "range")
+        .repartition(max(1, len(heads) // RANGES_PER_TASK), "range")
         .sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), F.desc("tie"))
         .select("range", "guest", "doc_id", "text")
         .mapInArrow(_in_order(), schema)

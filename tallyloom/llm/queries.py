@@ -14,6 +14,7 @@ from tallyloom.llm.lines import drop_boilerplate
 from tallyloom.llm.markup import main_text
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
+from tallyloom.llm.oracle import ORACLE
 from tallyloom.llm.quality import classify
 from tallyloom.llm.revisits import resolve
 from tallyloom.llm.substring import remove_repeats
@@ -116,4 +117,5 @@ QUERIES: dict[str, Query] = {
     "op9_main_text": op9_main_text,
     "op10_near_dedup": op10_near_dedup,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
