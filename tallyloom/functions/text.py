@@ -1,11 +1,12 @@
 """Predicates on text: does it read as a date-time, a number, JSON, a key-value pair?
 
-Each is NULL for NULL text and false for what it rejects; none raises. Regular expressions do most of
+Each is NULL for NULL text (JSON also beyond the parser's limits) and false for what it rejects; none raises. Regular expressions do most of
 the screening, so a malformed value costs no parser exception.
 """
 
 from __future__ import annotations
 
+from tallyloom.functions.columns import names_zone
 from tallyloom.functions.sql import literal
 
 # The accepted forms are date, date and time, and T-separated time with Z or an offset.
@@ -47,18 +48,26 @@ def is_key_value(text: str) -> str:
 
 
 def is_json(text: str) -> str:
-    """Whole text is one JSON value.
+    """Whole text is one JSON value; NULL where the parser's limits leave that open.
 
-    Spark's parser stops after the first value and ignores what follows, so the text is parsed as the
-    only element of an array. Text with a bracket of its own might close that array early; it must
-    parse as an object member as well, which the same trick cannot pass.
+    Spark's parser stops after the first value and ignores what follows. So the text is parsed as the first
+    element of an array whose second is the text's own MD5, which the text cannot contain: only if the
+    text is one value does the digest come second. That is one parse per value.
+
+    The parser takes strings up to 20 million characters, 1,000 levels and numbers of 1,000 digits. Text
+    that fails and could exceed one of these is not judged.
     """
-    as_element = f"try_parse_json('[' || {text} || ']')"
-    alone = f"coalesce(size(cast({as_element} as array<variant>)) = 1, false)"
-    as_member = f"try_parse_json('{{\"v\":' || {text} || '}}') is not null"
+    wrapped = f"try_parse_json('[' || {text} || ',\"' || md5({text}) || '\"]')"
+    second = f"cast(try_element_at(cast({wrapped} as array<variant>), 2) as string)"
+    whole = f"coalesce({second} = md5({text}), false)"
+    brackets = f"length({text}) - length(translate({text}, '[{{', ''))"
+    beyond = (
+        f"length({text}) > 20000000 or {brackets} >= 1000 or {matches(text, '[0-9.eE+-]{1000}')}"
+    )
     return _if_present(
         text,
-        f"{matches(text, _JSON_EDGES)} and {alone} and (not contains({text}, ']') or {as_member})",
+        f"case when not {matches(text, _JSON_EDGES)} then false when {whole} then true"
+        f" when {beyond} then null else false end",
     )
 
 
@@ -82,6 +91,8 @@ def is_castable(text: str, kind: str) -> str:
     elif kind == "string":
         fits = "true"
     else:
-        target = "timestamp_ntz" if kind == "timestamp" else kind
-        fits = f"try_cast({text} as {target}) is not null"
+        fits = f"try_cast({text} as {kind}) is not null"
+        if kind == "timestamp":
+            local = f"try_cast({text} as timestamp_ntz) is not null"
+            fits = f"if({names_zone(text)}, {fits}, {local})"
     return _if_present(text, fits)

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from tallyloom.functions import literal, quoted
+from tallyloom.functions import exact_sum, literal, quoted
 from tallyloom.model import column_list, dataset_schema
 from tallyloom.operators.mapping import Constant, Rules, apply_mapping, rule_sql, typed
 from tallyloom.operators.staging import LOADED_AT
@@ -68,8 +68,10 @@ class MappedFeed:
         """The newest row of each charge.
 
         Most canonical columns are constants or repeat another column. Only the ones that differ go
-        through the shuffle; the others are put back afterwards.
+        through the shuffle; the others are put back afterwards. A key column that the dataset doesn't
+        have is an error.
         """
+        known_columns(key)
         constants: dict[str, str] = {}
         carried: dict[str, str] = {}
         first_with: dict[tuple, str] = {}
@@ -92,6 +94,12 @@ class MappedFeed:
         )
 
 
+def known_columns(names: Iterable[str]) -> None:
+    unknown = [name for name in names if name not in dataset_schema(DATASET).names]
+    if unknown:
+        raise ValueError(f"not columns of {DATASET}: {', '.join(unknown)}")
+
+
 def dedup_latest(
     df: DataFrame,
     key: Sequence[str] = (PROVIDER, *CHARGE_KEY),
@@ -104,6 +112,9 @@ def dedup_latest(
     same row. Spark keeps one row per key on the map side too, so a hot key is cut before the shuffle.
     The hash in front of the key lets the sorts compare eight bytes before they compare text.
     """
+    missing = [name for name in (*key, order) if name not in df.columns]
+    if missing:
+        raise ValueError(f"no such columns: {', '.join(missing)}")
     ties = df.columns if tie_break is None else tie_break
     ranking = [f"{quoted(order)} desc nulls last"] + [
         f"{quoted(name)} asc nulls last" for name in ties if name not in key and name != order
@@ -142,6 +153,10 @@ def canonical_all(
 
     A charge belongs to one provider, so each feed is reduced on its own before the union.
     """
+    feeds = list(feeds)
+    unknown = set(enabled or ()) - {feed.provider for feed in feeds}
+    if unknown:
+        raise ValueError(f"unknown providers: {', '.join(sorted(unknown))}")
     chosen = [feed for feed in feeds if enabled is None or feed.provider in enabled]
     if not chosen:
         raise ValueError("no provider is enabled")
@@ -151,19 +166,26 @@ def canonical_all(
 
 
 def duplicates(feeds: Iterable[MappedFeed], key: Sequence[str] = CHARGE_KEY) -> DataFrame:
-    """What ``canonical_all`` removes, per provider; only the key columns are mapped."""
-    counted = [
-        feed.columns(key)
-        .groupBy(*key)
-        .count()
-        .selectExpr(
-            f"{literal(feed.provider)} as {PROVIDER}",
-            "coalesce(sum(count), 0) as rows",
-            "count(*) as kept",
-            "coalesce(sum(count), 0) - count(*) as dropped",
+    """What ``canonical_all`` removes, per provider: rows and billed cost, before and after.
+
+    Only the columns that tell versions of a charge apart are mapped, as in ``latest``.
+    """
+    cost = "BilledCost"
+    totals = ["count(*) as n", f"coalesce({exact_sum(cost)}, 0.0D) as cost"]
+    counted = []
+    for feed in feeds:
+        before = feed.columns([cost]).selectExpr(*totals).selectExpr("n as rows", "cost as billed")
+        after = feed.latest(key).selectExpr(*totals).selectExpr("n as kept", "cost as billed_kept")
+        counted.append(
+            before.crossJoin(after).selectExpr(  # one row each
+                f"{literal(feed.provider)} as {PROVIDER}",
+                "rows",
+                "kept",
+                "rows - kept as dropped",
+                "billed",
+                "billed_kept",
+            )
         )
-        for feed in feeds
-    ]
     return reduce(DataFrame.unionByName, counted)
 
 

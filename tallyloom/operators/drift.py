@@ -50,10 +50,20 @@ def manifest_frame(spark: SparkSession, manifest: Manifest) -> DataFrame:
     return column_of(spark, "key", sorted(manifest.known))
 
 
+# Stands for a value that is not a JSON object, in the place of a key.
+UNREADABLE = "(unreadable)"
+
+
 def payload_key_drift(df: DataFrame, payload: str, manifest: Manifest) -> DataFrame:
-    """Top-level keys of a JSON column that the manifest does not know, with the rows that have them."""
-    keys = df.selectExpr(f"explode(array_distinct(json_object_keys({quoted(payload)}))) as key")
-    known = F.broadcast(manifest_frame(df.sparkSession, manifest))
+    """Top-level keys of a JSON column that the manifest does not know, with the rows that have them.
+
+    Values that are present but no JSON object count under ``(unreadable)``.
+    """
+    found = f"array_distinct(json_object_keys({quoted(payload)}))"
+    keys = df.where(f"{quoted(payload)} is not null").selectExpr(
+        f"explode(coalesce({found}, array({literal(UNREADABLE)}))) as key"
+    )
+    known = manifest_frame(df.sparkSession, manifest)
     return (
         keys.join(known, "key", "left_anti").groupBy("key").agg(F.count("*").alias("rows_with_key"))
     )

@@ -37,8 +37,10 @@ def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Violations and status of each check, from one scan and one aggregation.
 
     Checks that the schema already decides cost nothing. Each distinct count is an aggregation of
-    its own, because several in one would multiply the rows.
+    its own, because several in one would multiply the rows. Without checks the report is empty.
     """
+    if not checks:
+        return empty_report(df.sparkSession)
     schema = df.schema
     counts, rows = ["count(*) as total"], []
     for i, check in enumerate(checks):
@@ -55,6 +57,15 @@ def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# The columns of a report.
+REPORT = "column_name string, check_name string, severity string, tags string, violations bigint, status string"
+
+
+def empty_report(spark: SparkSession, *before: str) -> DataFrame:
+    """A report without rows; ``before`` are further columns in front, as DDL."""
+    return spark.createDataFrame([], ", ".join([*before, REPORT]))
+
+
 def _entry(check: Check, found: str) -> dict[str, str]:
     return {
         "column_name": literal(check.column),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import cast_text, exact_sum, listed, literal
 from tallyloom.operators.canonical import Branch, MappedFeed
+from tallyloom.operators.drift import UNREADABLE
 from tallyloom.operators.mapping import Constant, Expression
 from tallyloom.operators.staging import LOADED_AT, load_time
 from tallyloom.plans.common import AI_SERVICE, REGULAR, US_DOLLAR, USAGE_BASED, same, vendor
@@ -148,6 +149,11 @@ def usage_totals_with_lists(usage: DataFrame) -> DataFrame:
     return _aggregate(fine, GROUP, [*_METER_SUMS, *lists, _NEWEST])
 
 
+def usage_group_members(usage: DataFrame) -> DataFrame:
+    """What the lists hold as rows: each group with one service tier and API key, however many it has."""
+    return usage.select(*GROUP, "service_tier", "api_key_id").distinct()
+
+
 def cost_totals(cost: DataFrame) -> DataFrame:
     """Dollars per bucket, model, workspace, token type and cost type."""
     return _aggregate(
@@ -236,7 +242,7 @@ def map_usage_and_cost(usage: DataFrame, cost: DataFrame, strict: bool = False)
     return MappedFeed(PROVIDER, (Branch(priced_meters(usage, cost, strict), RULES, EXTRAS),))
 
 
-# The fields of a page, a bucket and a result.
+# The fields of a page, a bucket, a result and the objects in it.
 _KNOWN_KEYS = {
     "page": ("data", "has_more", "next_page"),
     "bucket": ("starting_at", "ending_at", "results"),
@@ -252,6 +258,13 @@ _RESULT_KEYS = {
     ),
     "cost": ("amount", *_COST_TEXT),
 }
+_PART_KEYS = {
+    "usage": {
+        "cache_creation": ("ephemeral_1h_input_tokens", "ephemeral_5m_input_tokens"),
+        "server_tool_use": ("web_search_requests",),
+    },
+    "cost": {},
+}
 
 
 def raw_key_drift(lines: DataFrame, feed: str) -> DataFrame:
@@ -259,21 +272,31 @@ def raw_key_drift(lines: DataFrame, feed: str) -> DataFrame:
 
     ``lines`` has one JSON page per row in ``value``. Reading with a fixed schema drops unknown
     fields silently, so drift can only be seen here. One pass: pages open into buckets, buckets into
-    results, and only unknown keys reach the aggregation.
+    results, results into the objects they hold, and only unknown keys reach the aggregation. What
+    should be an object and isn't counts under the key ``(unreadable)``.
     """
     opened = lines.selectExpr(
-        _with_parts("'page'", "value", "bucket", "from_json(value, 'data array<string>').data")
+        _with_parts("'page'", "value", "'bucket'", "from_json(value, 'data array<string>').data")
     )
     results = "from_json(json, 'results array<string>').results"
     objects = opened.selectExpr(
-        _with_parts("level", "json", "result", f"if(level = 'bucket', {results}, null)")
+        _with_parts("level", "json", "'result'", f"if(level = 'bucket', {results}, null)")
     )
-    known = _KNOWN_KEYS | {"result": _RESULT_KEYS[feed]}
+    parts = _PART_KEYS[feed]
+    if parts:
+        shape = listed([", ".join(f"{name} string" for name in parts)])
+        inside = ", ".join(f"struct('{n}' as level, from_json(json, {shape}).{n} as json)" for n in parts)
+        held = f"if(level = 'result', filter(array({inside}), part -> part.json is not null), null)"
+        none = "cast(array() as array<struct<level: string, json: string>>)"
+        itself = "array(struct(level as level, json as json))"
+        objects = objects.selectExpr(f"inline(concat({itself}, coalesce({held}, {none})))")
+    known = _KNOWN_KEYS | {"result": _RESULT_KEYS[feed]} | parts
     unknown = " or ".join(
         f"(level = '{level}' and key not in ({listed(keys)}))" for level, keys in known.items()
     )
+    keys = f"coalesce(json_object_keys(json), array({literal(UNREADABLE)}))"
     return (
-        objects.selectExpr("level", "explode(json_object_keys(json)) as key")
+        objects.selectExpr("level", f"explode({keys}) as key")
         .where(unknown)
         .groupBy("level", "key")
         .agg(F.count("*").alias("objects"))
@@ -283,6 +306,6 @@ def raw_key_drift(lines: DataFrame, feed: str) -> DataFrame:
 def _with_parts(level: str, json: str, part_level: str, parts: str) -> str:
     """The object itself and the objects in it, each with its level."""
     itself = f"array(struct({level} as level, {json} as json))"
-    inside = f"transform({parts}, part -> struct('{part_level}' as level, part as json))"
+    inside = f"transform({parts}, part -> struct({part_level} as level, part as json))"
     none = "cast(array() as array<struct<level: string, json: string>>)"
     return f"inline(concat({itself}, coalesce({inside}, {none})))"

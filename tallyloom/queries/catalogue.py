@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions import listed
+from tallyloom.functions import listed, literal
 from tallyloom.model import (
     CURRENCY_CODES,
     DATASETS,
@@ -145,7 +145,7 @@ def read_csv_all_string(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_parquet_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = feeds.table(spark, sf_dir, "events")
     path = scratch_path(spark, "events-parquet")
-    older = F.col("event_type").isin("click", "error")
+    older = F.coalesce(F.col("event_type").isin("click", "error"), F.lit(False))
     for part in (events.where(older).drop("props"), events.where(~older).drop("value")):
         part.write.partitionBy("event_type").mode("append").parquet(path)
     merged = read_parquet(spark, path)
@@ -156,6 +156,10 @@ def read_parquet_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_ndjson_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "usage-json")
     feeds.usage_pages(spark, sf_dir).drop("_loaded_at").write.json(path)
+    # one more file of another form: an array over several lines, of pages without results
+    spark.range(1).selectExpr(
+        "'[\\n{\"has_more\": false,\\n\"data\": []}\\n]' as value"
+    ).write.mode("append").text(path)
     pages = read_json(spark, path, nested_ai.USAGE_PAGE)
     return nested_ai.stage_usage(pages).drop("_loaded_at")
 
@@ -168,12 +172,13 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dataset_inventory")
 def datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dataset_inventory({name: feeds.table(spark, sf_dir, name) for name in feeds.TABLES})
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in feeds.TABLES}
+    return dataset_inventory(tables)
 
 
 @query("column_profile")
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return column_profile(feeds.table(spark, sf_dir, "orders"))
+    return column_profile(spark.read.parquet(f"{sf_dir}/orders.parquet"))
 
 
 @query("stage_generic_feed")
@@ -190,7 +195,7 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("currency_seed_antijoin")
 def currency_seed_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _report(spark, sf_dir).select("UsageAccountId", "UsageStartDate", "CurrencyCode")
-    codes = F.broadcast(currency_frame(spark))
+    codes = currency_frame(spark)
     unknown = staged.join(codes, F.col("CurrencyCode") == F.col("currency_code"), "left_anti")
     return unknown.groupBy("CurrencyCode").agg(F.count("*").alias("rows"))
 
@@ -456,7 +461,7 @@ def dropped_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("billing_period")
 def billing_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.conform(feeds.periods(spark, sf_dir), "BillingPeriod")
+    return m.conform(stage_generic(feeds.periods(spark, sf_dir)), "BillingPeriod")
 
 
 @query("invoice_detail")
@@ -466,7 +471,7 @@ def invoice_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("contract_commitment")
 def contract_commitment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.conform(feeds.commitments(spark, sf_dir), "ContractCommitment")
+    return m.conform(stage_generic(feeds.commitments(spark, sf_dir)), "ContractCommitment")
 
 
 # Checks: each query gives the rows that break the check.
@@ -503,7 +508,7 @@ QUERIES["v_not_null"] = _breaks("not_null", "tag")
 QUERIES["v_accepted_values"] = _breaks("accepted_values", "currency", values=("USD", "XXX"))
 for _name, _sign in (("gt", ">"), ("lt", "<"), ("ge", ">="), ("le", "<=")):
     QUERIES[f"v_column_comparison_{_name}"] = _breaks(
-        "column_comparison", "reading", other="user_id", comparator=_sign
+        "column_comparison", "reading", other="target", comparator=_sign
     )
 for _name, _sign in (("eq", "=="), ("ne", "!=")):
     QUERIES[f"v_column_comparison_{_name}"] = _breaks(
@@ -538,19 +543,14 @@ def v_castable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("v_schema_assert")
 def v_schema_assert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report's raw columns against the manifest of staged names, of which two are known."""
-    raw = feeds.report(spark, sf_dir).withColumnsRenamed(
-        {"line_item/ResourceId": "ResourceId", "product/Region": "Region"}
+    """The whole raw report, with two new columns and one of our own, against its raw manifest."""
+    raw = feeds.report(spark, sf_dir).withColumns(
+        {
+            "line_item/NetUnblendedRate": F.expr("`line_item/NetUnblendedCost` / 2"),
+            "resourceTags/team": F.lit(None).cast("string"),
+        }
     )
-    shown = raw.select(
-        "ResourceId",
-        "Region",
-        "`line_item/CurrencyCode`",
-        "`line_item/NetUnblendedCost`",
-        "`bill/InvoiceId`",
-        "_loaded_at",
-    )
-    return schema_failures(shown, manifest("aws_cur"))
+    return schema_failures(raw, manifest("aws_cur", raw=True))
 
 
 @query("v_payload_key_drift")
@@ -558,7 +558,8 @@ def v_payload_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of a JSON column that its manifest does not name."""
     payload = (
         "case event_type when 'view' then replace(props, 'k', 'unit')"
-        " when 'error' then '{\"k\": 1, \"code\": 2, \"retry\": true}' else props end"
+        " when 'error' then '{\"k\": 1, \"code\": 2, \"retry\": true}'"
+        " when 'signup' then substring(props, 2) else props end"
     )
     events = feeds.table(spark, sf_dir, "events").selectExpr(f"{payload} as payload")
     return payload_key_drift(events, "payload", Manifest(frozenset(["k"]), frozenset(["retry"])))
@@ -566,14 +567,25 @@ def v_payload_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("v_page_key_drift")
 def v_page_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unknown keys in raw usage pages: new fields on every signup result and every click page."""
+    """Unknown keys in raw usage pages: new fields at every level, and lines that are no JSON."""
     pages = feeds.usage_pages(spark, sf_dir).selectExpr("to_json(struct(has_more, data)) as value")
-    changed = (
-        "replace(replace(value, '\"service_tier\":\"batch\"', '\"service_tier\":\"batch\",\"priority\":1'),"
-        " '{\"has_more\":false', '{\"has_more\":false,\"request_id\":7')"
-    )
+    new = {
+        '"service_tier":"batch"': '"service_tier":"batch","priority":1',
+        '{"has_more":false': '{"has_more":false,"request_id":7',
+        '"cache_creation":{"ephemeral_5m_input_tokens":0}': (
+            '"cache_creation":{"ephemeral_5m_input_tokens":0,"ephemeral_24h_input_tokens":1}'
+        ),
+        '"server_tool_use":{"web_search_requests":1}': (
+            '"server_tool_use":{"web_search_requests":1,"code_exec":3}'
+        ),
+    }
+    changed = "value"
+    for old, more in new.items():
+        changed = f"replace({changed}, {literal(old)}, {literal(more)})"
+    events = feeds.table(spark, sf_dir, "events")
+    broken = events.where("event_type = 'error'").selectExpr("'{\"data\": [' as value")
     path = scratch_path(spark, "pages-text")
-    pages.selectExpr(f"{changed} as value").write.text(path)
+    pages.selectExpr(f"{changed} as value").unionByName(broken).write.text(path)
     return nested_ai.raw_key_drift(read_json_lines(spark, path), "usage")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.functions import quoted, record
 
-# The shapes of the given tables; naming them saves a look into each file when a query is planned.
+# The shapes of the given tables that the feeds are derived from.
 _SHAPES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -37,7 +37,13 @@ TABLES = tuple(_SHAPES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(_SHAPES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    """A given table by its declared shape; a file that lacks a declared column is an error."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.schema(_SHAPES[name]).parquet(path)
+    missing = set(df.columns) - set(spark.read.parquet(path).columns)
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+    return df
 
 
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -321,8 +327,9 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
         " else date_format(ts, 'yyyy-MM-dd HH:mm:ss') end",
         "amount": "case event_type when 'view' then 'n/a' when 'signup' then '-1.5e3'"
         " when 'purchase' then value || ' USD' when 'error' then null else cast(value as string) end",
-        "currency": "case user_id % 5 when 0 then null when 1 then 'usd' when 2 then 'USD'"
-        " when 3 then 'XXX' else 'ZZZ' end",
+        "currency": "case user_id % 6 when 0 then null when 1 then 'usd' when 2 then 'USD'"
+        " when 3 then 'XXX' when 4 then 'EUR' else 'ZZZ' end",
+        "target": "value + case event_id % 3 when 0 then 0 when 1 then 1 else -1 end",
         "same_or_other": "case user_id % 3 when 0 then event_type when 1 then null else 'other' end",
         "hundreds": "floor(value)",
     }
@@ -353,7 +360,8 @@ def invoices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     }
     more = {"PaymentCurrency": "'EUR'", "PaymentCurrencyBilledCost": "o_totalprice * 0.5D"}
     orders = table(spark, sf_dir, "orders")
-    closed, others = orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F'")
+    closed = orders.where("o_orderstatus <=> 'F'")
+    others = orders.where("not (o_orderstatus <=> 'F')")
     return _as_text(_select(closed, common)), _select(others, common | more)
 
 

@@ -12,7 +12,6 @@ from tallyloom.model import (
     DATASETS,
 )
 from tallyloom.operators.drift import failure_reason
-from tallyloom.plans.suites import cost_and_usage_suite
 from tallyloom.queries.feeds import TABLES
 
 _TYPES = {"string": "VARCHAR", "json": "VARCHAR", "double": "DOUBLE", "timestamp": "TIMESTAMP"}
@@ -176,7 +175,8 @@ SELECT event_id, ts, user_id, event_type, floor(value)::BIGINT AS hundreds,
     ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS seen_at,
   CASE event_type WHEN 'view' THEN 'n/a' WHEN 'signup' THEN '-1.5e3'
     WHEN 'purchase' THEN value::VARCHAR || ' USD' WHEN 'click' THEN value::VARCHAR END AS amount,
-  [NULL, 'usd', 'USD', 'XXX', 'ZZZ'][user_id % 5 + 1] AS currency,
+  [NULL, 'usd', 'USD', 'XXX', 'EUR', 'ZZZ'][user_id % 6 + 1] AS currency,
+  value + [0, 1, -1][event_id % 3 + 1] AS target,
   CASE user_id % 3 WHEN 0 THEN event_type WHEN 2 THEN 'other' END AS same_or_other
 FROM events
 """
@@ -442,6 +442,113 @@ def newest(rows: str) -> str:
 
 # Check suites.
 
+# The checks of cost and usage, one a line: column, check, severity, tags.
+CHECKS = [
+    line.split()
+    for line in """
+BilledCost type_decimal error focus,type,cost_and_usage
+BilledCost format_numeric error focus,format,cost_and_usage
+BilledCost not_null error focus,presence,cost_and_usage
+BillingAccountId type_string error focus,type,cost_and_usage
+BillingAccountId format_string error focus,format,cost_and_usage
+BillingAccountId not_null error focus,presence,cost_and_usage
+BillingAccountName type_string error focus,type,cost_and_usage
+BillingAccountName not_null error focus,presence,cost_and_usage
+BillingAccountType type_string warn focus,type,conditional
+BillingCurrency type_string error focus,type,cost_and_usage
+BillingCurrency format_currency error focus,format,cost_and_usage
+BillingCurrency national_currency error focus,currency,cost_and_usage
+BillingCurrency not_null error focus,presence,cost_and_usage
+BillingPeriodStart type_datetime error focus,type,cost_and_usage
+BillingPeriodStart format_datetime error focus,format,cost_and_usage
+BillingPeriodStart not_null error focus,presence,cost_and_usage
+BillingPeriodEnd type_datetime error focus,type,cost_and_usage
+BillingPeriodEnd format_datetime error focus,format,cost_and_usage
+BillingPeriodEnd not_null error focus,presence,cost_and_usage
+ChargeCategory type_string error focus,type,cost_and_usage
+ChargeCategory not_null error focus,presence,cost_and_usage
+ChargeClass type_string error focus,type,cost_and_usage
+ChargeClass not_null error focus,presence,cost_and_usage
+ChargeDescription type_string error focus,type,cost_and_usage
+ChargeDescription not_null error focus,presence,cost_and_usage
+ChargeFrequency type_string warn focus,type,cost_and_usage
+ChargePeriodStart type_datetime error focus,type,cost_and_usage
+ChargePeriodStart format_datetime error focus,format,cost_and_usage
+ChargePeriodStart not_null error focus,presence,cost_and_usage
+ChargePeriodEnd type_datetime error focus,type,cost_and_usage
+ChargePeriodEnd format_datetime error focus,format,cost_and_usage
+ChargePeriodEnd not_null error focus,presence,cost_and_usage
+CommitmentDiscountCategory type_string warn focus,type,conditional
+CommitmentDiscountId type_string warn focus,type,conditional
+CommitmentDiscountName type_string warn focus,type,conditional
+CommitmentDiscountQuantity type_decimal warn focus,type,conditional
+CommitmentDiscountStatus type_string warn focus,type,conditional
+CommitmentDiscountType type_string warn focus,type,conditional
+CommitmentDiscountUnit type_string warn focus,type,conditional
+ConsumedQuantity type_decimal warn focus,type,conditional
+ConsumedUnit type_string warn focus,type,conditional
+ContractedCost type_decimal error focus,type,cost_and_usage
+ContractedCost format_numeric error focus,format,cost_and_usage
+ContractedCost not_null error focus,presence,cost_and_usage
+ContractedUnitPrice type_decimal warn focus,type,conditional
+EffectiveCost type_decimal error focus,type,cost_and_usage
+EffectiveCost format_numeric error focus,format,cost_and_usage
+EffectiveCost not_null error focus,presence,cost_and_usage
+ListCost type_decimal error focus,type,cost_and_usage
+ListCost format_numeric error focus,format,cost_and_usage
+ListCost not_null error focus,presence,cost_and_usage
+ListUnitPrice type_decimal warn focus,type,conditional
+PricingCategory type_string warn focus,type,conditional
+PricingCurrency type_string warn focus,type,conditional
+PricingCurrency format_currency warn focus,format,conditional
+PricingQuantity type_decimal error focus,type,cost_and_usage
+PricingQuantity format_numeric error focus,format,cost_and_usage
+PricingQuantity not_null error focus,presence,cost_and_usage
+PricingUnit type_string error focus,type,cost_and_usage
+PricingUnit format_unit error focus,format,cost_and_usage
+PricingUnit not_null error focus,presence,cost_and_usage
+ServiceCategory type_string error focus,type,cost_and_usage
+ServiceCategory not_null error focus,presence,cost_and_usage
+ServiceName type_string error focus,type,cost_and_usage
+ServiceName not_null error focus,presence,cost_and_usage
+ServiceSubcategory type_string warn focus,type,cost_and_usage
+SkuId type_string warn focus,type,conditional
+SkuMeter type_string warn focus,type,conditional
+SkuPriceDetails type_string warn focus,type,conditional
+SkuPriceId type_string warn focus,type,conditional
+SubAccountId type_string warn focus,type,conditional
+SubAccountName type_string warn focus,type,conditional
+SubAccountType type_string warn focus,type,conditional
+AvailabilityZone type_string warn focus,type,conditional
+CapacityReservationId type_string warn focus,type,conditional
+CapacityReservationStatus type_string warn focus,type,conditional
+ResourceId type_string warn focus,type,conditional
+ResourceName type_string warn focus,type,conditional
+ResourceType type_string warn focus,type,conditional
+RegionId type_string error focus,type,cost_and_usage
+RegionName type_string warn focus,type,conditional
+Tags format_key_value warn focus,format,conditional
+InvoiceId type_string warn focus,type,conditional
+InvoiceIssuerName type_string error focus,type,cost_and_usage
+InvoiceIssuerName not_null error focus,presence,cost_and_usage
+InvoiceDetailId type_string warn focus,type,conditional
+AllocatedResourceId type_string warn focus,type,conditional
+AllocatedResourceName type_string warn focus,type,conditional
+AllocatedMethodId type_string warn focus,type,conditional
+AllocatedMethodDetails type_json warn focus,type,conditional
+AllocatedMethodDetails format_json warn focus,format,conditional
+AllocatedTags format_key_value warn focus,format,conditional
+ContractApplied type_json warn focus,type,conditional
+ContractApplied format_json warn focus,format,conditional
+CommitmentProgramEligibilityDetails type_json warn focus,type,conditional
+CommitmentProgramEligibilityDetails format_json warn focus,format,conditional
+HostProviderName type_string error focus,type,cost_and_usage
+HostProviderName not_null error focus,presence,cost_and_usage
+ServiceProviderName type_string error focus,type,cost_and_usage
+ServiceProviderName not_null error focus,presence,cost_and_usage
+""".strip().splitlines()
+]
+
 
 def _breaks(check_name: str, column: str) -> str:
     """What a row must look like to break a canonical check; every column has its declared type."""
@@ -461,12 +568,12 @@ def _breaks(check_name: str, column: str) -> str:
 
 def suite(rows: str, only: str | None = None, severity: str | None = None) -> str:
     found = []
-    for check in cost_and_usage_suite():
-        if (only is None or only in check.tags) and severity in (None, check.severity):
+    for column, kind, level, tags in CHECKS:
+        if (only is None or only in tags.split(",")) and severity in (None, level):
             found.append(
-                f"SELECT '{check.column}' AS column_name, '{check.kind}' AS check_name,"
-                f" '{check.severity}' AS severity, '{','.join(check.tags)}' AS tags,"
-                f" count(*) FILTER (WHERE {_breaks(check.kind, check.column)}) AS violations FROM r"
+                f"SELECT '{column}' AS column_name, '{kind}' AS check_name,"
+                f" '{level}' AS severity, '{tags}' AS tags,"
+                f" count(*) FILTER (WHERE {_breaks(kind, column)}) AS violations FROM r"
             )
     return f"""
     WITH r AS MATERIALIZED ({rows}), counted AS ({' UNION ALL '.join(found)})
@@ -493,15 +600,15 @@ def _issued(name: str) -> list[tuple[str, str, str]]:
 
 
 _ROW_CHECKS = [
-    check
-    for check in cost_and_usage_suite()
-    if check.severity == "error" and check.kind in ("not_null", "national_currency", "format_datetime")
+    (column, kind)
+    for column, kind, level, _ in CHECKS
+    if level == "error" and kind in ("not_null", "national_currency", "format_datetime")
 ]
 MARKED = (
     "SELECT *, concat_ws(',', "
     + ", ".join(
-        f"CASE WHEN {_breaks(check.kind, check.column)} THEN '{check.name}' END"
-        for check in _ROW_CHECKS
+        f"CASE WHEN {_breaks(kind, column)} THEN '{kind}:{column}' END"
+        for column, kind in _ROW_CHECKS
     )
     + f") AS failed FROM ({FLAWED})"
 )
@@ -539,30 +646,28 @@ def _type_map() -> str:
 
 
 def _profile() -> str:
-    kinds = {
-        "o_orderkey": "bigint",
-        "o_custkey": "bigint",
-        "o_orderstatus": "string",
-        "o_totalprice": "double",
-        "o_orderdate": "timestamp_ntz",
-        "o_orderpriority": "string",
-    }
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS column_name, '{kind}' AS data_type, 'YES' AS is_nullable,"
-        f" count(*) FILTER (WHERE {name} IS NULL) AS null_rows, min({name})::VARCHAR AS min_value,"
-        f" max({name})::VARCHAR AS max_value FROM orders"
-        for name, kind in kinds.items()
+    spark_name = (
+        "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string'"
+        " WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END"
     )
+    ranges = " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) FILTER (WHERE {name} IS NULL) AS null_rows,"
+        f" min({name})::VARCHAR AS min_value, max({name})::VARCHAR AS max_value FROM orders"
+        for name in (
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+        )
+    )
+    return f"""
+        SELECT column_name, {spark_name} AS data_type, "null" AS is_nullable, null_rows, min_value, max_value
+        FROM (DESCRIBE orders) FULL JOIN ({ranges}) USING (column_name)"""
 
 
-_WIDTHS = dict(zip(TABLES, (2, 3, 5, 4, 6, 6, 11, 6, 5, 3, 3, 2, 3, 4), strict=True))
-
 _CONFORM_INVOICE = """
 SELECT o_totalprice AS BilledCost, 'acct-' || o_custkey AS BillingAccountId, 'USD' AS BillingCurrency,
   'detail-' || o_orderkey AS InvoiceDetailId, 'invoice-' || o_custkey AS InvoiceId,
   o_orderdate AS InvoiceIssueDate,
-  CASE WHEN o_orderstatus <> 'F' THEN 'EUR' END AS PaymentCurrency,
-  CASE WHEN o_orderstatus <> 'F' THEN o_totalprice * 0.5 END AS PaymentCurrencyBilledCost
+  CASE WHEN o_orderstatus IS DISTINCT FROM 'F' THEN 'EUR' END AS PaymentCurrency,
+  CASE WHEN o_orderstatus IS DISTINCT FROM 'F' THEN o_totalprice * 0.5 END AS PaymentCurrencyBilledCost
 FROM orders
 """
 
@@ -584,6 +689,9 @@ _ALL_BUT_LOADED = (
     " workspace_id, account_id, service_account_id, service_tier, context_window, inference_geo"
 )
 
+# Amounts as the decimals they are written as, so that the sum has no rounding of its own.
+_BILLED = "coalesce(sum(BilledCost::VARCHAR::DECIMAL(38, 18))::DOUBLE, 0)"
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "read_csv_all_string": """
@@ -594,13 +702,13 @@ ORACLE: dict[str, str] = {
     "read_parquet_merge": """
         SELECT event_id, ts, user_id, event_type,
           CASE WHEN event_type IN ('click', 'error') THEN value END AS value,
-          CASE WHEN event_type NOT IN ('click', 'error') THEN props END AS props FROM events""",
+          CASE WHEN (event_type IN ('click', 'error')) IS NOT TRUE THEN props END AS props FROM events""",
     "read_ndjson_nested": f"SELECT {_ALL_BUT_LOADED} FROM ({USAGE})",
     "file_inventory": " UNION ALL ".join(
         f"SELECT '{name}.parquet' AS file_name, count(*) AS rows FROM {name}" for name in TABLES
     ),
     "dataset_inventory": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS rows, {_WIDTHS[name]}::BIGINT AS columns FROM {name}"
+        f"SELECT '{name}' AS table_name, count(*) AS rows, (SELECT count(*) FROM (DESCRIBE {name})) AS columns FROM {name}"
         for name in TABLES
     ),
     "column_profile": _profile(),
@@ -608,8 +716,8 @@ ORACLE: dict[str, str] = {
         SELECT o_totalprice::VARCHAR AS BilledCost, 'acct-' || o_custkey AS BillingAccountId,
           'USD' AS BillingCurrency, 'detail-' || o_orderkey AS InvoiceDetailId,
           'invoice-' || o_custkey AS InvoiceId, o_orderdate::VARCHAR AS InvoiceIssueDate,
-          CASE WHEN o_orderstatus <> 'F' THEN 'EUR' END AS PaymentCurrency,
-          CASE WHEN o_orderstatus <> 'F' THEN o_totalprice * 0.5 END AS PaymentCurrencyBilledCost,
+          CASE WHEN o_orderstatus IS DISTINCT FROM 'F' THEN 'EUR' END AS PaymentCurrency,
+          CASE WHEN o_orderstatus IS DISTINCT FROM 'F' THEN o_totalprice * 0.5 END AS PaymentCurrencyBilledCost,
           TIMESTAMP '2024-06-01' AS _loaded_at, '1.4' AS _focus_version FROM orders""",
     "source_freshness": f"""
         SELECT newest, age_hours, CASE WHEN age_hours <= 24 THEN 'pass' ELSE 'warn' END AS status
@@ -706,9 +814,10 @@ ORACLE: dict[str, str] = {
     "canonical_union": newest(ALL_ROWS),
     "dedup_latest": newest(tagged("aws_cur", REPORT_ROWS)),
     "dedup_report": f"""
-        SELECT _provider, SUM(n)::BIGINT AS rows, count(*) AS kept, (SUM(n) - count(*))::BIGINT AS dropped
-        FROM (SELECT _provider, count(*) AS n FROM ({ALL_ROWS}) GROUP BY _provider, {', '.join(_KEY)})
-        GROUP BY _provider""",
+        SELECT _provider, rows, kept, rows - kept AS dropped, billed, billed_kept
+        FROM (SELECT _provider, count(*) AS rows, {_BILLED} AS billed FROM ({ALL_ROWS}) GROUP BY 1)
+        JOIN (SELECT _provider, count(*) AS kept, {_BILLED} AS billed_kept FROM ({newest(ALL_ROWS)})
+          GROUP BY 1) USING (_provider)""",
     "billing_period": canonical(
         _PERIODS,
         {
@@ -777,10 +886,10 @@ ORACLE: dict[str, str] = {
     "v_distinct_count": f"""
         SELECT distinct_count FROM (SELECT count(DISTINCT user_id) AS distinct_count
         FROM ({OBSERVED}) WHERE tag IS NOT NULL) WHERE distinct_count <> 5""",
-    "v_column_comparison_gt": breaks("reading", "reading <= user_id", "user_id"),
-    "v_column_comparison_lt": breaks("reading", "reading >= user_id", "user_id"),
-    "v_column_comparison_ge": breaks("reading", "reading < user_id", "user_id"),
-    "v_column_comparison_le": breaks("reading", "reading > user_id", "user_id"),
+    "v_column_comparison_gt": breaks("reading", "reading <= target", "target"),
+    "v_column_comparison_lt": breaks("reading", "reading >= target", "target"),
+    "v_column_comparison_ge": breaks("reading", "reading < target", "target"),
+    "v_column_comparison_le": breaks("reading", "reading > target", "target"),
     "v_column_comparison_eq": breaks("event_type", "event_type <> same_or_other", "same_or_other"),
     "v_column_comparison_ne": breaks("event_type", "event_type = same_or_other", "same_or_other"),
     "v_castable": f"""
@@ -794,18 +903,22 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'currency', 'string', count(currency), 0 FROM r""",
     "v_schema_assert": f"""
         WITH r AS ({REPORT})
-        SELECT 'line_item/CurrencyCode' AS column_name,
-          '{failure_reason("line_item/CurrencyCode")}' AS failure_reason,
-          count(CurrencyCode) AS rows_with_value FROM r
-        UNION ALL SELECT 'line_item/NetUnblendedCost',
-          '{failure_reason("line_item/NetUnblendedCost")}', count(NetUnblendedCost) FROM r
-        UNION ALL SELECT 'bill/InvoiceId', '{failure_reason("bill/InvoiceId")}', 0""",
+        SELECT '_loaded_at' AS column_name, '{failure_reason("_loaded_at")}' AS failure_reason,
+          count(_loaded_at) AS rows_with_value FROM r
+        UNION ALL SELECT 'line_item/NetUnblendedRate', '{failure_reason("line_item/NetUnblendedRate")}',
+          count(NetUnblendedCost) FROM r
+        UNION ALL SELECT 'resourceTags/team', '{failure_reason("resourceTags/team")}', 0""",
     "v_payload_key_drift": """
         SELECT 'code' AS key, count(*) AS rows_with_key FROM events WHERE event_type = 'error'
-        UNION ALL SELECT 'unit', count(*) FROM events WHERE event_type = 'view'""",
+        UNION ALL SELECT 'unit', count(*) FROM events WHERE event_type = 'view'
+        UNION ALL SELECT '(unreadable)', count(*) FROM events WHERE event_type = 'signup'""",
     "v_page_key_drift": """
         SELECT 'page' AS level, 'request_id' AS key, count(*) AS objects FROM events
-        UNION ALL SELECT 'result', 'priority', count(*) FROM events WHERE event_type = 'signup'""",
+        UNION ALL SELECT 'result', 'priority', count(*) FROM events WHERE event_type = 'signup'
+        UNION ALL SELECT 'cache_creation', 'ephemeral_24h_input_tokens', count(*) FROM events
+          WHERE event_type = 'signup'
+        UNION ALL SELECT 'server_tool_use', 'code_exec', count(*) FROM events WHERE event_type = 'click'
+        UNION ALL SELECT 'page', '(unreadable)', count(*) FROM events WHERE event_type = 'error'""",
     "v_suite_report": suite(FLAWED),
     "v_suite_by_tag": suite(FLAWED, "format", "error"),
     "v_staging_suite": counted_checks(

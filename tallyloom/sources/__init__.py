@@ -8,9 +8,16 @@ from tallyloom.sources.inventory import (
     rows_per_file,
 )
 from tallyloom.sources.jdbc import attach_jdbc, jdbc_options, read_jdbc
-from tallyloom.sources.sinks import publish_views, read_partitioned, write_partitioned
+from tallyloom.sources.sinks import (
+    MONTH,
+    publish_views,
+    read_partitioned,
+    with_month,
+    write_partitioned,
+)
 
 __all__ = [
+    "MONTH",
     "attach_jdbc",
     "column_profile",
     "dataset_inventory",
@@ -28,5 +35,6 @@ __all__ = [
     "stage_generic",
     "union_by_name",
     "with_load_time",
+    "with_month",
     "write_partitioned",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions import utc_instant
+from tallyloom.functions import literal, utc_instant
 from tallyloom.operators.staging import LOADED_AT
 
 Paths = str | list[str]
@@ -64,21 +64,83 @@ def read_parquet(
     return reader.option("mergeSchema", True).parquet(path)
 
 
+# A line that can be a whole value. In a file whose every line is like this no value spans lines: if one
+# did, a comma or bracket would stand at the end of a line or at the start of the next.
+_WHOLE_LINE = r"^\s*(\{.*\}|\[.*\])\s*$"
+
+_ARRAY = r"^\s*\["
+
+
+def json_files(spark: SparkSession, path: Paths) -> tuple[list[str], list[str]]:
+    """The files whose values each fit a line, and those with values over several lines.
+
+    One pass over the text, without parsing it; only file names come to the driver. Empty files are
+    in neither list.
+    """
+    found = (
+        spark.read.text(path)
+        .where(F.trim("value") != "")
+        .selectExpr("_metadata.file_path as file", f"value rlike {literal(_WHOLE_LINE)} as whole")
+        .groupBy("file")
+        .agg(F.min("whole").alias("whole"))
+        .orderBy("file")
+        .collect()
+    )
+    return [r.file for r in found if r.whole], [r.file for r in found if not r.whole]
+
+
 def read_json(
     spark: SparkSession, path: Paths, schema: T.StructType | str, json_format: str = "auto"
 ) -> DataFrame:
     """A JSON feed: ``newline_delimited``, ``array`` (one array per file), or ``auto``.
 
-    ``auto`` looks at the first line. Newline-delimited files are split over tasks, an array is not.
+    ``auto`` finds the form of each file by itself, so that forms may be mixed in a folder. A line may hold
+    an object or an array of objects; such files are split over tasks. A file whose value spans
+    lines, an array or a single object, is one row of text first, which Spark limits to 2 GB; if it
+    holds more than that one value the read stops, as it does at anything unreadable.
+
+    Where forms are mixed, the frame also has the file's ``_metadata``, for ``with_load_time``.
     """
     if json_format not in ("auto", "newline_delimited", "array"):
         raise ValueError(f"unknown JSON format {json_format!r}")
-    if json_format == "auto":
-        first = spark.read.text(path).where(F.trim("value") != "").head()
-        is_array = first is not None and first["value"].lstrip().startswith("[")
-        json_format = "array" if is_array else "newline_delimited"
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    return reader.option("multiLine", json_format == "array").json(path)
+    if json_format != "auto":
+        return reader.option("multiLine", json_format == "array").json(path)
+    by_line, spanning = json_files(spark, path)
+    if not spanning:
+        return reader.json(path)
+    parts = [_spanning_values(spark, spanning, schema)]
+    if by_line:
+        parts.append(reader.json(by_line).select("*", "_metadata"))
+    return parts[0] if len(parts) == 1 else parts[1].unionByName(parts[0])
+
+
+def _spanning_values(spark: SparkSession, files: list[str], schema: T.StructType | str) -> DataFrame:
+    """One row per object of files that each hold one array or object over several lines.
+
+    The parser ignores what follows a value. So the text is parsed as one member of an object, and a
+    second member must be found behind it.
+    """
+    kind = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<")[:-1]
+    whole = spark.read.text(files, wholetext=True).select("value", "_metadata")
+
+    def objects(shape: str) -> str:
+        wrapped = "'{\"v\":' || value || ',\"whole\":true}'"
+        wanted = literal(f"v {shape}, whole boolean")
+        return f"from_json({wrapped}, {wanted}, map('mode', 'FAILFAST'))"
+
+    is_array = f"value rlike {literal(_ARRAY)}"
+    parts = []
+    for chosen, shape, values in (
+        (is_array, f"array<struct<{kind}>>", "p.v"),
+        (f"not {is_array}", f"struct<{kind}>", "array(p.v)"),
+    ):
+        parsed = whole.where(chosen).selectExpr(f"{objects(shape)} as p", "_metadata")
+        unfinished = "raise_error('more than one JSON value, or none, in ' || _metadata.file_path)"
+        parts.append(
+            parsed.selectExpr(f"inline(if(p.whole, {values}, {unfinished}))", "_metadata")
+        )
+    return parts[0].unionByName(parts[1])
 
 
 def read_json_lines(spark: SparkSession, path: Paths) -> DataFrame:
@@ -86,6 +148,22 @@ def read_json_lines(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "")
 
 
+def read_json_values(spark: SparkSession, path: Paths) -> DataFrame:
+    """The objects of a JSON feed of any form as text, one per row in ``value``."""
+    by_line, spanning = json_files(spark, path)
+    parts = []
+    if by_line:
+        parts.append(spark.read.text(by_line).where(F.trim("value") != ""))
+    if spanning:
+        parts.append(spark.read.text(spanning, wholetext=True))
+    if not parts:
+        return spark.createDataFrame([], "value string")
+    # an array is opened; what is no array, or not JSON at all, stays as it is
+    opened = f"if(value rlike {literal(_ARRAY)}, from_json(value, 'array<string>'), array(value))"
+    texts = [df.selectExpr(f"explode(coalesce({opened}, array(value))) as value") for df in parts]
+    return texts[0] if len(texts) == 1 else texts[0].unionByName(texts[1])
+
+
 def with_load_time(df: DataFrame) -> DataFrame:
     """Adds the time the row's file was written, which orders versions of the same charge."""
     return df.selectExpr("*", f"{utc_instant('_metadata.file_modification_time')} as {LOADED_AT}")

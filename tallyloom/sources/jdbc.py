@@ -54,9 +54,19 @@ def read_jdbc(
 
 
 def attach_jdbc(
-    spark: SparkSession, kind: str, address: str, tables: Iterable[str], alias: str = "ext_source"
+    spark: SparkSession,
+    kind: str,
+    address: str,
+    tables: Iterable[str] | Mapping[str, str | None],
+    alias: str = "ext_source",
+    partitions: int = 32,
 ) -> None:
-    """Makes tables of a database readable as views ``alias_table``."""
-    for table in tables:
+    """Makes tables of a database readable as views ``alias_table``.
+
+    A mapping names each table's partition column (or None); such tables are read in ``partitions`` ranges.
+    """
+    columns = tables if isinstance(tables, Mapping) else dict.fromkeys(tables)
+    for table, column in columns.items():
         view = f"{alias}_{table.replace('.', '_')}"
-        read_jdbc(spark, jdbc_options(kind, address, table)).createOrReplaceTempView(view)
+        df = read_jdbc(spark, jdbc_options(kind, address, table), column, partitions)
+        df.createOrReplaceTempView(view)

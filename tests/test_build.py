@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.model import column_list
 from tallyloom.plans.build import build
+from tallyloom.sources import read_partitioned
 
 
 @pytest.fixture(scope="module")
@@ -166,6 +168,81 @@ def test_raw_schema_drift(spark, paths, tmp_path):
     assert "surprise" in found[0][1]
 
 
+def test_key_drift_of_the_json_feeds(spark, paths, run, tmp_path):
+    assert run.key_drift().collect() == []
+    page = json.loads(open(paths.feeds["anthropic_usage"]).readline())
+    page["data"][0]["results"][0]["cache_creation"]["ephemeral_24h_input_tokens"] = 7
+    changed = tmp_path / "usage.json"
+    changed.write_text(json.dumps([page, page], indent=1))
+    feeds = dict(paths.feeds, anthropic_usage=str(changed))
+    found = build(spark, type(paths)(feeds), provider="anthropic").key_drift().collect()
+    assert [tuple(r) for r in found] == [
+        ("anthropic_usage", "cache_creation", "ephemeral_24h_input_tokens", 2)
+    ]
+
+
+def test_generic_feeds_must_fit_their_dataset(spark, paths, tmp_path):
+    feed = tmp_path / "commitments.csv"
+    feed.write_text("contract_id,cost\na,1\nb,2\n")
+    wrong = type(paths)(paths.feeds, {"contract_commitment": str(feed)})
+    with pytest.raises(ValueError, match="contract_commitment"):
+        build(spark, wrong, provider="azure_ai")
+    feed.write_text("ContractId,cost\na,1\nb,2\n")
+    half = build(spark, wrong, provider="azure_ai")
+    assert half.canonical["ContractCommitment"].count() == 2
+    assert [name for name, reason in half.schema_failures() if "cost" in reason] == ["contract_commitment"]
+    assert ("contract_commitment", "ContractCommitmentCost") in half.missing_columns()
+
+
+def test_missing_columns_and_unknown_providers(spark, paths, run):
+    assert ("aws_cur", "line_item/UsageAmount") not in run.missing_columns()
+    with pytest.raises(ValueError, match="azure"):
+        build(spark, paths, enabled=["aws_cur", "azure"])
+
+
+def test_written_run_reads_its_own_tables(spark, paths, run, rows, tmp_path):
+    written = run.write(str(tmp_path / "out"))
+    for frame in (*written.staged.values(), *written.mapped.values(), *written.canonical.values()):
+        files = frame.inputFiles()
+        assert all("/out/" in f or "/out_staged/" in f for f in files)
+    again = [row.asDict() for row in written.canonical["CostAndUsage"].collect()]
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+    assert sorted(map(str, written.check().collect())) == sorted(map(str, run.check().collect()))
+    month = read_partitioned(spark, str(tmp_path / "out"), ["aws_cur"], months=["2025-01"])
+    assert month.count() == 5
+
+
+def test_empty_selection_gives_an_empty_report(run):
+    assert run.check(tags=["nosuch"]).collect() == []
+    assert run.check(tags=["nosuch"]).columns == run.check(tags=["presence"]).columns
+    assert run.asserts_chosen(["schema"]) and not run.asserts_chosen(["presence"])
+    assert not run.asserts_chosen(severity="warn")
+
+
+def test_freshness_of_the_run(run):
+    found = {r["feed"]: r["status"] for r in run.freshness().collect()}
+    assert found["aws_cur"] == "pass" and len(found) == len(run.staged)
+
+
+def test_strict_is_the_default(spark, paths, tmp_path):
+    cost = tmp_path / "cost.json"
+    page = json.loads(open(paths.feeds["anthropic_cost"]).readline())
+    more = dict(page["data"][0]["results"][0], cost_type="manual", amount="900")
+    page["data"][0]["results"].append(more)
+    cost.write_text(json.dumps(page) + "\n")
+    changed = type(paths)(dict(paths.feeds, anthropic_cost=str(cost)))
+    billed = {
+        strict: build(spark, changed, enabled=["anthropic"], strict=strict)
+        .canonical["CostAndUsage"]
+        .agg(F.sum("BilledCost"))
+        .head()[0]
+        for strict in (True, False)
+    }
+    assert billed[True] > billed[False]
+    default = build(spark, changed, enabled=["anthropic"]).canonical["CostAndUsage"]
+    assert default.agg(F.sum("BilledCost")).head()[0] == pytest.approx(billed[True])
+
+
 def test_views(spark, run):
     run.publish()
     total = spark.sql("select sum(BilledCost) from CostAndUsage where _provider = 'azure_ai'")

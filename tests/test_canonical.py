@@ -101,15 +101,28 @@ def test_custom_key(feed):
 def test_duplicates_are_reported(feed):
     report = dedup_report(canonical_one(feed)).head().asDict()
     assert report == {"_provider": "p", "rows": 8, "kept": 4, "dropped": 4}
-    assert duplicates([feed]).head().asDict() == report
+    # what goes are the costs 1, 3, 5 and 6
+    assert duplicates([feed]).head().asDict() == {**report, "billed": 37.0, "billed_kept": 22.0}
+
+
+def test_unknown_names_are_refused(feed, staged):
+    for key in (["ChargePeriodStrt"], ["ChargePeriodStart", "ResourceID"]):
+        with pytest.raises(ValueError, match=key[-1]):
+            feed.latest(key=key)
+    with pytest.raises(ValueError, match="azure"):
+        canonical_all([feed], enabled=["p", "azure"])
+    with pytest.raises(ValueError, match="nosuch"):
+        dedup_latest(staged, key=["nosuch"])
 
 
 def test_provider_selection(staged, feed):
     other = MappedFeed("q", (Branch(staged, RULES),))
     assert canonical_all([feed, other]).count() == 8
     assert {r["_provider"] for r in canonical_all([feed, other], enabled=["q"]).collect()} == {"q"}
-    with pytest.raises(ValueError, match="no provider"):
+    with pytest.raises(ValueError, match="unknown providers: z"):
         canonical_all([feed], enabled=["z"])
+    with pytest.raises(ValueError, match="no provider"):
+        canonical_all([feed], enabled=[])
 
 
 def test_hot_key_is_cut_before_the_shuffle(feed):

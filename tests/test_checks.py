@@ -181,7 +181,11 @@ def test_payload_drift(spark):
         [('{"a":1,"b":2}',), ('{"b":1,"b":2}',), ("not json",), (None,), ('{"c":{"d":1}}',)], "p string"
     )
     found = drift.payload_key_drift(df, "p", Manifest(frozenset(["a"])))
-    assert {row["key"]: row["rows_with_key"] for row in found.collect()} == {"b": 2, "c": 1}
+    assert {row["key"]: row["rows_with_key"] for row in found.collect()} == {
+        "b": 2,
+        "c": 1,
+        drift.UNREADABLE: 1,
+    }
 
 
 def test_page_drift(spark):
@@ -189,13 +193,26 @@ def test_page_drift(spark):
         '{"data":[{"starting_at":"x","zone":1,"results":[{"model":"m","new":1},{"new":2}]}],"more":1}',
         '{"data":[{"results":[]},{"zone":2,"results":null}],"has_more":false}',
         '{"data":null}',
+        '{"data":[{"results":[{"cache_creation":{"ephemeral_24h_input_tokens":1},'
+        '"server_tool_use":{"web_search_requests":1,"code_exec":2}}, {"cache_creation":null}]}]}',
+        '{"data":[{"results":["x"]}, 7]}',
+        '{"data":[',
     ]
     df = spark.createDataFrame([(line,) for line in lines], "value string")
     found = {(r["level"], r["key"]): r["objects"] for r in nested_ai.raw_key_drift(df, "usage").collect()}
-    assert found == {("page", "more"): 1, ("bucket", "zone"): 2, ("result", "new"): 2}
+    assert found == {("page", "more"): 1, ("bucket", "zone"): 2, ("result", "new"): 2,
+        ("cache_creation", "ephemeral_24h_input_tokens"): 1, ("server_tool_use", "code_exec"): 1,
+        ("result", drift.UNREADABLE): 1, ("bucket", drift.UNREADABLE): 1, ("page", drift.UNREADABLE): 1,
+    }
 
 
 def test_an_empty_manifest_knows_nothing(spark):
     assert drift.manifest_frame(spark, Manifest()).count() == 0
     df = spark.createDataFrame([('{"a":1}',)], "p string")
     assert drift.payload_key_drift(df, "p", Manifest()).head()["key"] == "a"
+
+
+def test_a_report_without_checks_is_empty(spark):
+    found = report(spark.range(3), [])
+    assert found.collect() == []
+    assert found.columns == report(spark.range(3), [Check("not_null", "id")]).columns

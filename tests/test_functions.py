@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import duckdb
 import pytest
@@ -31,6 +32,7 @@ def evaluate(spark, values, sql, kind="string"):
     return [row[0] for row in df.orderBy("i").selectExpr(f"{sql} as x").collect()]
 
 
+# Accepted forms of a date-time, and texts near them.
 DATE_TIMES = [
     "2025-01-02", "2025-1-2", "25-1-2", "5-1-2", "2025-01-02 ", "  2025-01-02", "12025-01-02",
     "-2025-01-02", "0000-01-01", "2025-13-01", "2025-02-30", "2024-02-29", "2025-00-10", "20250102",
@@ -158,6 +160,47 @@ def test_sum_does_not_depend_on_order(spark):
     assert sums == {30.000000005}
 
 
+def test_sum_keeps_small_and_large_amounts(spark):
+    def total(values):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        return df.selectExpr(exact_sum("v")).head()[0]
+
+    assert total([4e-11] * 1000) == pytest.approx(4e-8, rel=1e-15)
+    assert total([1e18, 1.0, -1e18]) == 1.0
+    assert total([1e25, 2.5]) == 1e25
+    assert total([1e-30, 1e-30]) == 2e-30
+    assert total([9e19] * 300) == pytest.approx(2.7e22)
+    assert total([None, None]) is None and total([None, 2.0]) == 2.0
+    assert math.isnan(total([1.0, math.nan])) and total([math.inf, 1.0]) == math.inf
+
+
+def test_json_beyond_the_parsers_limits_is_not_judged(spark):
+    long, deep, wide = '"' + "x" * 21_000_000 + '"', "[" * 1200 + "]" * 1200, "1" * 1200
+    assert evaluate(spark, [long, deep, wide], is_json("v")) == [None, None, None]
+    fits = ["[" * 900 + "]" * 900, '"' + "x" * 1_000_000 + '"', "[" * 90 + "]" * 89, "1" * 900 + "x"]
+    assert evaluate(spark, fits, is_json("v")) == [True, True, False, False]
+
+
+def test_named_zones_are_applied(spark):
+    values = [
+        "2025-07-01T12:00:00 Europe/Paris",
+        "2025-07-01 12:00:00 PST",
+        "2025-07-01T12:00:00[Asia/Tokyo]",
+        "2025-07-01T12:00:00 UTC",
+        "2025-07-01T12:00:00GMT+5",
+    ]
+    castable = evaluate(spark, values, is_castable("v", "timestamp"))
+    hours = {0: 10, 1: 19, 3: 12, 4: 7}
+    for i, value in enumerate(values):
+        if castable[i]:
+            got = evaluate(spark, [value], cast_text("v", "timestamp"))[0]
+            assert got == dt.datetime(2025, 7, 1, hours[i])
+        else:
+            with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+                evaluate(spark, [value], cast_text("v", "timestamp"))
+    assert castable[0] and castable[3]
+
+
 def test_concat_skips_nulls(spark):
     df = spark.createDataFrame([("a", None, 1), (None, None, None)], "x string, y string, z int")
     assert [r[0] for r in df.selectExpr(concat_present("x", "y", "z")).collect()] == ["a1", ""]

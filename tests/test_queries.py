@@ -1,4 +1,4 @@
-"""The query catalogue next to its SQL, on the smallest tables; tools/compare.py runs all of it."""
+"""The query catalogue next to its SQL, on the smallest tables."""
 
 from __future__ import annotations
 
@@ -11,22 +11,6 @@ from tallyloom.queries import ORACLE, QUERIES
 from tools.compare import difference, views
 
 SF_DIR = "/root/testdata/sf0.001"
-SAMPLE = (
-    "read_csv_all_string",
-    "read_parquet_merge",
-    "stage_generic_feed",
-    "rename_map",
-    "map_ai_usage_strict",
-    "usage_agg",
-    "canonical_union",
-    "dedup_latest",
-    "dedup_report",
-    "write_read_partitioned",
-    "v_suite_report",
-    "v_page_key_drift",
-    "quarantine_split",
-)
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the given tables")
 
 
@@ -35,7 +19,7 @@ def con():
     return views(SF_DIR)
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_as_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) == ""
 

@@ -171,3 +171,72 @@ def test_scratch_folder_follows_the_session(spark, scratch):
     assert "tallyloom-" in scratch_path(_Unset("local[4]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(_Unset("spark://host:7077"), "x")
+
+
+NUMBERS = "n bigint, t string"
+
+
+def numbered(first, count):
+    return [{"n": i, "t": f"text [{i}] {{x}}"} for i in range(first, first + count)]
+
+
+@pytest.mark.parametrize("large", ["array", "lines"])
+def test_json_forms_mixed_in_a_folder(spark, tmp_path, large):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    array, lines = (100, 3) if large == "array" else (3, 100)
+    write(folder / "a.json", json.dumps(numbered(0, array), indent=1))
+    write(folder / "b.json", "\n".join(map(json.dumps, numbered(1000, lines))) + "\n\n")
+    write(folder / "c.json", json.dumps(numbered(2000, 1)[0], indent=2))
+    write(folder / "d.json", "".join(json.dumps(numbered(3000 + 2 * i, 2)) + "\n" for i in range(3)))
+    write(folder / "e.json", json.dumps(numbered(4000, 5000)))
+    write(folder / "f.json", " \n")
+    df = sources.read_json(spark, str(folder), NUMBERS)
+    got = sorted(r["n"] for r in df.collect())
+    want = [*range(array), *range(1000, 1000 + lines), 2000, *range(3000, 3006), *range(4000, 9000)]
+    assert got == want
+    assert sources.with_load_time(df).where("_loaded_at is null").isEmpty()
+
+
+def test_json_arrays_by_line(spark, tmp_path):
+    path = write(tmp_path / "a.json", "".join(json.dumps(numbered(i, 1)) + "\n" for i in range(3)))
+    assert sources.read_json(spark, path, NUMBERS).count() == 3
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"n":\n1}\n{"n":\n2}',
+        '[\n{"n": 1}\n]\n[\n{"n": 2}\n]',
+        '[\n{"n": 1}\n',
+        '[\n{"n": 1}]}\n,"whole":true}',
+        "not json",
+    ],
+)
+def test_json_that_is_not_one_value_stops_the_read(spark, tmp_path, text):
+    path = write(tmp_path / "a.json", text)
+    with pytest.raises(Exception, match="JSON|MALFORMED|Malformed"):
+        sources.read_json(spark, path, NUMBERS).collect()
+
+
+def test_attach_passes_partition_columns(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(
+        sources.jdbc, "read_jdbc", lambda s, o, c, n: seen.append((o["dbtable"], c, n)) or s.range(1)
+    )
+    sources.jdbc.attach_jdbc(spark, "sqlite", "x.db", {"a.b": "id", "c": None}, partitions=8)
+    assert seen == [("a.b", "id", 8), ("c", None, 8)]
+    assert spark.table("ext_source_a_b").count() == 1
+
+
+def test_month_folders_are_pruned(spark, tmp_path):
+    rows = spark.sql(
+        "select timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(cast(id as int)) as ChargePeriodStart,"
+        " if(id % 2 = 0, 'x', 'y') as _provider from range(120)"
+    )
+    path = str(tmp_path / "t")
+    sources.write_partitioned(sources.with_month(rows), path, (PROVIDER, sources.MONTH), rebalance=True)
+    march = sources.read_partitioned(spark, path, providers=["x"], months=["2025-03"])
+    assert march.count() == 15 and march.select("_month").distinct().head()[0] == "2025-03"
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
