@@ -45,7 +45,7 @@ def pick(rows, provider, **wanted):
 
 
 def test_nested_usage_meets_its_cost(rows):
-    hour = dt.datetime(2025, 1, 2)
+    hour = dt.datetime(2031, 5, 4, 7)
     row = pick(
         rows,
         "anthropic",
@@ -53,9 +53,9 @@ def test_nested_usage_meets_its_cost(rows):
         SubAccountId="ws-a",
         ChargeDescription="m-one - Uncached Input Tokens",
     )
-    assert row["ConsumedQuantity"] == 2000.0
-    assert row["BilledCost"] == row["ListCost"] == 3.0
-    assert row["ContractedUnitPrice"] == 3.0 / 2000
+    assert row["ConsumedQuantity"] == 1500.0
+    assert row["BilledCost"] == row["ListCost"] == 6.0
+    assert row["ContractedUnitPrice"] == 6.0 / 1500
     assert row["ChargeCategory"] == "Usage"
     fee = pick(
         rows,
@@ -64,7 +64,7 @@ def test_nested_usage_meets_its_cost(rows):
         SubAccountId=None,
         ChargeDescription="m-one - Web Search Requests",
     )
-    assert (fee["ChargeCategory"], fee["BilledCost"]) == ("Fee", 0.04)
+    assert (fee["ChargeCategory"], fee["BilledCost"]) == ("Fee", 0.7)
     assert fee["ContractedUnitPrice"] is None
     free = pick(
         rows,
@@ -78,24 +78,24 @@ def test_nested_usage_meets_its_cost(rows):
 
 def test_seats_and_credits(rows):
     seat = pick(rows, "copilot", SubAccountId="ann", ChargeFrequency="Recurring")
-    assert seat["BillingPeriodStart"] == dt.datetime(2024, 1, 31)
-    assert seat["BillingPeriodEnd"] == dt.datetime(2024, 1, 31)
-    assert seat["ChargePeriodEnd"] == dt.datetime(2024, 2, 28)
+    assert seat["BillingPeriodStart"] == dt.datetime(2028, 1, 31)
+    assert seat["BillingPeriodEnd"] == dt.datetime(2028, 1, 31)
+    assert seat["ChargePeriodEnd"] == dt.datetime(2028, 2, 28)
     assert seat["ChargeDescription"] == "GitHub Copilot business - ann"
     assert (seat["ConsumedQuantity"], seat["ConsumedUnit"]) == (1.0, "Seats")
     idle = pick(rows, "copilot", SubAccountId="ben", ChargeFrequency="Usage-Based")
     assert idle["ContractedUnitPrice"] is None and idle["ListUnitPrice"] is None
-    busy = pick(rows, "copilot", SubAccountId="ann", ConsumedQuantity=500.0)
-    assert busy["ContractedUnitPrice"] == 10.0 / 500
-    assert busy["ListUnitPrice"] == 15.0 / 500
-    assert busy["SkuId"] == "ai_credits"
+    busy = pick(rows, "copilot", SubAccountId="ann", ConsumedQuantity=640.0)
+    assert busy["ContractedUnitPrice"] == 16.0 / 640
+    assert busy["ListUnitPrice"] == 24.0 / 640
+    assert busy["SkuId"] == "sku-one"
 
 
 def test_report_costs_and_categories(rows):
     by = {row["ChargeDescription"]: row for row in rows if row["_provider"] == "aws_cur"}
-    assert by["first, with comma"]["BilledCost"] == 4.0
-    assert by["first, with comma"]["ListUnitPrice"] == 0.5
-    assert by["second"]["BilledCost"] == by["second"]["ListCost"] == 5.0
+    assert by["first, with comma"]["BilledCost"] == 7.5
+    assert by["first, with comma"]["ListUnitPrice"] == 0.45
+    assert by["second"]["BilledCost"] == by["second"]["ListCost"] == 9.0
     assert by["third"]["ContractedUnitPrice"] is None
     assert by["fourth"]["ContractedUnitPrice"] is None
     categories = {name: row["ChargeCategory"] for name, row in by.items()}
@@ -135,7 +135,7 @@ def test_extra_columns_stay_on_the_mapped_views(run):
 
 def test_other_datasets(run):
     periods = run.canonical["BillingPeriod"].collect()
-    assert periods[0]["BillingPeriodStart"] == dt.datetime(2025, 1, 1)
+    assert periods[0]["BillingPeriodStart"] == dt.datetime(2031, 5, 1)
     assert periods[0]["BillingPeriodCreated"] is None
     for dataset, width in (("InvoiceDetail", 22), ("ContractCommitment", 30)):
         assert run.canonical[dataset].count() == 0
@@ -208,7 +208,7 @@ def test_written_run_reads_its_own_tables(spark, paths, run, rows, tmp_path):
     again = [row.asDict() for row in written.canonical["CostAndUsage"].collect()]
     assert sorted(map(str, again)) == sorted(map(str, rows))
     assert sorted(map(str, written.check().collect())) == sorted(map(str, run.check().collect()))
-    month = read_partitioned(spark, str(tmp_path / "out"), ["aws_cur"], months=["2025-01"])
+    month = read_partitioned(spark, str(tmp_path / "out"), ["aws_cur"], months=["2031-05"])
     assert month.count() == 5
 
 
