@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyloom.functions import exact_sum, literal, quoted
 from tallyloom.model import column_list, dataset_schema
@@ -168,22 +169,32 @@ def canonical_all(
 def duplicates(feeds: Iterable[MappedFeed], key: Sequence[str] = CHARGE_KEY) -> DataFrame:
     """What ``canonical_all`` removes, per provider: rows and billed cost, before and after.
 
-    Only the columns that tell versions of a charge apart are mapped, as in ``latest``.
+    Only the key and the cost are mapped. Of a charge's newest rows ``latest`` keeps the one that is
+    first by all columns; the cost leads them, so that row has the smallest cost.
     """
-    cost = "BilledCost"
-    totals = ["count(*) as n", f"coalesce({exact_sum(cost)}, 0.0D) as cost"]
+    known_columns(key)
+    cost = column_list(DATASET)[0]
+    place = f"case when {cost} is null then 0 when isnan({cost}) then 1 else 2 end"
     counted = []
     for feed in feeds:
-        before = feed.columns([cost]).selectExpr(*totals).selectExpr("n as rows", "cost as billed")
-        after = feed.latest(key).selectExpr(*totals).selectExpr("n as kept", "cost as billed_kept")
+        per_charge = (
+            feed.columns(list(dict.fromkeys([*key, cost])))
+            .groupBy(*key)
+            .agg(
+                F.expr("count(*) as n"),
+                F.expr(f"{exact_sum(cost)} as cost"),
+                F.expr(f"max(struct({LOADED_AT}, {place}, -{cost} as less)) as newest"),
+            )
+            .selectExpr("n", "cost", "-newest.less as kept")
+        )
         counted.append(
-            before.crossJoin(after).selectExpr(  # one row each
+            per_charge.selectExpr(
                 f"{literal(feed.provider)} as {PROVIDER}",
-                "rows",
-                "kept",
-                "rows - kept as dropped",
-                "billed",
-                "billed_kept",
+                "coalesce(sum(n), 0) as rows",
+                "count(*) as kept",
+                "coalesce(sum(n), 0) - count(*) as dropped",
+                f"coalesce({exact_sum('cost')}, 0.0D) as billed",
+                f"coalesce({exact_sum('kept')}, 0.0D) as billed_kept",
             )
         )
     return reduce(DataFrame.unionByName, counted)
