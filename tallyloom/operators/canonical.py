@@ -109,6 +109,9 @@ def dedup_latest(
 ) -> DataFrame:
     """One row per key, the one with the highest ``order``.
 
+    All columns go through the shuffle; for a mapped feed ``MappedFeed.latest`` carries only those that
+    differ.
+
     Rows that tie are ranked by ``tie_break`` (default: every other column), so a re-run keeps the
     same row. Spark keeps one row per key on the map side too, so a hot key is cut before the shuffle.
     The hash in front of the key lets the sorts compare eight bytes before they compare text.

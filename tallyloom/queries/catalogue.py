@@ -194,7 +194,8 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("currency_seed_antijoin")
 def currency_seed_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _report(spark, sf_dir).select("UsageAccountId", "UsageStartDate", "CurrencyCode")
+    """Currencies that the seed doesn't have; a missing one is no unknown one."""
+    staged = _report(spark, sf_dir).select("CurrencyCode").where("CurrencyCode is not null")
     codes = currency_frame(spark)
     unknown = staged.join(codes, F.col("CurrencyCode") == F.col("currency_code"), "left_anti")
     return unknown.groupBy("CurrencyCode").agg(F.count("*").alias("rows"))
@@ -350,6 +351,11 @@ def usage_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("usage_group_members")
+def usage_group_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_ai.usage_group_members(_usage(spark, sf_dir))
+
+
 @query("cost_agg")
 def cost_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested_ai.cost_totals(_cost(spark, sf_dir))
@@ -469,6 +475,12 @@ def invoice_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.conform(stage_generic_feed(spark, sf_dir), "InvoiceDetail")
 
 
+@query("generic_cost_and_usage")
+def generic_cost_and_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that has canonical columns already, staged as a generic one."""
+    return m.conform(stage_generic(feeds.native(spark, sf_dir, as_text=True)), "CostAndUsage")
+
+
 @query("contract_commitment")
 def contract_commitment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.conform(stage_generic(feeds.commitments(spark, sf_dir)), "ContractCommitment")

@@ -726,7 +726,7 @@ ORACLE: dict[str, str] = {
               FROM (SELECT max(_loaded_at) AS newest FROM ({USAGE})))""",
     "currency_seed_antijoin": f"""
         SELECT CurrencyCode, count(*) AS rows FROM ({REPORT})
-        WHERE CurrencyCode IS NULL OR CurrencyCode NOT IN ({_KNOWN_CURRENCY}) GROUP BY 1""",
+        WHERE CurrencyCode NOT IN ({_KNOWN_CURRENCY}) GROUP BY 1""",
     "write_read_partitioned": f"{tagged('azure_ai', NATIVE_ROWS)} UNION ALL {tagged('aws_cur', REPORT_ROWS)}",
     "provider_filter": tagged("azure_ai", NATIVE_ROWS),
     # staging
@@ -778,6 +778,7 @@ ORACLE: dict[str, str] = {
           string_agg(DISTINCT service_tier, ',' ORDER BY service_tier) AS service_tiers,
           string_agg(DISTINCT api_key_id, ',' ORDER BY api_key_id) AS api_key_ids
         FROM ({USAGE}) GROUP BY {_GROUP}""",
+    "usage_group_members": f"SELECT DISTINCT {_GROUP}, service_tier, api_key_id FROM ({USAGE})",
     "cost_agg": COSTS,
     "unpivot_meters": f"SELECT * EXCLUDE (_loaded_at) FROM ({METERS})",
     "nullsafe_or_join": f"SELECT {_GROUP}, token_slot, quantity, amount_usd FROM ({PRICED})",
@@ -840,6 +841,7 @@ ORACLE: dict[str, str] = {
         },
         "InvoiceDetail",
     ),
+    "generic_cost_and_usage": canonical(NATIVE, {name: name for name in _NATIVE_OWN}),
     "contract_commitment": canonical(
         _COMMITMENTS,
         {

@@ -86,6 +86,13 @@ def test_load_time_is_the_files(spark, tmp_path):
     assert dt.timedelta(minutes=-1) < age < dt.timedelta(minutes=5)
 
 
+def test_load_time_is_else_the_querys(spark):
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    staged = stage(spark.createDataFrame([("1",)], "a string"), {"a": ("a", "bigint")})
+    loaded = staged.head()["_loaded_at"]
+    assert dt.timedelta(seconds=-5) < loaded - before < dt.timedelta(minutes=5)
+
+
 def test_generic_feed(spark, tmp_path):
     text = spark.createDataFrame([("1.5", "x")], "BilledCost string, only_text string")
     typed = spark.createDataFrame([(2.5, 7)], "BilledCost double, only_typed int")
