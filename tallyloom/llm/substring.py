@@ -10,7 +10,8 @@ As the anchor follows from the window's words alone, equal windows always meet u
    one block for each content stands for all its copies.
 
 Neighbouring repeated windows join to factors, and a factor is at least one window long. Totals combine
-before every shuffle, and joins are plain equality joins that Spark may split when a key is hot.
+before every shuffle. Joins are plain equality joins of written tables, so that both sides are shuffled as
+they are and Spark can split a hot key.
 Identity of content is judged by 128-bit hashes.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import arrays as a
 from tallyloom.llm.ship import ship
-from tallyloom.session import scratch_path
+from tallyloom.llm.written import written
 
 ANCHOR_WORDS = 16
 SECOND_BASE = 0xC2B2AE3D27D4EB4F | 1
@@ -150,12 +151,11 @@ def remove_repeats(
     texts = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
     known = texts.where("doc_id is not null and text is not null")
 
-    path = scratch_path(spark, "blocks")
-    known.mapInArrow(
+    blocks = known.mapInArrow(
         _blocks(window, anchor_words),
         f"doc_id {kind}, body long, anchor long, content long, start int, windows int",
-    ).write.parquet(path)
-    blocks = spark.read.parquet(path)
+    )
+    blocks = written(spark, blocks, "blocks")
 
     shared = (
         blocks.groupBy("anchor")
@@ -167,33 +167,32 @@ def remove_repeats(
         .where("least < most")
         .select("anchor", "least", "several")
     )
-    path = scratch_path(spark, "shared-blocks")
-    blocks.join(shared, "anchor").write.parquet(path)
-    hits = spark.read.parquet(path)
+    shared = written(spark, shared, "anchors")
+    hits = written(spark, blocks.join(shared, "anchor"), "shared-blocks")
 
     inside = hits.where("not several and least < doc_id").select("doc_id", "body", "start", "windows")
     several = hits.where("several")
     owners = several.groupBy("anchor", "content").agg(F.min("doc_id").alias("owner"))
+    owners = written(spark, owners, "owners")
     several = several.join(owners, ["anchor", "content"])
     copies = several.where("owner < doc_id").select("doc_id", "body", "start", "windows")
     ends = several.where("owner = doc_id").groupBy("doc_id", "body")
     ends = ends.agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
 
-    path = scratch_path(spark, "windows")
-    (
+    windows = (
         known.join(ends, ["doc_id", "body"])
         .select("doc_id", "body", "text", "spans")
         .mapInArrow(_windows(window), f"doc_id {kind}, body long, start int, one long, two long")
-        .write.parquet(path)
     )
-    windows = spark.read.parquet(path)
+    windows = written(spark, windows, "windows")
     repeated = (
         windows.groupBy("one", "two")
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .where("least < most")
+        .select("one", "two", "least")
     )
     single = (
-        windows.join(repeated.select("one", "two", "least"), ["one", "two"])
+        windows.join(written(spark, repeated, "repeated"), ["one", "two"])
         .where("least < doc_id")
         .select("doc_id", "body", "start", F.lit(1).alias("windows"))
     )
