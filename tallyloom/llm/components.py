@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import scratch_path
+from tallyloom.llm.written import written
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -14,18 +14,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     Each round takes the least label of the neighbours, combined before the shuffle, and then the label
     of that label. Rounds end when no label moves. Each round's labels are written to the shared folder.
     """
-    path = scratch_path(spark, "edges")
     both = edges.select("one", "two").union(edges.select("two", "one")).where("one <> two").distinct()
-    both.write.parquet(path)
-    both = spark.read.parquet(path)
-    path = scratch_path(spark, "labels")
-    (
-        both.groupBy(F.col("one").alias("node"))
-        .agg(F.min("two").alias("label"))
-        .withColumn("label", F.least("node", "label"))
-        .write.parquet(path)
-    )
-    labels = spark.read.parquet(path)
+    both = written(spark, both, "edges")
+    labels = both.groupBy(F.col("one").alias("node")).agg(F.min("two").alias("label"))
+    labels = written(spark, labels.withColumn("label", F.least("node", "label")), "labels")
     while True:
         near = (
             both.join(labels.withColumnRenamed("node", "two"), "two")
@@ -36,13 +28,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
         root = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        path = scratch_path(spark, "labels")
-        (
-            lower.join(root, "label")
-            .select("node", F.least("label", "root").alias("label"), "old")
-            .write.parquet(path)
-        )
-        moved = spark.read.parquet(path)
+        moved = lower.join(root, "label").select("node", F.least("label", "root").alias("label"), "old")
+        moved = written(spark, moved, "labels")
         labels = moved.select("node", "label")
         if moved.where("label < old").limit(1).isEmpty():
             return labels

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import arrays as a
 from tallyloom.llm.components import components
 from tallyloom.llm.ship import ship
-from tallyloom.session import scratch_path
+from tallyloom.llm.written import written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -164,29 +164,26 @@ def near_duplicates(
     hashed = docs.select(
         "doc_id", F.xxhash64(text).alias("one"), F.xxhash64(F.lit(1), text).alias("two"), "text"
     )
-    path = scratch_path(spark, "sketches")
-    hashed.mapInArrow(
+    sketches = hashed.mapInArrow(
         _sketch(width, bands, rows),
         f"doc_id {kind}, one long, two long, size long, bands array<long>",
-    ).write.parquet(path)
-    sketches = spark.read.parquet(path)
-    texts = (
-        sketches.groupBy("one", "two").agg(F.min("doc_id").alias("same_as")).where("same_as is not null")
     )
+    sketches = written(spark, sketches, "sketches")
+    texts = sketches.groupBy("one", "two").agg(F.min("doc_id").alias("same_as"))
+    texts = written(spark, texts.where("same_as is not null"), "texts")
     of_texts = sketches.where("doc_id is not null").join(texts, ["one", "two"]).where("doc_id = same_as")
     of_texts = of_texts.select("doc_id", "size", "bands").dropDuplicates(["doc_id", "bands"])
 
     banded = of_texts.select("doc_id", "size", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    path = scratch_path(spark, "buckets")
-    banded.join(sizes, "band").write.parquet(path)
-    buckets = spark.read.parquet(path)
+    buckets = written(spark, banded.join(written(spark, sizes, "sizes"), "band"), "buckets")
 
     central = buckets.groupBy("doc_id").agg(F.sum("members").alias("weight"))
     ranked = buckets.join(central, "doc_id")
     order = F.struct("weight", (-F.col("doc_id")).alias("smaller"))
     pivots = ranked.groupBy("band").agg(F.max(F.struct(order.alias("o"), "doc_id", "size")).alias("p"))
     pivots = pivots.select("band", F.col("p.doc_id").alias("one"), F.col("p.size").alias("pivot_size"))
+    pivots = written(spark, pivots, "pivots")
     fits = F.least("size", "pivot_size") >= threshold * F.greatest("size", "pivot_size")
     stars = (
         buckets.join(pivots, "band")
@@ -196,18 +193,14 @@ def near_duplicates(
     )
 
     members = central.select("doc_id")
-    path = scratch_path(spark, "sets")
-    (
+    sets = (
         docs.where("doc_id is not null")
         .select("doc_id", "text")
         .join(members, "doc_id")
         .mapInArrow(_sets(width), f"doc_id {kind}, shingles array<long>")
-        .write.parquet(path)
     )
-    sets = spark.read.parquet(path)
-    path = scratch_path(spark, "links")
-    _linked(stars, sets, threshold).write.parquet(path)
-    links = spark.read.parquet(path)
+    sets = written(spark, sets, "sets")
+    links = written(spark, _linked(stars, sets, threshold), "links")
     labels = components(spark, links)
 
     labelled = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -221,12 +214,9 @@ def near_duplicates(
         .select("band")
     )
     open_docs = untried.join(mixed, "band").select("doc_id", "label").distinct()
-    path = scratch_path(spark, "open")
-    open_docs.write.parquet(path)
-    more = _linked(_rare_pairs(spark, spark.read.parquet(path), sets, threshold), sets, threshold)
-    path = scratch_path(spark, "links")
-    more.write.parquet(path)
-    more = spark.read.parquet(path)
+    open_docs = written(spark, open_docs, "open")
+    pairs = _rare_pairs(spark, open_docs, sets, threshold)
+    more = written(spark, _linked(pairs, sets, threshold), "links")
     if not more.limit(1).isEmpty():
         labels = components(spark, links.union(more))
     labels = labels.withColumnRenamed("node", "same_as")
@@ -256,13 +246,11 @@ def _rare_pairs(
     each = sets.join(open_docs, "doc_id").select(
         "doc_id", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("s")
     )
-    path = scratch_path(spark, "shingles")
-    each.write.parquet(path)
-    each = spark.read.parquet(path)
+    each = written(spark, each, "shingles")
     spread = each.groupBy("s").agg(
         F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    spread = spread.where("low < high").select("s", "held")
+    spread = written(spark, spread.where("low < high").select("s", "held"), "spread")
     whole = Window.partitionBy("doc_id")
     share = threshold / (1 + threshold)
     step = 1.04
@@ -272,17 +260,15 @@ def _rare_pairs(
         f" cast(floor(ln(size / {threshold!r}) / ln({step}) + 1e-9) as int)),"
         f" k -> place <= e - {needed} + 1)"
     )
-    path = scratch_path(spark, "rare")
-    (
+    rare = (
         each.join(spread, "s")
         .withColumn("e", F.count("*").over(whole))
         .where(F.col("e") >= threshold * F.col("size") - 1e-6)
         .withColumn("place", F.row_number().over(whole.orderBy("held", "s")))
         .withColumn("own", F.expr(f"cast(floor(ln(size) / ln({step})) as int)"))
         .select("s", "doc_id", "label", "size", "own", F.explode(partners).alias("partner"))
-        .write.parquet(path)
     )
-    rare = spark.read.parquet(path)
+    rare = written(spark, rare, "rare")
     other = rare.select(
         "s",
         F.col("own").alias("partner"),
