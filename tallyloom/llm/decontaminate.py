@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import scratch_path
+from tallyloom.llm.written import written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -59,36 +59,38 @@ def find_items(
     share an item_id are looked for one by one, and the best fit is told; equal document rows are told
     once, also those without a doc_id. Empty tables give no rows; further columns are ignored.
     """
-    path = scratch_path(spark, "items")
-    (
+    known = (
         items.where("text is not null")
         .select("item_id", _words("text").alias("words"))
         .select("item_id", _phrases("words", width).alias("phrases"), _hashes("words", width).alias("h"))
         .where("size(phrases) > 0")
         .distinct()
-        .select("item_id", "phrases", F.xxhash64("phrases").alias("of"), F.array_sort(F.array_distinct("h")).alias("h"))
+        .select(
+            "item_id",
+            "phrases",
+            F.xxhash64("phrases").alias("of"),
+            F.array_sort(F.array_distinct("h")).alias("h"),
+        )
         .withColumn("class", F.expr("cast(floor(log2(size(h))) as int)"))
         .withColumn("k", F.expr(f"cast(floor({1 - threshold:.9f} * (power(2, class + 1) - 1)) as int) + 1"))
-        .write.parquet(path)
     )
-    known = spark.read.parquet(path)
-    path = scratch_path(spark, "sketches")
-    known.select("item_id", "of", "class", F.explode(F.expr("slice(h, 1, k)")).alias("hash")).write.parquet(path)
-    sketches = spark.read.parquet(path)
+    known = written(spark, known, "items")
+    sketches = known.select("item_id", "of", F.explode(F.expr("slice(h, 1, k)")).alias("hash"))
+    sketches = written(spark, sketches, "item-sketches")
 
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("body"), "text")
     hashed = rows.select("doc_id", "body", _words("text").alias("words"))
     hashed = hashed.select("doc_id", "body", F.explode(_hashes("words", width)).alias("hash"))
-    path = scratch_path(spark, "candidates")
-    (
+    found = (
         hashed.join(sketches, "hash")
         .groupBy("doc_id", "body")
         .agg(F.collect_set(F.struct("item_id", "of")).alias("found"))
-        .write.parquet(path)
     )
-    candidates = spark.read.parquet(path).select(
+    candidates = written(spark, found, "candidates").select(
         F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), "found"
     )
+    wanted = known.select(F.col("item_id").alias("_item"), F.col("of").alias("_of"), "phrases")
+    same_item = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("of") == F.col("_of"))
     same = rows["doc_id"].eqNullSafe(candidates["_doc"]) & (rows["body"] == candidates["_body"])
     checked = (
         rows.join(candidates, same)
@@ -96,8 +98,7 @@ def find_items(
         .select("doc_id", "body", "found", _phrases("words", width).alias("held"))
         .select("doc_id", "body", "held", F.explode("found").alias("f"))
         .select("doc_id", "body", "held", "f.item_id", "f.of")
-        .join(known.select(F.col("item_id").alias("_item"), F.col("of").alias("_of"), "phrases"),
-              F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("of") == F.col("_of")))
+        .join(wanted, same_item)
         .select(
             "doc_id",
             "body",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import scratch_path
+from tallyloom.llm.written import written
 
 LEAST_SITES = 10
 SKETCH_BITS = 10  # 2 ** 10 registers, a standard error of about 3 %
@@ -48,8 +48,7 @@ def boilerplate_lines(
     ``lines`` has doc_id, site, one and two. The result is exact: ``n_sites`` is the estimate where that
     decides, else the count.
     """
-    path = scratch_path(spark, "spread")
-    (
+    spread = (
         lines.groupBy("one", "two")
         .agg(
             F.hll_sketch_agg("site", F.lit(SKETCH_BITS)).alias("sites"),
@@ -57,9 +56,8 @@ def boilerplate_lines(
         )
         .select("one", "two", "first_doc", F.hll_sketch_estimate("sites").alias("n_sites"))
         .where(F.col("n_sites") >= least_sites * (1 - margin))
-        .write.parquet(path)
     )
-    spread = spark.read.parquet(path)
+    spread = written(spark, spread, "spread")
     unsure = spread.where(F.col("n_sites") <= least_sites * (1 + margin))
     counted = (
         lines.join(unsure.select("one", "two"), ["one", "two"])
@@ -89,9 +87,7 @@ def drop_boilerplate(
     lines and stays null, and rows without a doc_id count for the spread but keep their lines. Rows that
     share a doc_id are treated alike.
     """
-    path = scratch_path(spark, "lines")
-    _lines(docs.where("text is not null"), site).write.parquet(path)
-    lines = spark.read.parquet(path)
+    lines = written(spark, _lines(docs.where("text is not null"), site), "lines")
     common = boilerplate_lines(spark, lines, least_sites)
     places = (
         lines.join(common, ["one", "two"])

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import scratch_path
+from tallyloom.llm.written import written
 
 WEIGHTS = (5.0, 2.0, 1.0)  # for the sources in code point order, repeating
 EPOCHS = 3.0
@@ -63,19 +63,16 @@ def mix(
     and comes last; null texts have no words. A source without words has target 0. Rows of one doc_id
     are ordered by a hash of their text, and which of identical rows is taken makes no difference.
     """
-    path = scratch_path(spark, "sizes")
     text = F.coalesce("text", F.lit(""))
     draw = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    (
-        docs.select(
-            "doc_id",
-            "source",
-            F.xxhash64("text").alias("body"),
-            F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"),
-            draw.alias("draw"),
-        ).write.parquet(path)
+    sized = docs.select(
+        "doc_id",
+        "source",
+        F.xxhash64("text").alias("body"),
+        F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"),
+        draw.alias("draw"),
     )
-    sized = spark.read.parquet(path)
+    sized = written(spark, sized, "sizes")
     sources = (
         sized.groupBy("source")
         .agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
