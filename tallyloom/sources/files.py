@@ -99,13 +99,15 @@ def read_json(
     lines, an array or a single object, is one row of text first, which Spark limits to 2 GB; if it
     holds more than that one value the read stops, as it does at anything unreadable.
 
-    Where forms are mixed, the frame also has the file's ``_metadata``, for ``with_load_time``.
+    Where values span lines, the frame also has the file's ``_metadata``, for ``with_load_time``.
     """
     if json_format not in ("auto", "newline_delimited", "array"):
         raise ValueError(f"unknown JSON format {json_format!r}")
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    if json_format != "auto":
-        return reader.option("multiLine", json_format == "array").json(path)
+    if json_format == "newline_delimited":
+        return reader.json(path)
+    if json_format == "array":
+        return _spanning_values(spark, path, schema)
     by_line, spanning = json_files(spark, path)
     if not spanning:
         return reader.json(path)
@@ -115,7 +117,7 @@ def read_json(
     return parts[0] if len(parts) == 1 else parts[1].unionByName(parts[0])
 
 
-def _spanning_values(spark: SparkSession, files: list[str], schema: T.StructType | str) -> DataFrame:
+def _spanning_values(spark: SparkSession, files: Paths, schema: T.StructType | str) -> DataFrame:
     """One row per object of files that each hold one array or object over several lines.
 
     The parser ignores what follows a value. So the text is parsed as one member of an object, and a

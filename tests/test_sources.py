@@ -222,8 +222,9 @@ def test_json_arrays_by_line(spark, tmp_path):
 )
 def test_json_that_is_not_one_value_stops_the_read(spark, tmp_path, text):
     path = write(tmp_path / "a.json", text)
-    with pytest.raises(Exception, match="JSON|MALFORMED|Malformed"):
-        sources.read_json(spark, path, NUMBERS).collect()
+    for form in ("auto", "array"):
+        with pytest.raises(Exception, match="JSON|MALFORMED|Malformed"):
+            sources.read_json(spark, path, NUMBERS, form).collect()
 
 
 def test_attach_passes_partition_columns(spark, monkeypatch):
