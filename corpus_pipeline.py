@@ -17,7 +17,7 @@ from tallyloom.llm.lines import drop_boilerplate
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.quality import CUTOFF, is_held_out, score, train
-from tallyloom.session import scratch_path
+from tallyloom.llm.written import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -75,14 +75,19 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = taken.select(
         F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), "body", "takes"
     )
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("body"))
-    rows = rows.withColumns({"doc": F.col("row.doc_id"), "from": F.col("row.source")})
-    same = rows["doc"].eqNullSafe(taken["_doc"]) & rows["from"].eqNullSafe(taken["_source"])
-    joined = rows.join(taken, same & (rows["body"] == taken["body"])).select(
-        "row", rows["body"], "doc", "from", "takes"
+    taken = written(spark, taken, "taken")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").alias("doc"),
+        F.col("source").alias("from"),
+        F.xxhash64("text").alias("hash"),
     )
-    one = joined.dropDuplicates(["doc", "from", "body"])
-    times = one.select("row", F.explode("takes").alias("t"))
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & F.col("from").eqNullSafe(F.col("_source"))
+    same = same & (F.col("hash") == F.col("body"))
+    once = rows.join(taken.where("size(takes) = 1"), same).select("row", "takes")
+    repeated = rows.join(taken.where("size(takes) > 1"), same)
+    repeated = repeated.dropDuplicates(["doc", "from", "hash"]).select("row", "takes")
+    times = once.unionByName(repeated).select("row", F.explode("takes").alias("t"))
     copies = F.expr(
         "filter(concat(transform(sequence(0, t.whole), i -> if(i < t.whole, t.size, t.extra))),"
         " n -> n > 0)"
@@ -110,7 +115,5 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = written(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
