@@ -174,14 +174,14 @@ def unpivot_meters(totals: DataFrame) -> DataFrame:
     return totals.selectExpr(*kept, long).where("quantity > 0")
 
 
-def join_cost(meters: DataFrame, costs: DataFrame, strict: bool = False) -> DataFrame:
+def join_cost(meters: DataFrame, costs: DataFrame, strict: bool = True) -> DataFrame:
     """Each meter row with its cost, NULL where there is none.
 
     Token meters match on the token type, the fee meter on the cost type, so the condition is an OR.
     Spelling out for each cost row the meters it may pay for turns it into a plain equality.
 
-    Two cost types for one meter give two rows. ``strict`` adds them up first, so that each meter
-    row comes out once with its whole cost.
+    ``strict`` adds up the costs of a meter first, so that each meter row comes out once with its whole
+    cost. Without it, the parity mode, two cost types for one meter give two rows.
     """
     pays_for = f"array('token:' || token_type, if(cost_type = '{FEE_COST_TYPE}', 'fee', null))"
     keyed = costs.selectExpr(
@@ -234,11 +234,11 @@ RULES = {
 EXTRAS = {"_token_type": "token_slot", "_token_label": "label"}
 
 
-def priced_meters(usage: DataFrame, cost: DataFrame, strict: bool = False) -> DataFrame:
+def priced_meters(usage: DataFrame, cost: DataFrame, strict: bool = True) -> DataFrame:
     return join_cost(unpivot_meters(usage_totals(usage)), cost_totals(cost), strict)
 
 
-def map_usage_and_cost(usage: DataFrame, cost: DataFrame, strict: bool = False) -> MappedFeed:
+def map_usage_and_cost(usage: DataFrame, cost: DataFrame, strict: bool = True) -> MappedFeed:
     return MappedFeed(PROVIDER, (Branch(priced_meters(usage, cost, strict), RULES, EXTRAS),))
 
 

@@ -107,6 +107,7 @@ def _native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ai_feed(spark: SparkSession, sf_dir: str, strict: bool = False) -> MappedFeed:
+    """In parity mode by default: a cost row of each type, as ``dedup_report`` then shows."""
     return nested_ai.map_usage_and_cost(_usage(spark, sf_dir), _cost(spark, sf_dir), strict)
 
 
@@ -366,7 +367,7 @@ def _meters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_ai.priced_meters(_usage(spark, sf_dir), _cost(spark, sf_dir))
+    return nested_ai.priced_meters(_usage(spark, sf_dir), _cost(spark, sf_dir), strict=False)
 
 
 @query("unpivot_meters")
