@@ -54,8 +54,10 @@ def test_fingerprints(spark, texts):
 
 def test_license_scan(spark, texts):
     known = dict(texts)
-    for r in QUERIES["op5_license_scan"](spark, SF_DIR).collect():
-        assert tuple(r)[1:] == test_licenses.naive(known[r.doc_id])
+    found = QUERIES["op5_license_scan"](spark, SF_DIR).collect()
+    assert {r.doc_id for r in found} == set(known)
+    for r in found:
+        assert tuple(r)[1:] == test_licenses.naive(known[r.doc_id], gated=True)
 
 
 def test_main_text(spark):

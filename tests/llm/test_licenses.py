@@ -9,8 +9,11 @@ from tallyloom.llm.licenses import BASE, GATES, rules, scan
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def naive(text):
-    """Base places by words, and detections by trying every rule on the joined words."""
+def naive(text, gated=False):
+    """Base places by words, and detections by trying every rule on the joined words.
+
+    With ``gated`` only texts that have a gate word; that no rule needs more is tested below.
+    """
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
     places, base = [], set()
     for phrase, label in BASE.items():
@@ -20,7 +23,8 @@ def naive(text):
         base |= {label} if here else set()
     line = " " + " ".join(words) + " "
     found = []
-    for priority, label, _, expression, confidence in rules():
+    tried = rules() if not gated or any(g in line for g in GATES) else []
+    for priority, label, _, expression, confidence in tried:
         for m in re.finditer(f"(?<= ){expression}(?= )", line):
             start = line[: m.start()].count(" ") - 1
             found.append((start, -(start + m[0].count(" ") + 1), priority, label, confidence))
