@@ -4,7 +4,8 @@ A shingle is five words, its weight the number of its occurrences in the documen
 Poisson process whose rate is its weight; each arrival goes to one register of the document, which keeps
 the earliest. A process ends as soon as it is later than every register, so the work follows the number
 of shingles, not shingles times registers. Two registers agree with the probability Jaccard of the
-weighted shingles.
+weighted shingles. Links are judged by sets, so a document of uneven weights has a second set of registers
+with equal weights, which agree with the Jaccard of the sets; with even weights both are the same.
 
 Texts that are equal form one node first. Bands of equal registers form buckets. In each bucket the
 member that shares most buckets overall is compared with all others, which is linear in bucket sizes and
@@ -89,6 +90,20 @@ def signatures(
     return first.reshape(documents, registers)
 
 
+def _keys(
+    hashes: np.ndarray, owner: np.ndarray, weights: np.ndarray, documents: int, bands: int, rows: int
+) -> np.ndarray:
+    """The key of each band of each document's registers."""
+    chosen = signatures(hashes, owner, weights, documents, bands * rows)
+    keys = np.zeros((documents, bands), dtype=np.uint64)
+    for band in range(bands):
+        key = np.full(documents, band, dtype=np.uint64)
+        for row in range(rows):
+            key = a.mix(key ^ chosen[:, band * rows + row], row + 1)
+        keys[:, band] = key
+    return keys
+
+
 def _sketch(width: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in a.pieces(batches):
@@ -97,17 +112,26 @@ def _sketch(width: int, bands: int, rows: int):
             some = np.flatnonzero(size)
             dense = np.zeros(batch.num_rows, dtype=np.int64)
             dense[some] = np.arange(len(some))
-            chosen = signatures(hashes, dense[owner], counts, len(some), bands * rows)
-            keys = np.zeros((len(some), bands), dtype=np.uint64)
-            for band in range(bands):
-                key = np.full(len(some), band, dtype=np.uint64)
-                for row in range(rows):
-                    key = a.mix(key ^ chosen[:, band * rows + row], row + 1)
-                keys[:, band] = key
-            ends = np.cumsum(np.where(size > 0, bands, 0))
+            own = dense[owner]
+            least = np.full(len(some), np.iinfo(np.int64).max)
+            np.minimum.at(least, own, counts)
+            most = np.zeros(len(some), dtype=np.int64)
+            np.maximum.at(most, own, counts)
+            uneven = np.flatnonzero(least < most)
+            again = np.zeros(len(some), dtype=np.int64)
+            again[uneven] = np.arange(len(uneven))
+            of_uneven = (least < most)[own]
+            equal = _keys(hashes, own, np.ones(len(own)), len(some), bands, rows)
+            weighted = _keys(
+                hashes[of_uneven], again[own[of_uneven]], counts[of_uneven], len(uneven), bands, rows
+            )
+            keys = np.concatenate((equal.reshape(-1), weighted.reshape(-1)))
+            of = np.concatenate((np.repeat(some, bands), np.repeat(some[uneven], bands)))
+            keys = keys[np.argsort(of, kind="stable")]
+            ends = np.cumsum(np.bincount(of, minlength=batch.num_rows))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], ends)).astype(np.int32)),
-                pa.array(a.signed(keys.reshape(-1))),
+                pa.array(a.signed(keys)),
             )
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(size), lists],
@@ -174,7 +198,7 @@ def near_duplicates(
     of_texts = sketches.where("doc_id is not null").join(texts, ["one", "two"]).where("doc_id = same_as")
     of_texts = of_texts.select("doc_id", "size", "bands").dropDuplicates(["doc_id", "bands"])
 
-    banded = of_texts.select("doc_id", "size", F.explode("bands").alias("band"))
+    banded = of_texts.select("doc_id", "size", F.explode(F.array_distinct("bands")).alias("band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     buckets = written(spark, banded.join(written(spark, sizes, "sizes"), "band"), "buckets")
 

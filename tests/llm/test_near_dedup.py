@@ -74,6 +74,18 @@ def test_common_passage_does_not_join(spark, documents, words):
     assert got(near_duplicates(spark, documents(rows))) == expected(rows)
 
 
+def test_repeated_phrases_do_not_hide_a_copy(spark, documents, words):
+    """Shingles of one side many times over: the sets stay alike, the weights don't."""
+    rows = []
+    for i in range(8):
+        base, phrase = words(204, 50 + i), words(5, 500 + i)
+        rows += [(10 * i, base), (10 * i + 1, f"{base} {' '.join([phrase] * 200)}")]
+        rows += [(10 * i + 2, f"{base} {' '.join([phrase] * 50)} {words(3, 900 + i)}")]
+    want = expected(rows)
+    assert len(set(want.values())) == 8
+    assert got(near_duplicates(spark, documents(rows))) == want
+
+
 def test_empty_table(spark, documents):
     assert near_duplicates(spark, documents([])).collect() == []
 
