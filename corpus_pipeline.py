@@ -37,12 +37,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each class of near duplicates; one row of each doc_id."""
-    first = near_duplicates(spark, docs).where("doc_id = class_id").select("doc_id").distinct()
+    """The text that stands for each class of near duplicates; of rows equal in doc_id and text, one."""
+    first = near_duplicates(spark, docs).where("doc_id = class_id and body = class_body")
+    body = F.xxhash64(F.coalesce("text", F.lit("")))
     kept = (
-        docs.select(F.col("doc_id").alias("doc_id"), F.struct(*docs.columns).alias("row"))
-        .join(first, "doc_id")
-        .groupBy("doc_id")
+        docs.select(F.col("doc_id").alias("doc_id"), body.alias("body"), F.struct(*docs.columns).alias("row"))
+        .join(first.select("doc_id", "body").distinct(), ["doc_id", "body"])
+        .groupBy("doc_id", "body")
         .agg(F.min_by("row", F.struct("row.text", F.xxhash64("row.text"))).alias("row"))
     )
     return kept.select("row.*").unionByName(docs.where("doc_id is null"))

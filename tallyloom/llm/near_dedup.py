@@ -149,15 +149,15 @@ def _sets(width: int):
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(a.signed(hashes))
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "shingles"])
 
     return run
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (one, two) whose shingle sets have at least the threshold's Jaccard."""
-    left = sets.select(F.col("doc_id").alias("one"), F.col("shingles").alias("mine"))
-    right = sets.select(F.col("doc_id").alias("two"), F.col("shingles").alias("other"))
+    left = sets.select(F.col("node").alias("one"), F.col("shingles").alias("mine"))
+    right = sets.select(F.col("node").alias("two"), F.col("shingles").alias("other"))
     common = F.size(F.array_intersect("mine", "other"))
     return (
         pairs.join(right, "two")
@@ -176,11 +176,13 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per document: doc_id, same_as (smallest doc_id of its text) and class_id (of its class).
+    """One row per document: doc_id, body, same_as (smallest doc_id of its text), class_id and class_body.
 
-    Classes are the connected components of links. Null texts count as empty; texts without words are
-    alike only if equal. Rows that share a doc_id fall into one class. Rows without a doc_id are given
-    back with nulls and link nothing. An empty table gives no rows; further columns are ignored.
+    Classes are the connected components of links between texts; the smallest doc_id of a class, and of its
+    texts the smallest hash, stand for it as class_id and class_body. ``body`` is the hash of the row's text.
+    Null texts count as empty; texts without words are alike only if equal. Rows that share a doc_id are
+    classed each by its own text. Rows without a doc_id are given back with nulls and link nothing.
+    An empty table gives no rows; further columns are ignored.
     """
     ship(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -196,62 +198,67 @@ def near_duplicates(
     texts = sketches.groupBy("one", "two").agg(F.min("doc_id").alias("same_as"))
     texts = written(spark, texts.where("same_as is not null"), "texts")
     of_texts = sketches.where("doc_id is not null").join(texts, ["one", "two"]).where("doc_id = same_as")
-    of_texts = of_texts.select("doc_id", "size", "bands").dropDuplicates(["doc_id", "bands"])
+    node = F.struct(F.col("doc_id").alias("id"), F.col("one").alias("body")).alias("node")
+    of_texts = of_texts.select(node, "size", "bands").dropDuplicates(["node", "bands"])
 
-    banded = of_texts.select("doc_id", "size", F.explode(F.array_distinct("bands")).alias("band"))
+    banded = of_texts.select("node", "size", F.explode(F.array_distinct("bands")).alias("band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     buckets = written(spark, banded.join(written(spark, sizes, "sizes"), "band"), "buckets")
 
-    central = buckets.groupBy("doc_id").agg(F.sum("members").alias("weight"))
-    ranked = buckets.join(central, "doc_id")
-    order = F.struct("weight", (-F.col("doc_id")).alias("smaller"))
-    pivots = ranked.groupBy("band").agg(F.max(F.struct(order.alias("o"), "doc_id", "size")).alias("p"))
-    pivots = pivots.select("band", F.col("p.doc_id").alias("one"), F.col("p.size").alias("pivot_size"))
+    central = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
+    ranked = buckets.join(central, "node")
+    first = F.min(F.struct((-F.col("weight")).alias("lighter"), "node", "size"))
+    pivots = ranked.groupBy("band").agg(first.alias("p"))
+    pivots = pivots.select("band", F.col("p.node").alias("one"), F.col("p.size").alias("pivot_size"))
     pivots = written(spark, pivots, "pivots")
     fits = F.least("size", "pivot_size") >= threshold * F.greatest("size", "pivot_size")
     stars = (
         buckets.join(pivots, "band")
-        .where(fits & (F.col("doc_id") != F.col("one")))
-        .select("one", F.col("doc_id").alias("two"))
+        .where(fits & (F.col("node") != F.col("one")))
+        .select("one", F.col("node").alias("two"))
         .distinct()
     )
 
-    members = central.select("doc_id")
+    members = central.select("node")
     sets = (
-        docs.where("doc_id is not null")
-        .select("doc_id", "text")
-        .join(members, "doc_id")
-        .mapInArrow(_sets(width), f"doc_id {kind}, shingles array<long>")
+        hashed.where("doc_id is not null")
+        .select(node, "text")
+        .join(members, "node")
+        .mapInArrow(_sets(width), f"node struct<id: {kind}, body: long>, shingles array<long>")
     )
     sets = written(spark, sets, "sets")
     links = written(spark, _linked(stars, sets, threshold), "links")
     labels = components(spark, links)
 
-    labelled = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "band", "doc_id", F.coalesce("label", "doc_id").alias("label")
-    )
-    untried = labelled.join(pivots, "band").where("doc_id <> one")  # pivots have met all the others
+    label = F.xxhash64(F.coalesce("label", "node")).alias("label")  # only told apart from here on
+    labelled = buckets.join(labels, "node", "left").select("band", "node", label)
+    untried = labelled.join(pivots, "band").where("node <> one")  # pivots have met all the others
     mixed = (
         untried.groupBy("band")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low < high")
         .select("band")
     )
-    open_docs = untried.join(mixed, "band").select("doc_id", "label").distinct()
+    open_docs = untried.join(mixed, "band").select("node", "label").distinct()
     open_docs = written(spark, open_docs, "open")
     pairs = _rare_pairs(spark, open_docs, sets, threshold)
     more = written(spark, _linked(pairs, sets, threshold), "links")
     if not more.limit(1).isEmpty():
         labels = components(spark, links.union(more))
-    labels = labels.withColumnRenamed("node", "same_as")
+    of_text = F.struct(F.col("same_as").alias("id"), F.col("one").alias("body"))
+    known = F.col("doc_id").isNotNull()
     return (
         sketches.select("doc_id", "one", "two")
         .join(texts, ["one", "two"], "left")
-        .join(labels, "same_as", "left")
+        .withColumn("node", of_text)
+        .join(labels, "node", "left")
+        .withColumn("label", F.coalesce("label", "node"))
         .select(
             "doc_id",
-            F.when(F.col("doc_id").isNotNull(), F.col("same_as")).alias("same_as"),
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "same_as")).alias("class_id"),
+            F.col("one").alias("body"),
+            F.when(known, F.col("same_as")).alias("same_as"),
+            F.when(known, F.col("label.id")).alias("class_id"),
+            F.when(known, F.col("label.body")).alias("class_body"),
         )
     )
 
@@ -267,15 +274,15 @@ def _rare_pairs(
     first e - c + 1 is shared, or there is no partner if c is more than e. Sizes fall into classes
     of a few percent, each with its own l. No pair that reaches the threshold is lost.
     """
-    each = sets.join(open_docs, "doc_id").select(
-        "doc_id", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("s")
+    each = sets.join(open_docs, "node").select(
+        "node", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("s")
     )
     each = written(spark, each, "shingles")
     spread = each.groupBy("s").agg(
         F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high")
     )
     spread = written(spark, spread.where("low < high").select("s", "held"), "spread")
-    whole = Window.partitionBy("doc_id")
+    whole = Window.partitionBy("node")
     share = threshold / (1 + threshold)
     step = 1.04
     needed = f"ceil({share!r} * (size + greatest({threshold!r} * size, floor(pow({step}, k)))) - 1e-6)"
@@ -290,19 +297,19 @@ def _rare_pairs(
         .where(F.col("e") >= threshold * F.col("size") - 1e-6)
         .withColumn("place", F.row_number().over(whole.orderBy("held", "s")))
         .withColumn("own", F.expr(f"cast(floor(ln(size) / ln({step})) as int)"))
-        .select("s", "doc_id", "label", "size", "own", F.explode(partners).alias("partner"))
+        .select("s", "node", "label", "size", "own", F.explode(partners).alias("partner"))
     )
     rare = written(spark, rare, "rare")
     other = rare.select(
         "s",
         F.col("own").alias("partner"),
         F.col("partner").alias("own"),
-        *[F.col(c).alias(f"{c}_2") for c in ("doc_id", "label", "size")],
+        *[F.col(c).alias(f"{c}_2") for c in ("node", "label", "size")],
     )
     near = F.least("size", "size_2") >= threshold * F.greatest("size", "size_2")
     return (
         rare.join(other, ["s", "own", "partner"])
-        .where((F.col("doc_id") < F.col("doc_id_2")) & (F.col("label") != F.col("label_2")) & near)
-        .select(F.col("doc_id").alias("one"), F.col("doc_id_2").alias("two"))
+        .where((F.col("node") < F.col("node_2")) & (F.col("label") != F.col("label_2")) & near)
+        .select(F.col("node").alias("one"), F.col("node_2").alias("two"))
         .distinct()
     )

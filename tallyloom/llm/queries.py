@@ -102,7 +102,8 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, _table(spark, sf_dir, "documents"))
+    found = near_duplicates(spark, _table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "same_as", "class_id")
 
 
 QUERIES: dict[str, Query] = {

@@ -79,6 +79,16 @@ def test_stages(spark, corpus, tmp_path):
     assert len({(r.doc_id, r.repetition) for r in mixed}) == len(mixed)
 
 
+def test_reused_doc_ids_keep_each_clean_text(spark, documents, words):
+    clean, copied, other = f"z {words(60, 1)}", f"a {words(60, 2)}", f"m {words(60, 3)}"
+    rows = [(5, clean), (5, copied), (3, copied), (5, clean), (7, other), (7, f"{other} tail"), (None, copied)]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, documents(rows, extra=True), "").collect()]
+    seven = [text for i, text in kept if i == 7]
+    assert len(seven) == 1 and seven[0] in (other, f"{other} tail")
+    rest = sorted((i or 0, text) for i, text in kept if i != 7)
+    assert rest == [(0, copied), (3, copied), (5, clean)]
+
+
 def test_run_is_the_stages_and_repeats(spark, corpus):
     path, *_ = corpus
 
