@@ -32,7 +32,8 @@ mit | mit | mit
 mit | expat | expat
 x11 | x11 | x11
 apache-1.1 | apache | apache(?: software)?(?: license)?(?: version)? 1 1
-apache-2 | apache | apache(?: software)?(?: public)?(?: license)?(?: version)?(?: v)? ?2(?: 0)?
+apache-2 | apache2 | apache2(?: 0)?
+apache-2 | apache | apache(?= )(?: software)?(?: public)?(?: license)?(?: version)?(?: v)? ?2(?: 0)?
 apache | apache | apache(?: software)?
 gpl-1 | general public | (?:gnu )?general public license(?: gpl)?(?: version| v) ?1(?: 0)?
 gpl-2 | general public | (?:gnu )?general public license(?: gpl)?(?: version| v) ?2(?: 0)?
@@ -58,7 +59,8 @@ mpl-2 | mozilla | mozilla public license(?: version| v)? 2(?: 0)?
 mpl | mozilla | mozilla public
 mpl-2 | mpl | mpl(?: version| v)? 2(?: 0)?
 bsd-0 | 0bsd | 0bsd
-bsd-2 | bsd | (?:bsd 2 clause|(?:2|two) clause bsd|simplified bsd|freebsd)
+bsd-2 | freebsd | freebsd
+bsd-2 | bsd | (?:bsd 2 clause|(?:2|two) clause bsd|simplified bsd)
 bsd-3 | bsd | (?:bsd 3 clause|(?:3|three) clause bsd|(?:new|modified|revised) bsd)
 bsd-4 | bsd | (?:bsd 4 clause|(?:4|four) clause bsd|original bsd)
 bsd | bsd | bsd

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tallyloom.llm.licenses import BASE, GATES, rules, scan
+from tallyloom.llm.licenses import BASE, GATES, NAMES, STATEMENTS, rules, scan
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -88,6 +88,45 @@ def test_rules_are_ordered_and_gated():
         assert keyword.split()[0][:3] in expression
 
 
+def spelled(parsed):
+    """All texts that a parsed expression without unbounded repeats allows, look-arounds aside."""
+    out = [""]
+    for op, value in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            some = [chr(value)]
+        elif op == "IN":
+            some = [
+                chr(c) for kind, v in value for c in ([v] if str(kind) == "LITERAL" else range(v[0], v[1] + 1))
+            ]
+        elif op == "BRANCH":
+            some = [x for branch in value[1] for x in spelled(branch)]
+        elif op == "SUBPATTERN":
+            some = spelled(value[-1])
+        elif op == "MAX_REPEAT":
+            assert value[:2] == (0, 1)
+            some = ["", *spelled(value[2])]
+        else:
+            assert op == "ASSERT"
+            some = [""]
+        out = [x + y for x in out for y in some]
+    return out
+
+
+def test_every_spelling_holds_its_keyword():
+    for line in [*NAMES.strip().splitlines(), *STATEMENTS.strip().splitlines()]:
+        _, keyword, expression = (x.strip() for x in line.split(" | ")[:3])
+        for text in spelled(re._parser.parse(expression)):
+            if re.fullmatch(f" {expression}(?= ) ", f" {text} "):
+                assert f" {keyword} " in f" {text} ", (expression, text)
+
+
+def test_names_written_as_one_word(spark, documents):
+    rows = [(1, "Under the FreeBSD license."), (2, "Licensed under Apache2"), (3, "licensed under apache2 0")]
+    found = {r.doc_id: (r.labels, r.score) for r in scan(documents(rows)).collect()}
+    assert found == {1: ("bsd-2", 0.9), 2: ("apache-2", 0.95), 3: ("apache-2", 0.95)}
+
+
 def test_empty_table(spark, documents):
     assert scan(documents([])).collect() == []
 
