@@ -123,3 +123,119 @@ SELECT record_id, url, canonical, time, response_id, response_time, outcome,
   CASE WHEN outcome = 'resolved' THEN digest END AS digest
 FROM told
 """
+
+ORACLE["op11_source_divergence"] = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), uses AS (
+  SELECT lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM docs)
+  GROUP BY lang, term HAVING count(*) >= 10
+), used AS (
+  SELECT lang, source, term, count(*) AS n FROM uses JOIN kept USING (lang, term) GROUP BY ALL
+), langs AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(s.n, 0) + 2 * coalesce(v, 0) AS whole
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS n FROM used GROUP BY ALL) s
+      ON g.lang = s.lang AND g.source = s.source
+), shares AS (
+  SELECT lang, source, k.term, coalesce(n, 0) AS n,
+    1 + 1000000000::hugeint * (coalesce(n, 0) + 2) // whole AS p
+  FROM groups JOIN kept k USING (lang) LEFT JOIN used USING (lang, source, term)
+), overall AS (
+  SELECT lang, term, 1 + 1000000000::hugeint * (sum(n) + 2) // (any_value(t) + 2 * any_value(v)) AS q
+  FROM used JOIN langs USING (lang) JOIN (SELECT lang, sum(n) AS t FROM used GROUP BY lang) USING (lang)
+  GROUP BY lang, term
+), summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), valued AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN summed s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q)
+  FROM shares JOIN overall USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, cast(value AS bigint) AS value,
+  cast(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS integer) AS rank
+FROM valued
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+def _rounds(count: int) -> str:
+    """The assignments and codebooks of op12, round by round."""
+    steps = []
+    for i in range(count + 1):
+        steps.append(f"""
+), far_{i} AS MATERIALIZED (
+  SELECT r, part, entry, sum((c.v - e.v) * (c.v - e.v)) AS d
+  FROM components c JOIN entries_{i} e USING (part, place) GROUP BY r, part, entry
+), near_{i} AS MATERIALIZED (
+  SELECT r, part, entry, d FROM far_{i} QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1""")
+        if i < count:
+            steps.append(f"""
+), mean_{i} AS (
+  SELECT part, entry, place, sum(v) AS s, count(*)::hugeint AS n
+  FROM near_{i} JOIN components USING (r, part) GROUP BY part, entry, place
+), entries_{i + 1} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce((s - ((s % n) + n) % n) // n, v) AS v
+  FROM entries_{i} LEFT JOIN mean_{i} USING (part, entry, place)""")
+    return "".join(steps)
+
+
+ORACLE["op12_vector_codes"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), components AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(embedding) // 8) AS part, (i - 1) % (len(embedding) // 8) AS place,
+    floor(4096 * embedding[i]::double)::hugeint AS v
+  FROM (SELECT r, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM kept)
+), entries_0 AS MATERIALIZED (
+  SELECT part, r - 1 AS entry, place, v FROM components WHERE r <= 16{_rounds(6)}
+), coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::bigint AS error
+  FROM near_6 GROUP BY r
+)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error,
+  (SELECT sha256(string_agg(v::varchar, ',' ORDER BY part, entry, place)) FROM entries_6) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+ORACLE["op13_set_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN coalesce(len(words), 0) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS s
+  FROM worded
+), texts AS MATERIALIZED (
+  SELECT t, len(any_value(s)) AS n, min(doc_id) AS doc_id, unnest(any_value(s)) AS shingle
+  FROM (SELECT doc_id, s, md5(array_to_string(list_sort(s), chr(10))) AS t FROM sets WHERE len(s) > 0) GROUP BY t
+), links AS MATERIALIZED (
+  SELECT a.t AS one, b.t AS two FROM texts a JOIN texts b ON a.shingle = b.shingle AND a.t <> b.t
+  GROUP BY a.t, b.t, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT DISTINCT t AS one, t AS two FROM texts
+  UNION
+  SELECT reached.one, links.two FROM reached JOIN links ON reached.two = links.one
+), classed AS (
+  SELECT one AS t, min(doc_id) AS component_id FROM reached JOIN (SELECT DISTINCT t, doc_id FROM texts) k ON two = k.t
+  GROUP BY one
+)
+SELECT doc_id, cast(len(s) AS bigint) AS n_shingles,
+  CASE WHEN len(s) = 0 THEN doc_id ELSE component_id END AS component_id
+FROM sets LEFT JOIN classed ON t = md5(array_to_string(list_sort(s), chr(10)))
+"""

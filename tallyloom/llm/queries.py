@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.decontaminate import find_items
+from tallyloom.llm.divergence import audit
 from tallyloom.llm.fingerprint import compare_with_edits
 from tallyloom.llm.licenses import scan
 from tallyloom.llm.lines import drop_boilerplate
@@ -17,7 +18,9 @@ from tallyloom.llm.near_dedup import near_duplicates
 from tallyloom.llm.oracle import ORACLE
 from tallyloom.llm.quality import classify
 from tallyloom.llm.revisits import resolve
+from tallyloom.llm.set_join import classes
 from tallyloom.llm.substring import remove_repeats
+from tallyloom.llm.vector_codes import coded_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +109,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "same_as", "class_id")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, _table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_vectors(spark, _table(spark, sf_dir, "embeddings"))
+
+
+def op13_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(spark, _table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
@@ -117,6 +132,9 @@ QUERIES: dict[str, Query] = {
     "op8_revisits": op8_revisits,
     "op9_main_text": op9_main_text,
     "op10_near_dedup": op10_near_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_set_join": op13_set_join,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

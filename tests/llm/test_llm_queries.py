@@ -38,5 +38,5 @@ def test_one_row_for_each_row_of_the_table(spark, con, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in entry.queries() if name.startswith("op")]
-    assert sorted(n for n in numbers if n) == list(range(1, 11))
+    assert sorted(n for n in numbers if n) == list(range(1, 14))
     assert "pipeline" in entry.queries()
