@@ -1,4 +1,6 @@
-from tallyloom.queries.catalogue import QUERIES
-from tallyloom.queries.oracle import ORACLE
+from tallyloom.queries import catalogue, changes, changes_sql, oracle
+
+QUERIES = catalogue.QUERIES | changes.QUERIES
+ORACLE = oracle.ORACLE | changes_sql.ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]

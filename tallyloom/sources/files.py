@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions import literal, utc_instant
 from tallyloom.operators.staging import LOADED_AT
+from tallyloom.sources.widening import FAILED, disagree, read_widened
 
 Paths = str | list[str]
 
@@ -56,12 +57,18 @@ def read_parquet(
 ) -> DataFrame:
     """A Parquet feed whose files may have different columns; they are matched by name.
 
-    Merging reads every footer. With a ``schema`` that step is skipped.
+    Merging reads every footer. With a ``schema`` that step is skipped. Where files disagree on the type
+    of a column it gets the least type that holds all of them (``sources/widening.py``).
     """
     reader = spark.read.option("recursiveFileLookup", not hive_partitioning)
     if schema is not None:
         return reader.schema(schema).parquet(path)
-    return reader.option("mergeSchema", True).parquet(path)
+    try:
+        return reader.option("mergeSchema", True).parquet(*([path] if isinstance(path, str) else path))
+    except FAILED as error:
+        if not disagree(error):
+            raise
+        return read_widened(spark, path, hive_partitioning)
 
 
 # A line that can be a whole value. In a file whose every line is like this no value spans lines: if one
