@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyloom.functions import literal, records
-from tallyloom.operators.checks import Check, distinct_count
+from tallyloom.functions import literal, record, records
+from tallyloom.operators.checks import Check
+from tallyloom.operators.distincts import distinct_counts
 
 FAILED = "_failed"
 QUARANTINED = "_quarantined"
@@ -36,8 +37,8 @@ def select_checks(
 def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Violations and status of each check, from one scan and one aggregation.
 
-    Checks that the schema already decides cost nothing. Each distinct count is an aggregation of
-    its own, because several in one would multiply the rows. Without checks the report is empty.
+    Checks that the schema already decides cost nothing. All distinct counts are taken in one more scan.
+    Without checks the report is empty.
     """
     if not checks:
         return empty_report(df.sparkSession)
@@ -50,13 +51,19 @@ def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                 counts.append(f"count_if({broken}) as n{i}")
             rows.append(_entry(check, "0L" if broken is None else f"n{i}"))
     parts = [df.selectExpr(*counts).selectExpr(records(rows))] if rows else []
-    for check in checks:
-        if check.is_aggregate:
-            found = distinct_count(df, check).selectExpr("count(*) as n")
-            parts.append(found.selectExpr(records([_entry(check, "n")])))
+    aggregates = [check for check in checks if check.is_aggregate]
+    if aggregates:
+        parts.append(distinct_part(df, aggregates))
     return reduce(DataFrame.unionByName, parts)
 
 
+def distinct_part(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The report of distinct counts: one violation where a count is not the expected one."""
+    entries = [record(_entry(c, f"if(n = {c.params['expected']}, 0L, 1L)")) for c in checks]
+    counted = distinct_counts(df, checks).selectExpr("check_no", "distinct_count as n")
+    return counted.selectExpr(f"get(array({', '.join(entries)}), check_no) as e").select("e.*")
+
+
 # The columns of a report.
 REPORT = "column_name string, check_name string, severity string, tags string, violations bigint, status string"
 

@@ -602,7 +602,7 @@ def v_page_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested_ai.raw_key_drift(read_json_lines(spark, path), "usage")
 
 
-def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flawed_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as cost and usage, with tags and JSON of mixed quality."""
     staged = _report(spark, sf_dir)
     rules = prefixed.RULES | {
@@ -616,13 +616,13 @@ def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("v_suite_report")
 def v_suite_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(_flawed(spark, sf_dir), cost_and_usage_suite())
+    return report(flawed_charges(spark, sf_dir), cost_and_usage_suite())
 
 
 @query("v_suite_by_tag")
 def v_suite_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = select_checks(cost_and_usage_suite(), tags=["format"], severity="error")
-    return report(_flawed(spark, sf_dir), chosen)
+    return report(flawed_charges(spark, sf_dir), chosen)
 
 
 @query("v_staging_suite")
@@ -658,7 +658,7 @@ def v_provider_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows on each side of the split, per set of broken checks, after one pass that writes both."""
     path = scratch_path(spark, "quarantine")
-    write_quarantine(_flawed(spark, sf_dir), cost_and_usage_suite(), path)
+    write_quarantine(flawed_charges(spark, sf_dir), cost_and_usage_suite(), path)
     sides = [
         read_quarantine(spark, path, held).selectExpr(
             f"'{name}' as side", f"nullif(array_join({FAILED}, ','), '') as reason"
@@ -671,7 +671,7 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("quarantine_rows")
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of the report with the checks it breaks."""
-    marked = with_failures(_flawed(spark, sf_dir), cost_and_usage_suite())
+    marked = with_failures(flawed_charges(spark, sf_dir), cost_and_usage_suite())
     return marked.select(
         "SubAccountId",
         "ChargePeriodStart",

@@ -7,6 +7,7 @@ from tallyloom.queries.oracle import (
     _METER_SUMS,
     AI_COLUMNS,
     COST,
+    FLAWED,
     METERS,
     OBSERVED,
     REPORT_ROWS,
@@ -14,6 +15,7 @@ from tallyloom.queries.oracle import (
     USAGE,
     canonical,
     newest,
+    suite,
     tagged,
 )
 
@@ -42,6 +44,16 @@ FULL JOIN (
 """
 
 
+def _known(day: str) -> str:
+    return newest(f"SELECT * FROM ({tagged('aws_cur', REPORT_ROWS)}) WHERE _loaded_at <= TIMESTAMP '{day}'")
+
+
+_SAME_CHARGE = " AND ".join(
+    f"a.{name} IS NOT DISTINCT FROM b.{name}"
+    for name in ("ChargePeriodStart", "ServiceName", "SubAccountId", "ChargeDescription")
+)
+
+
 def _distinct_check(column: str, other: str, expected: int) -> str:
     return f"""
     SELECT '{column}' AS column_name, '{other}' AS other, {expected}::BIGINT AS expected,
@@ -107,6 +119,31 @@ ORACLE: dict[str, str] = {
           count(*) FROM events WHERE event_type = 'click'
         UNION ALL SELECT '$', 'object', '(unreadable)', count(*), count(*) FROM events
           WHERE event_type = 'error'""",
+    "v_suite_incremental": suite(FLAWED),
+    "charges_as_of": " UNION ALL ".join(
+        f"SELECT *, TIMESTAMP '{day}' AS as_of FROM ("
+        + _known(day)
+        + ")"
+        for day in ("1994-01-01", "1996-07-15", "2030-01-01")
+    ),
+    "changed_amounts": f"""
+        WITH b AS ({_known("1996-07-15")}), a AS ({_known("1996-07-17")})
+        SELECT a._provider, a.ChargePeriodStart, a.ServiceName, a.SubAccountId, a.ChargeDescription,
+          b.BilledCost AS before, a.BilledCost AS after
+        FROM a LEFT JOIN b ON {_SAME_CHARGE} WHERE a.BilledCost IS DISTINCT FROM b.BilledCost""",
+    "column_sketch": " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) AS rows, count(*) FILTER (WHERE {name} IS NULL) AS nulls,"
+        f" true AS distinct_within, {'true' if ordered else 'CAST(NULL AS BOOLEAN)'} AS quantiles_within,"
+        f" {most} AS most_frequent FROM orders"
+        for name, ordered, most in (
+            ("o_orderkey", True, "NULL"),
+            ("o_custkey", True, "NULL"),
+            ("o_orderstatus", False, "(SELECT mode(o_orderstatus) FROM orders)"),
+            ("o_totalprice", True, "NULL"),
+            ("o_orderdate", True, "NULL"),
+            ("o_orderpriority", False, "NULL"),
+        )
+    ),
     "v_distinct_suite": f"WITH r AS ({OBSERVED}) "
     + " UNION ALL ".join(_distinct_check(*check) for check in DISTINCT_CHECKS),
     "usage_member_counts": f"""

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions import literal, utc_instant
 from tallyloom.operators.staging import LOADED_AT
+from tallyloom.sources.json_split import split_values
 from tallyloom.sources.widening import FAILED, disagree, read_widened
 
 Paths = str | list[str]
@@ -102,9 +103,10 @@ def read_json(
     """A JSON feed: ``newline_delimited``, ``array`` (one array per file), or ``auto``.
 
     ``auto`` finds the form of each file by itself, so that forms may be mixed in a folder. A line may hold
-    an object or an array of objects; such files are split over tasks. A file whose value spans
-    lines, an array or a single object, is one row of text first, which Spark limits to 2 GB; if it
-    holds more than that one value the read stops, as it does at anything unreadable.
+    an object or an array of objects; such files are split over tasks. So is a file whose value spans
+    lines, an array or a single object (``sources/json_split.py``), unless it is compressed: then it is one row
+    of text first, which Spark limits to 2 GB. If it holds more than that one value the read stops, as it
+    does at anything unreadable.
 
     Where values span lines, the frame also has the file's ``_metadata``, for ``with_load_time``.
     """
@@ -124,13 +126,30 @@ def read_json(
     return parts[0] if len(parts) == 1 else parts[1].unionByName(parts[0])
 
 
+# The endings of files that Spark takes apart only as a whole.
+_PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+
+
 def _spanning_values(spark: SparkSession, files: Paths, schema: T.StructType | str) -> DataFrame:
-    """One row per object of files that each hold one array or object over several lines.
+    """One row per object of files that each hold one array or object over several lines."""
+    kind = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<")[:-1]
+    known = spark.read.format("binaryFile").load(files).select("path", "_metadata")
+    packed = [r.path for r in known.where(f"path rlike '({'|'.join(_PACKED).replace('.', '[.]')})$'").select("path").collect()]
+    if packed:
+        plain = [r.path for r in known.select("path").collect() if r.path not in set(packed)]
+        whole = _whole_values(spark, packed, kind)
+        return whole.unionByName(_spanning_values(spark, plain, schema)) if plain else whole
+    parsed = f"from_json(value, {literal(kind)}, map('mode', 'FAILFAST')) as v"
+    of_file = known.selectExpr("xxhash64(_metadata.file_path) as file", "_metadata")
+    return split_values(spark, files).selectExpr(parsed, "file").join(of_file, "file").select("v.*", "_metadata")
+
+
+def _whole_values(spark: SparkSession, files: list[str], kind: str) -> DataFrame:
+    """The objects of compressed files, each read as one row of text.
 
     The parser ignores what follows a value. So the text is parsed as one member of an object, and a
     second member must be found behind it.
     """
-    kind = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<")[:-1]
     whole = spark.read.text(files, wholetext=True).select("value", "_metadata")
 
     def objects(shape: str) -> str:
