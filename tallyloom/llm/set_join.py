@@ -34,6 +34,7 @@ SHINGLE_WORDS = 4
 SHARED, OF_UNION = 85, 100  # a link: OF_UNION * intersection >= SHARED * union
 MOST_MATCHES = 6
 VERIFY_COST = 0.1  # of comparing a shingle, in list entries met
+SIZE_STEP = 1.04  # sizes of a class are within this factor
 PROOF_SHARE = 0.3  # of the shingle space that the first step looks at
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -158,57 +159,80 @@ def _star_pairs(rare: DataFrame, spark: SparkSession) -> DataFrame:
     return met.select("one", F.col("node").alias("two")).distinct()
 
 
-def with_matches(rare: DataFrame, most: int = MOST_MATCHES, verify: float = VERIFY_COST) -> DataFrame:
-    """Adds ``matches``, the number of shared prefix shingles at which the node's cost estimate is least.
+def _size_class(size: str) -> str:
+    return f"cast(floor(ln({size}) / ln({SIZE_STEP})) as int)"
 
-    The first e - least + k open shingles are the prefix for k matches. Its lists hold as many entries as its
-    shingles are held, and no more than a k-th of these can be candidates.
+
+def _prefixes(rare: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (s, node, n, label, e, at) of what each node asks for as the larger, and is listed under as the smaller.
+
+    A listed row has the ``level``, the least number of matches whose prefix has the shingle.
+    """
+    least, least_small = _least_shared("n"), _least_shared_with_larger("n")
+    asked = rare.where(f"e >= {least}").withColumn("prefix", F.expr(f"slice(rare, 1, cast(e - {least} + {most} as int))"))
+    listed = rare.where(f"e >= {least_small}").withColumn(
+        "prefix", F.expr(f"slice(rare, 1, cast(e - {least_small} + {most} as int))")
+    )
+    asked, listed = (
+        side.select("node", "n", "label", "e", F.posexplode("prefix").alias("at", "r")).select(
+            F.col("r.s").alias("s"), "node", "n", "label", "e", "at"
+        )
+        for side in (asked, listed)
+    )
+    return asked, listed.withColumn("level", F.expr(f"cast(greatest(1, at + 1 - e + {least_small}) as int)"))
+
+
+def with_matches(asked: DataFrame, listed: DataFrame, most: int, verify: float = VERIFY_COST) -> DataFrame:
+    """(node, matches): the number of shared prefix shingles at which the node's cost estimate is least.
+
+    For k matches the node meets the lists of its prefix, as long as they are for k matches; no more than a
+    k-th of their entries can be candidates, each of which costs a comparison of two sets. The prefix
+    is taken for partners of the node's own size, which most are.
     """
-    least = _least_shared("n")
-    met = f"aggregate(slice(rare, 1, cast(e - {least} + k as int)), 0L, (sum, r) -> sum + r.held)"
-    costs = F.expr(
-        f"transform(sequence(1, cast(least({most}, {least}) as int)),"
-        f" k -> struct({met} * (1 + {verify!r} * n / k) as cost, k as k))"
+    levels = range(1, most + 1)
+    lengths = listed.groupBy("s").agg(*[F.expr(f"count_if(level <= {k})").alias(f"l{k}") for k in levels])
+    same_size = _least_shared_with_larger("n")
+    met = [F.expr(f"sum(if(at < e - {same_size} + {k}, coalesce(l{k}, 0L), 0L))").alias(f"m{k}") for k in levels]
+    costs = [f"struct(if({k} <= {_least_shared('n')}, m{k} * (1 + {verify!r} * n / {k}), null) as cost, {k} as k)" for k in levels]
+    possible = f"filter(array({', '.join(costs)}), c -> c.cost is not null)"
+    return asked.join(lengths, "s", "left").groupBy("node", "n").agg(*met).select(
+        "node", F.expr(f"array_min({possible}).k").alias("matches")
     )
-    return rare.where(f"e >= {least}").withColumn("matches", F.array_min(costs)["k"])
 
 
 def candidates(rare: DataFrame, most: int = MOST_MATCHES) -> DataFrame:
     """Pairs (one, two) of different labels that share as many prefix shingles as the larger one asks for.
 
-    The larger node of a pair, by (n, node), decides. A node is listed under the prefix for the most
-    matches, each shingle with the least number of matches whose prefix has it. What the counted shingles and
-    the rest after the last of them can't make up to a link is no candidate either.
+    The larger node of a pair, by (n, node), decides. Lists are cut by the partner's class of size and by
+    level: a node asks a list only as far as its prefix for partners of that size reaches, and for no
+    more matches than it wants. What the counted shingles and the rest after the last of them can't make up
+    to a link is no candidate either.
     """
-    least, least_small = _least_shared("n"), _least_shared_with_larger("n")
-    place = "n - e + at + 1"
+    asked, listed = _prefixes(rare, most)
+    both = SHARED + OF_UNION
+    chosen = asked.join(with_matches(asked, listed, most), "node")
+    smallest = f"greatest({_least_shared('n')}, cast(floor(pow({SIZE_STEP}, size_class)) as int))"
+    reaches = f"at < e - (({SHARED} * (n + {smallest}) + {both - 1}) div {both}) + matches"
     asking = (
-        with_matches(rare, most)
-        .withColumn("prefix", F.expr(f"slice(rare, 1, cast(e - {least} + matches as int))"))
-        .select("node", "n", "label", "matches", "e", F.posexplode("prefix").alias("at", "r"))
-        .select(F.col("r.s").alias("s"), "node", "n", "label", "matches", F.expr(place).alias("place"))
-    )
-    listed = (
-        rare.where(f"e >= {least_small}")
-        .withColumn("prefix", F.expr(f"slice(rare, 1, cast(e - {least_small} + {most} as int))"))
-        .select("node", "n", "label", "e", F.posexplode("prefix").alias("at", "r"))
-        .select(
-            F.col("r.s").alias("s"),
-            F.col("node").alias("node_2"),
-            F.col("n").alias("n_2"),
-            F.col("label").alias("label_2"),
-            F.expr(place).alias("place_2"),
-            F.expr(f"greatest(1, at + 1 - e + {least_small})").alias("level"),
+        chosen.withColumn(
+            "size_class", F.explode(F.expr(f"sequence({_size_class(_least_shared('n'))}, {_size_class('n')})"))
         )
+        .where(reaches)
+        .withColumn("level", F.explode(F.expr("sequence(1, matches)")))
+    )
+    listing = listed.withColumn("size_class", F.expr(_size_class("n"))).withColumnsRenamed(
+        {name: f"{name}_2" for name in ("node", "n", "label", "e", "at")}
     )
-    smaller = F.expr("n_2 < n or (n_2 = n and node_2 < node)")
-    met = asking.join(listed, "s").where(
-        smaller & _fits("n", "n_2") & F.expr("label <> label_2 and level <= matches")
+    shared = f"(({SHARED} * (n + n_2) + {both - 1}) div {both})"
+    near = (
+        f"(n_2 < n or (n_2 = n and node_2 < node)) and label <> label_2 and least(e, e_2) >= {shared}"
+        f" and at < e - {shared} + matches and at_2 < e_2 - {shared} + matches"
     )
+    met = asking.join(listing, ["s", "size_class", "level"]).where(_fits("n", "n_2") & F.expr(near))
     counted = met.groupBy("node", "node_2", "n", "n_2", "matches").agg(
-        F.count("*").alias("c"), F.max("place").alias("last"), F.max("place_2").alias("last_2")
+        F.count("*").alias("c"), F.max(F.expr("at - e")).alias("last"), F.max(F.expr("at_2 - e_2")).alias("last_2")
     )
-    reach = f"{SHARED + OF_UNION} * (c + least(n - last, n_2 - last_2)) >= {SHARED} * (n + n_2)"
+    reach = f"{both} * (c - 1 - greatest(last, last_2)) >= {SHARED} * (n + n_2)"
     return counted.where(f"c >= matches and {reach}").select(
         F.col("node").alias("one"), F.col("node_2").alias("two")
     )
