@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tallyloom.llm import vector_codes
+from tallyloom.llm.vector_codes import coded_vectors, compress
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, slot int"
+
+
+def expected(rows, rounds=6):
+    """Plain Python over rows (vec_id, vector, label): {place: (vec_id, code, error, label_error, hash)}."""
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    whole = [[math.floor(float(np.float32(x)) * 4096) for x in r[1]] for r in kept]
+    width = len(whole[0]) // 8 if whole else 0
+    cut = [[v[i * width : (i + 1) * width] for i in range(8)] for v in whole]
+    books = [[v[i] for v in cut[:16]] for i in range(8)]
+
+    def assign():
+        return [
+            [min((sum((a - b) ** 2 for a, b in zip(v[i], e, strict=True)), k) for k, e in enumerate(books[i])) for i in range(8)]
+            for v in cut
+        ]
+
+    for _ in range(rounds):
+        near = assign()
+        for i in range(8):
+            for k in range(len(books[i])):
+                own = [v[i] for v, n in zip(cut, near, strict=True) if n[i][1] == k]
+                if own:
+                    books[i][k] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    numbers = ",".join(str(x) for book in books for e in book for x in e)
+    digest = hashlib.sha256(numbers.encode()).hexdigest()
+    near, by_label = assign(), {}
+    for r, n in zip(kept, near, strict=True):
+        by_label[r[2]] = by_label.get(r[2], 0) + sum(d for d, _ in n)
+    return sorted(
+        (repr(r[0]), "".join(f"{k:02x}" for _, k in n), sum(d for d, _ in n), by_label[r[2]], digest)
+        for r, n in zip(kept, near, strict=True)
+    )
+
+
+def got(df):
+    return sorted((repr(r.vec_id), r.code, r.error, r.label_error, r.codebooks_sha256) for r in df.collect())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(4)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(9)
+    out = [
+        (i, [draw.choice([-1, 0, 1]) + draw.gauss(0, 0.3) for _ in range(24)], draw.choice([0, 1, None]))
+        for i in range(120)
+    ]
+    out += [(200, None, 1), (201, [None] * 24, 1), (202, [float("nan")] * 24, 2), (3, [float("inf")] * 24, 2)]
+    out += [(None, [0.25] * 24, 5), (4, [0.5] * 24, None)]  # an id twice, a null id
+    return out + out[:5]  # repeated rows
+
+
+def test_same_as_plain_python(spark, rows):
+    assert got(coded_vectors(spark, frame(spark, rows))) == expected(rows)
+
+
+def test_small_blocks_give_the_same(spark, rows, monkeypatch):
+    monkeypatch.setattr(vector_codes, "BLOCK_VECTORS", 7)
+    assert got(coded_vectors(spark, frame(spark, rows))) == expected(rows)
+
+
+def test_few_equal_and_very_large_vectors(spark):
+    few = [(i, [float(i // 2)] * 8, 1) for i in range(6)]
+    assert got(coded_vectors(spark, frame(spark, few))) == expected(few)
+    large = [(i, [100_000.0 + i, -3e7 + 64 * i] * 4, i % 2) for i in range(20)]
+    assert got(coded_vectors(spark, frame(spark, large))) == expected(large)
+
+
+def test_uncut_vectors_come_back_without_a_code(spark, rows):
+    odd = [(-1, [], 0), (-2, [1.0] * 7, 0), (500, [1.0] * 16, None)]
+    found = coded_vectors(spark, frame(spark, rows + odd)).collect()
+    cut = {r.vec_id for r in found if r.code is None}
+    assert cut == {-1, -2, 500} and all(r.error is None for r in found if r.vec_id in cut)
+    want = expected(rows)
+    assert sorted((repr(r.vec_id), r.code, r.error) for r in found if r.code) == [w[:3] for w in want]
+
+
+def test_no_rows(spark):
+    empty = frame(spark, [(1, None, 1)])
+    assert coded_vectors(spark, empty).collect() == []
+    coded, books = compress(spark, empty)
+    assert coded.columns == ["vec_id", "label", "code", "error"] and books == []
