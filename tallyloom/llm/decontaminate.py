@@ -12,6 +12,9 @@ broadcast below Spark's threshold, and beyond it document shingles are shuffled
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +48,11 @@ def _phrases(words: str, width: int) -> Column:
     )
 
 
+def _by_width(made: Callable[[int], Column], width: int) -> Column:
+    """``made`` for the item's own shingle width, which is that of all its words if these are fewer."""
+    return reduce(lambda other, w: F.when(F.col("width") == w, made(w)).otherwise(other), range(1, width), made(width))
+
+
 def find_items(
     spark: SparkSession,
     docs: DataFrame,
@@ -55,18 +63,26 @@ def find_items(
     """Rows doc_id, body, item_id, n_shared, n_shingles and containment, of at least the threshold.
 
     ``body`` is the hash of the document's text. Containment is the share of an item's distinct shingles
-    that the document has. Null texts and items of fewer words than a shingle match nothing. Rows that
+    that the document has. An item of fewer words than a shingle is one shingle, all its words, and is
+    found wherever they stand in a row. Null texts and items without words match nothing. Rows that
     share an item_id are looked for one by one, and the best fit is told; equal document rows are told
     once, also those without a doc_id. Empty tables give no rows; further columns are ignored.
     """
     known = (
         items.where("text is not null")
         .select("item_id", _words("text").alias("words"))
-        .select("item_id", _phrases("words", width).alias("phrases"), _hashes("words", width).alias("h"))
-        .where("size(phrases) > 0")
+        .where("size(words) > 0")
+        .withColumn("width", F.least(F.size("words"), F.lit(width)))
+        .select(
+            "item_id",
+            "width",
+            _by_width(lambda w: _phrases("words", w), width).alias("phrases"),
+            _by_width(lambda w: _hashes("words", w), width).alias("h"),
+        )
         .distinct()
         .select(
             "item_id",
+            "width",
             "phrases",
             F.xxhash64("phrases").alias("of"),
             F.array_sort(F.array_distinct("h")).alias("h"),
@@ -80,7 +96,9 @@ def find_items(
 
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("body"), "text")
     hashed = rows.select("doc_id", "body", _words("text").alias("words"))
-    hashed = hashed.select("doc_id", "body", F.explode(_hashes("words", width)).alias("hash"))
+    widths = [r.width for r in known.select("width").distinct().collect()] or [width]  # at most the shingle width
+    hashes = F.concat(*[_hashes("words", w) for w in widths])
+    hashed = hashed.select("doc_id", "body", F.explode(hashes).alias("hash"))
     found = (
         hashed.join(sketches, "hash")
         .groupBy("doc_id", "body")
@@ -95,7 +113,7 @@ def find_items(
     checked = (
         rows.join(candidates, same)
         .select("doc_id", "body", "found", _words("text").alias("words"))
-        .select("doc_id", "body", "found", _phrases("words", width).alias("held"))
+        .select("doc_id", "body", "found", F.concat(*[_phrases("words", w) for w in widths]).alias("held"))
         .select("doc_id", "body", "held", F.explode("found").alias("f"))
         .select("doc_id", "body", "held", "f.item_id", "f.of")
         .join(wanted, same_item)

@@ -5,16 +5,19 @@ from __future__ import annotations
 ORACLE: dict[str, str] = {}
 
 ORACLE["op4_decontamination"] = r"""
-WITH held AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(words) - 3),
-    lambda i: array_to_string(words[i:i + 4], ' '))) AS s
+WITH items AS (
+  SELECT item_id, words, least(len(words), 5) AS width FROM (SELECT item_id,
+    list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM benchmark)
+  WHERE len(words) >= 1
+), held AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(words) - width + 2),
+    lambda i: array_to_string(words[i:i + width - 1], ' '))) AS s
   FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'),
-    lambda w: w <> '') AS words FROM documents) WHERE len(words) >= 5
+    lambda w: w <> '') AS words FROM documents), (SELECT DISTINCT width FROM items) WHERE len(words) >= width
 ), wanted AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(words) - 3),
-    lambda i: array_to_string(words[i:i + 4], ' '))) AS s
-  FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'),
-    lambda w: w <> '') AS words FROM benchmark) WHERE len(words) >= 5
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(words) - width + 2),
+    lambda i: array_to_string(words[i:i + width - 1], ' '))) AS s
+  FROM items
 ), sizes AS (SELECT item_id, count(*) AS n_shingles FROM wanted GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS n_shared, n_shingles, count(*) / n_shingles AS containment
 FROM held JOIN wanted USING (s) JOIN sizes USING (item_id)

@@ -6,19 +6,25 @@ import re
 from tallyloom.llm.decontaminate import find_items
 
 
-def shingles(text):
-    w = [x for x in re.split(r"[\x20\x09-\x0d]+", (text or "").lower()) if x]
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+def shingles(text, width=5):
+    w = words_of(text)
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)}
+
+
+def words_of(text):
+    return [x for x in re.split(r"[\x20\x09-\x0d]+", (text or "").lower()) if x]
 
 
 def expected(docs, items):
     out = set()
     for i, text in docs:
-        held = shingles(text)
+        held = {w: shingles(text, w) for w in range(1, 6)}
         for k, item in items:
-            want = shingles(item)
-            if want and len(held & want) >= 0.8 * len(want):
-                out.add((i, k, len(held & want), len(want)))
+            width = min(5, len(words_of(item))) or 5
+            want = shingles(item, width)
+            held_now = held[width]
+            if want and len(held_now & want) >= 0.8 * len(want):
+                out.add((i, k, len(held_now & want), len(want)))
     return out
 
 
@@ -46,6 +52,14 @@ def test_same_as_brute_force(spark, documents, words):
     assert got(found) == expected(docs, items)
 
 
+def test_short_items(spark, documents, words):
+    items = [(1, "Capital of  France"), (2, "yes"), (3, "a b"), (4, "b a"), (5, "one two three four"), (6, words(9, 1)), (7, " ")]
+    docs = [(1, "the capital of france is"), (2, "Yes: a b a\tone two three five"), (3, "ONE two\nthree four"), (4, words(20, 1)), (5, "yes"), (6, "")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert got(find_items(spark, documents(docs), table)) == expected(docs, items)
+    assert {r.doc_id for r in find_items(spark, documents(docs), table.where("item_id = 1")).collect()} == {1}
+
+
 def test_hot_item(spark, documents, words):
     items = [(1, words(30, 1))]
     docs = [(i, f"{words(10, 50 + i)} {items[0][1]}") for i in range(300)]
