@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.written import written
@@ -20,34 +20,66 @@ from tallyloom.llm.written import written
 WEIGHTS = (5.0, 2.0, 1.0)  # for the sources in code point order, repeating
 EPOCHS = 3.0
 SEED = 17
-MOST_SOURCES = 100_000  # their sizes are the only thing that the driver reads
 BUCKET_ROWS = 2_000
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def _in_order(spark: SparkSession, df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Adds ``part`` and ``at``: rows are in order by both. Sorted over tasks and written, never in one task."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()
+    return written(spark, ranged.withColumn("part", F.shiftright(at, 33)).withColumn("at", at), name)
+
+
+def _sums_before(ordered: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """Adds the sum of each expression over all rows that come before, by sums of parts and sums within a part."""
+    of_part = ordered.groupBy("part").agg(*[F.expr(f"sum({sql})").alias(f"all_{n}") for n, sql in sums.items()])
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task of a sort
+    zero = F.lit(0)
+    starts = of_part.select(
+        F.col("part").alias("_part"), *[F.coalesce(F.sum(f"all_{n}").over(earlier), zero).alias(f"start_{n}") for n in sums]
+    )
+    inside = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    own = {n: F.coalesce(F.sum(F.expr(sql)).over(inside), zero) for n, sql in sums.items()}
+    joined = ordered.withColumns({f"own_{n}": c for n, c in own.items()}).join(starts, F.col("part") == F.col("_part"))
+    whole = joined.withColumns({n: F.col(f"start_{n}") + F.col(f"own_{n}") for n in sums})
+    return whole.select(*ordered.columns, *sums)
+
+
 def water_fill(
-    sizes: Sequence[int], weights: Sequence[float], total: float, epochs: float = EPOCHS
-) -> list[float]:
-    """Targets that share ``total`` by weight, none above ``epochs`` times its size.
+    spark: SparkSession, sources: DataFrame, weights: Sequence[float] = WEIGHTS, epochs: float = EPOCHS
+) -> DataFrame:
+    """(source, source_size, n) with ``target``: sizes shared by weight, none above ``epochs`` times its size.
 
+    Sources are ordered by what they can take for their weight. Those before the level are at their maximum, the
+    others share what these leave; the level is the first place where the share is not above the
+    maximum. Numbers and sums come from sorts over many tasks, so there may be any number of sources.
     If the whole can't be placed, every source is at its maximum; sources without weight get nothing.
     """
-    targets = [0.0] * len(sizes)
-    open_ = [i for i, w in enumerate(weights) if w > 0]
-    left = float(total)
-    while open_:
-        weight = sum(weights[i] for i in open_)
-        above = [i for i in open_ if left * weights[i] / weight > epochs * sizes[i]]
-        if not above:
-            for i in open_:
-                targets[i] = left * weights[i] / weight
-            break
-        for i in above:
-            targets[i] = epochs * sizes[i]
-        left -= sum(targets[i] for i in above)
-        open_ = [i for i in open_ if i not in set(above)]
-    return targets
+    named = _in_order(spark, sources, [F.asc_nulls_last("source")], "sources")
+    numbered = _sums_before(named, {"number": "1"})
+    weight = f"element_at(array({', '.join(f'{float(w)!r}D' for w in weights)}), cast(number % {len(weights)} + 1 as int))"
+    weighed = numbered.selectExpr("source", "source_size", "n", f"{weight} as weight")
+    weighed = weighed.withColumn("most", F.expr(f"if(weight > 0, {float(epochs)!r}D * source_size, 0D)"))
+    weighed = weighed.withColumn("room", F.expr("if(weight > 0, most / weight, 0D)"))
+    filled = _sums_before(
+        _in_order(spark, weighed, [F.asc("room"), F.asc_nulls_last("source")], "rooms"),
+        {"full": "most", "done": "weight"},
+    )
+    # four numbers, for the whole table
+    total, shares = sources.agg(F.sum("source_size")).first()[0] or 0, weighed.agg(F.sum("weight")).first()[0] or 0.0
+    filled = written(spark, filled, "filled")
+    level = (
+        filled.where("weight > 0")
+        .withColumns({"remaining": F.lit(float(total)) - F.col("full"), "sharing": F.lit(float(shares)) - F.col("done")})
+        .where("remaining * weight / sharing <= most")
+        .agg(F.min(F.struct("at", "remaining", "sharing")).alias("l"))
+        .first()
+        .l
+    )
+    target = f"if(at < {level.at}, most, {level.remaining!r}D * weight / {level.sharing!r}D)" if level else "most"
+    return filled.selectExpr("source", "source_size", "n", f"{target} as target")
 
 
 def mix(
@@ -73,29 +105,14 @@ def mix(
         draw.alias("draw"),
     )
     sized = written(spark, sized, "sizes")
-    sources = (
-        sized.groupBy("source")
-        .agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-        .limit(MOST_SOURCES + 1)
-        .collect()
-    )
-    if len(sources) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    sources.sort(key=lambda r: (r.source is None, r.source or ""))
-    sizes = [r.source_size for r in sources]
-    shares = [weights[i % len(weights)] for i in range(len(sizes))]
-    table = spark.createDataFrame(
-        [
-            (r.source, r.source_size, target, *repetitions(target, r.source_size))
-            for r, target in zip(
-                sources, water_fill(sizes, shares, sum(sizes), epochs), strict=True
-            )
-        ],
-        "_source string, source_size long, target double, whole long, part long",
-    )
-    # at most MOST_SOURCES rows of five values
-    rows = sized.join(F.broadcast(table), sized["source"].eqNullSafe(F.col("_source"))).drop("_source")
-    most = max((r.n for r in sources), default=0)
+    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    targets = water_fill(spark, written(spark, sources, "source-sizes"), weights, epochs)
+    whole = "if(source_size = 0, 0L, cast(floor(target / source_size) as long)) as whole"
+    part = "if(source_size = 0, 0L, cast(bround(target - whole * source_size) as long)) as part"
+    targets = targets.selectExpr("*", whole).selectExpr("source as _source", "source_size", "n", "target", "whole", part)
+    targets = written(spark, targets, "targets")
+    rows = sized.join(targets.drop("n"), sized["source"].eqNullSafe(F.col("_source"))).drop("_source")
+    most = targets.agg(F.max("n")).first()[0] or 0
     digits = next(k for k in range(2, 9) if 16**k * BUCKET_ROWS >= most or k == 8)
     rows = rows.withColumn("bucket", F.substring("draw", 1, digits))
 
@@ -127,11 +144,3 @@ def mix(
         .withColumn("taken", F.col("whole") * F.col("size") + F.col("extra"))
         .select("doc_id", "source", "body", "size", "source_size", "target", "whole", "extra", "taken")
     )
-
-
-def repetitions(target: float, size: int) -> tuple[int, int]:
-    """How often all of a source is taken, and how many words more."""
-    if not size:
-        return 0, 0
-    whole = int(target // size)
-    return whole, round(target - whole * size)

@@ -13,11 +13,11 @@ import test_decontaminate
 import test_fingerprint
 import test_licenses
 import test_lines
+import test_mixing
 import test_near_dedup
 import test_substring
 
 import corpus_pipeline
-from tallyloom.llm.mixing import repetitions, water_fill
 from tallyloom.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -81,10 +81,10 @@ def mixed(rows):
         size[source] = size.get(source, 0) + len(words)
     order = sorted(size, key=lambda s: (s is None, s or ""))
     weights = [(5, 2, 1)[i % 3] for i in range(len(order))]
-    targets = dict(zip(order, water_fill([size[s] for s in order], weights, sum(size.values())), strict=True))
+    targets = dict(zip(order, test_mixing.water_fill([size[s] for s in order], weights, sum(size.values())), strict=True))
     ahead, out = {}, set()
     for doc_id, source, words in sorted(rows, key=lambda r: hashlib.md5(f"17|{r[0]}".encode()).hexdigest()):
-        whole, part = repetitions(targets[source], size[source])
+        whole, part = test_mixing.repetitions(targets[source], size[source])
         more = max(0, min(len(words), part - ahead.get(source, 0)))
         ahead[source] = ahead.get(source, 0) + len(words)
         copies = [len(words)] * whole + [more]
