@@ -42,7 +42,12 @@ def main(argv: list[str] | None = None) -> int:
         "--parity", action="store_true",
         help="two cost types of a meter give two rows, of which the newest-row selection keeps one",
     )
+    parser.add_argument(
+        "--reconciled", action="store_true", help="a cost that meets no meter is billed in a row of its own"
+    )
     args = parser.parse_args(argv)
+    if args.parity and args.reconciled:
+        parser.error("--parity and --reconciled exclude each other")
 
     spark = build_session()
     paths = _paths(args.feeds)
@@ -51,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
         paths.generic_csv[name] = f"{base}/{name}.csv"
     for name in args.generic_parquet:
         paths.generic_parquet[name] = f"{base}/{name}.parquet"
-    run = build(spark, paths, args.provider, args.enabled, not args.parity)
+    run = build(spark, paths, args.provider, args.enabled, "reconciled" if args.reconciled else not args.parity)
     if args.out:
         run = run.write(args.out)
     drift: list[tuple[str, str]] = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,7 @@ from tallyloom.operators.drift import failure_reason, missing_columns, unexpecte
 from tallyloom.operators.mapping import conform
 from tallyloom.operators.report import empty_report, report, select_checks
 from tallyloom.operators.staging import LOADED_AT
-from tallyloom.plans import native, nested_ai, prefixed, seats
+from tallyloom.plans import native, nested_ai, prefixed, reconcile, seats
 from tallyloom.plans.suites import cost_and_usage_suite, provider_suite, staging_suite
 from tallyloom.sources.files import read_csv, read_json, read_json_values, with_load_time
 from tallyloom.sources.freshness import freshness
@@ -63,6 +64,10 @@ ASSERT_SEVERITY = "error"
 PLACEHOLDER = "dummy_col"
 
 
+# How the nested feed's costs meet its meters: added up per meter, a row per cost type, or with nothing left over.
+Strict = bool | Literal["reconciled"]
+
+
 @dataclass(frozen=True)
 class Build:
     raw: dict[str, DataFrame]
@@ -71,7 +76,7 @@ class Build:
     canonical: dict[str, DataFrame]
     chosen: tuple[str, ...] = ()
     single: bool = False
-    strict: bool = True
+    strict: Strict = True
     paths: Paths | None = None
 
     def views(self) -> dict[str, DataFrame]:
@@ -206,8 +211,10 @@ STAGES = {
 }
 
 
-def map_provider(provider: str, staged: dict[str, DataFrame], strict: bool = True) -> MappedFeed:
+def map_provider(provider: str, staged: dict[str, DataFrame], strict: Strict = True) -> MappedFeed:
     if provider == "anthropic":
+        if strict == "reconciled":
+            return reconcile.map_reconciled(staged["anthropic_usage"], staged["anthropic_cost"])
         return nested_ai.map_usage_and_cost(
             staged["anthropic_usage"], staged["anthropic_cost"], strict
         )
@@ -225,7 +232,7 @@ def assemble(
     staged: dict[str, DataFrame],
     chosen: Sequence[str],
     single: bool,
-    strict: bool,
+    strict: Strict,
     paths: Paths | None,
 ) -> Build:
     """The mapped and canonical frames of staged feeds."""
@@ -249,12 +256,13 @@ def build(
     paths: Paths,
     provider: str | None = None,
     enabled: Sequence[str] = tuple(PROVIDER_FEEDS),
-    strict: bool = True,
+    strict: Strict = True,
 ) -> Build:
     """All enabled providers with duplicates removed, or one provider with duplicates left in.
 
     ``strict`` adds up the costs of one meter. Without it, which is the parity mode, two cost types of a meter
-    give two rows, and the newest-row selection keeps one of them.
+    give two rows, and the newest-row selection keeps one of them. ``"reconciled"`` bills a cost that meets no
+    meter in a row of its own, so that the billed total is the staged one.
     """
     chosen = [provider] if provider else list(enabled)
     unknown = [name for name in chosen if name not in PROVIDER_FEEDS]

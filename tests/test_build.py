@@ -248,3 +248,12 @@ def test_views(spark, run):
     total = spark.sql("select sum(BilledCost) from CostAndUsage where _provider = 'azure_ai'")
     assert total.head()[0] == 4.0
     assert spark.table("stg_aws_cur").count() == 5
+
+
+def test_reconciled_bills_the_whole_staged_cost(spark, paths):
+    run = build(spark, paths, enabled=["anthropic"], strict="reconciled")
+    staged = run.staged["anthropic_cost"].selectExpr("sum(amount_usd)").first()[0]
+    billed = run.canonical["CostAndUsage"].selectExpr("sum(BilledCost)", "count_if(ChargeCategory = 'Adjustment')").first()
+    assert abs(billed[0] - staged) < 1e-9 and billed[1] == 2  # one model without usage, in both hours
+    less = build(spark, paths, enabled=["anthropic"]).canonical["CostAndUsage"].selectExpr("sum(BilledCost)").first()[0]
+    assert less < staged
