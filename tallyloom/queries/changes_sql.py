@@ -74,6 +74,10 @@ ORACLE: dict[str, str] = {
           CASE WHEN l_linenumber <= 4 THEN l_linenumber::VARCHAR ELSE '-,' || l_orderkey END AS places,
           CASE WHEN l_linenumber > 4 THEN l_returnflag END AS flag
         FROM lineitem""",
+    "read_json_auto": """
+        SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderdate::VARCHAR AS o_orderdate,
+          CASE WHEN o_orderstatus IS DISTINCT FROM 'P' THEN o_custkey END AS custkey,
+          CASE WHEN o_orderstatus IS DISTINCT FROM 'P' THEN o_orderpriority END AS priority FROM orders""",
     "map_ai_usage_reconciled": canonical(
         RECONCILED,
         AI_COLUMNS

@@ -1,4 +1,12 @@
-from tallyloom.sources.files import read_csv, read_json, read_json_lines, read_parquet, with_load_time
+from tallyloom.sources.files import (
+    json_spec,
+    read_csv,
+    read_json,
+    read_json_auto,
+    read_json_lines,
+    read_parquet,
+    with_load_time,
+)
 from tallyloom.sources.freshness import freshness
 from tallyloom.sources.generic import stage_generic, union_by_name
 from tallyloom.sources.inventory import (
@@ -24,10 +32,12 @@ __all__ = [
     "file_inventory",
     "freshness",
     "jdbc_options",
+    "json_spec",
     "publish_views",
     "read_csv",
     "read_jdbc",
     "read_json",
+    "read_json_auto",
     "read_json_lines",
     "read_parquet",
     "read_partitioned",

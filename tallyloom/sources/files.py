@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,19 +134,19 @@ _PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 
 def _spanning_values(spark: SparkSession, files: Paths, schema: T.StructType | str) -> DataFrame:
     """One row per object of files that each hold one array or object over several lines."""
-    kind = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<")[:-1]
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     known = spark.read.format("binaryFile").load(files).select("path", "_metadata")
     packed = [r.path for r in known.where(f"path rlike '({'|'.join(_PACKED).replace('.', '[.]')})$'").select("path").collect()]
     if packed:
         plain = [r.path for r in known.select("path").collect() if r.path not in set(packed)]
         whole = _whole_values(spark, packed, kind)
         return whole.unionByName(_spanning_values(spark, plain, schema)) if plain else whole
-    parsed = f"from_json(value, {literal(kind)}, map('mode', 'FAILFAST')) as v"
+    parsed = f"from_json(value, {literal(kind.json())}, map('mode', 'FAILFAST')) as v"
     of_file = known.selectExpr("xxhash64(_metadata.file_path) as file", "_metadata")
     return split_values(spark, files).selectExpr(parsed, "file").join(of_file, "file").select("v.*", "_metadata")
 
 
-def _whole_values(spark: SparkSession, files: list[str], kind: str) -> DataFrame:
+def _whole_values(spark: SparkSession, files: list[str], kind: T.StructType) -> DataFrame:
     """The objects of compressed files, each read as one row of text.
 
     The parser ignores what follows a value. So the text is parsed as one member of an object, and a
@@ -152,16 +154,16 @@ def _whole_values(spark: SparkSession, files: list[str], kind: str) -> DataFrame
     """
     whole = spark.read.text(files, wholetext=True).select("value", "_metadata")
 
-    def objects(shape: str) -> str:
+    def objects(shape: T.DataType) -> str:
         wrapped = "'{\"v\":' || value || ',\"whole\":true}'"
-        wanted = literal(f"v {shape}, whole boolean")
+        wanted = literal(T.StructType().add("v", shape).add("whole", "boolean").json())
         return f"from_json({wrapped}, {wanted}, map('mode', 'FAILFAST'))"
 
     is_array = f"value rlike {literal(_ARRAY)}"
     parts = []
     for chosen, shape, values in (
-        (is_array, f"array<struct<{kind}>>", "p.v"),
-        (f"not {is_array}", f"struct<{kind}>", "array(p.v)"),
+        (is_array, T.ArrayType(kind), "p.v"),
+        (f"not {is_array}", kind, "array(p.v)"),
     ):
         parsed = whole.where(chosen).selectExpr(f"{objects(shape)} as p", "_metadata")
         unfinished = "raise_error('more than one JSON value, or none, in ' || _metadata.file_path)"
@@ -171,6 +173,27 @@ def _whole_values(spark: SparkSession, files: list[str], kind: str) -> DataFrame
     return parts[0].unionByName(parts[1])
 
 
+def json_spec(spark: SparkSession, path: Paths) -> T.StructType:
+    """The type of a JSON feed's objects, from one pass over all of them: a spec to begin a new feed with.
+
+    Numbers with a fraction are doubles. What is null in every object, or of different kinds in two, is text. A
+    feed that holds anything but objects, or none, has no such type and is an error.
+    """
+    values = read_json_values(spark, path)
+    found = values.selectExpr("schema_of_variant_agg(parse_json(value)) as kind").first().kind
+    if not str(found).startswith("OBJECT<"):
+        raise ValueError(f"not a feed of JSON objects: {found}")
+    text = re.sub(r"\bOBJECT<", "STRUCT<", found)
+    for kind, name in (("OBJECT", "STRING"), ("VOID", "STRING"), ("VARIANT", "STRING"), (r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE")):
+        text = re.sub(rf"(?<=[ <]){kind}(?=[,>])", name, text)
+    return T.StructType.fromDDL(text[len("STRUCT<") : -1])
+
+
+def read_json_auto(spark: SparkSession, path: Paths) -> DataFrame:
+    """A JSON feed by the types that its own objects have; two passes, the first over the whole text."""
+    return read_json(spark, path, json_spec(spark, path))
+
+
 def read_json_lines(spark: SparkSession, path: Paths) -> DataFrame:
     """Newline-delimited JSON as text, one object per row in ``value``."""
     return spark.read.text(path).where(F.trim("value") != "")

@@ -10,7 +10,7 @@ import uuid
 
 import pytest
 
-from tallyloom.sources.files import read_json
+from tallyloom.sources.files import json_spec, read_json, read_json_auto
 from tallyloom.sources.json_split import split_values
 
 
@@ -87,3 +87,21 @@ def test_compressed_and_plain_files(spark, folder):
         json.dump([{"n": 3}], out, indent=1)
     for form in ("array", "auto"):
         assert sorted(r.n for r in read_json(spark, folder, "n bigint", form).collect()) == [1, 2, 3]
+
+
+def test_a_spec_from_the_objects_themselves(spark, folder):
+    with open(f"{folder}/a.json", "w") as out:
+        out.write('{"n": 1, "x": 2, "none": null, "mix": 1, "a b": {"c,d": [{"OBJECT": true}]}, "e": []}\n')
+        out.write('{"n": 9000000000, "x": 2.5, "mix": "t", "late": "y", "a b": {"c,d": []}}\n')
+    with open(f"{folder}/b.json", "w") as out:
+        json.dump([{"n": 3, "x": 1e3}], out, indent=1)
+    kinds = {f.name: f.dataType.simpleString() for f in json_spec(spark, folder)}
+    assert kinds == {
+        "n": "bigint", "x": "double", "none": "string", "mix": "string", "late": "string", "e": "array<string>",
+        "a b": "struct<c,d:array<struct<OBJECT:boolean>>>",
+    }
+    assert sorted((r.n, r.x) for r in read_json_auto(spark, folder).collect()) == [(1, 2.0), (3, 1000.0), (9000000000, 2.5)]
+    with open(f"{folder}/c.json", "w") as out:
+        out.write("[1, 2]\n")
+    with pytest.raises(ValueError, match="JSON objects"):
+        json_spec(spark, f"{folder}/c.json")
