@@ -1,6 +1,7 @@
-"""Substring dedup by relative Lempel-Ziv parsing, over Spark.
+"""Substring dedup against reference blocks, in the manner of relative Lempel-Ziv factors but by whole blocks.
 
-Each document is factored against reference blocks taken from all documents. A window of 50 words has
+There is no greedy parse that extends a factor word by word; blocks are compared whole, by hash, which gives
+the same removed words (README, item 2). Reference blocks are taken from all documents. A window of 50 words has
 an anchor, the smallest hash among its word groups; consecutive windows with one anchor form a block.
 As the anchor follows from the window's words alone, equal windows always meet under one anchor.
 
@@ -12,7 +13,7 @@ As the anchor follows from the window's words alone, equal windows always meet u
 Neighbouring repeated windows join to factors, and a factor is at least one window long. Totals combine
 before every shuffle. Joins are plain equality joins of written tables, so that both sides are shuffled as
 they are and Spark can split a hot key.
-Identity of content is judged by 128-bit hashes.
+Identity of a window is judged by 128-bit hashes, that of a block by 64 bits within its anchor.
 """
 
 from __future__ import annotations
