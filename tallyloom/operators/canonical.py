@@ -177,18 +177,23 @@ def duplicates(feeds: Iterable[MappedFeed], key: Sequence[str] = CHARGE_KEY) ->
     """
     known_columns(key)
     cost = column_list(DATASET)[0]
-    place = f"case when {cost} is null then 0 when isnan({cost}) then 1 else 2 end"
     counted = []
     for feed in feeds:
-        per_charge = (
+        # Two steps instead of the largest (time, cost) pair, which a hash aggregation can't hold.
+        per_load = (
             feed.columns(list(dict.fromkeys([*key, cost])))
-            .groupBy(*key)
+            .groupBy(*key, LOADED_AT)
             .agg(
                 F.expr("count(*) as n"),
                 F.expr(f"{exact_sum(cost)} as cost"),
-                F.expr(f"max(struct({LOADED_AT}, {place}, -{cost} as less)) as newest"),
+                F.expr(f"min({cost}) as least"),
             )
-            .selectExpr("n", "cost", "-newest.less as kept")
+        )
+        loaded = f"coalesce({LOADED_AT}, timestamp_ntz'0001-01-01 00:00:00')"
+        per_charge = per_load.groupBy(*key).agg(
+            F.expr("sum(n) as n"),
+            F.expr(f"{exact_sum('cost')} as cost"),
+            F.expr(f"max_by(least, {loaded}) as kept"),
         )
         counted.append(
             per_charge.selectExpr(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import literal, records
 from tallyloom.operators.checks import Check
 from tallyloom.operators.report import distinct_part, empty_report
-from tallyloom.sources.upsert import FOLDERS, in_folders, table_exists
+from tallyloom.sources.upsert import FOLDERS, folder_values, in_folders, table_exists
 
 # The columns of the kept counts.
 KEPT = "folder string, mark string, check_id string, violations bigint"
@@ -41,12 +40,6 @@ def kept_counts(spark: SparkSession, kept: str) -> DataFrame:
     return spark.read.schema(KEPT).parquet(kept) if table_exists(spark, kept) else spark.createDataFrame([], KEPT)
 
 
-def folder_values(folder: str) -> tuple[str | None, ...]:
-    """The values that a folder's name stands for, as Spark writes them."""
-    found = [unquote(part.partition("=")[2]) for part in folder.strip("/").split("/")]
-    return tuple(None if value == "__HIVE_DEFAULT_PARTITION__" else value for value in found)
-
-
 def _check_id(check: Check, kind: str) -> str:
     text = repr((check.kind, check.column, sorted(check.params.items(), key=repr), kind))
     return hashlib.sha256(text.encode()).hexdigest()[:20]

@@ -236,7 +236,15 @@ def test_new_columns(spark, folder):
     upsert.upsert_latest(spark, charges(spark, [("a", "2024-01", "x", 1, 1)]), folder, KEY)
     more = charges(spark, [("a", "2024-01", "y", 1, 2)]).withColumn("extra", F.lit("new"))
     upsert.upsert_latest(spark, more, folder, KEY)
-    assert sorted((r.k, r.extra or "") for r in spark.read.parquet(folder).collect()) == [("x", ""), ("y", "new")]
+    def extras():
+        rows = spark.read.option("mergeSchema", True).parquet(folder).collect()
+        return sorted((r._month, r.k, r.extra or "") for r in rows)
+
+    assert extras() == [("2024-01", "x", ""), ("2024-01", "y", "new")]
+    # a delivery without the column to a folder that has it, beside one that doesn't
+    upsert.upsert_latest(spark, charges(spark, [("a", "2024-02", "x", 1, 1)]), folder, KEY)
+    upsert.upsert_latest(spark, charges(spark, [("a", "2024-01", "z", 1, 1), ("a", "2024-02", "z", 1, 1)]), folder, KEY)
+    assert ("2024-01", "y", "new") in extras() and len(extras()) == 5
 
 
 # Ledger.

@@ -15,9 +15,10 @@ from tallyloom.operators.checks import Check
 from tallyloom.operators.history import as_of, changed_amounts, versions
 from tallyloom.operators.report import report
 from tallyloom.operators.sketches import column_sketches, described, measured_errors, merged_sketches
-from tallyloom.operators.stored_report import folder_values, kept_counts, report_changed
+from tallyloom.operators.stored_report import kept_counts, report_changed
 from tallyloom.plans import prefixed
 from tallyloom.sources import read_csv, with_load_time
+from tallyloom.sources.upsert import folder_values
 from tallyloom.streaming.ingest import feed_stream, ingest_stream
 
 
