@@ -42,39 +42,42 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_TERM_BYTES).split()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
-
-    def handed_on() -> pa.RecordBatch:
-        langs, sources, terms, occurrences, documents = [], [], [], [], []
-        for (lang, source), (seen, docs) in held.items():
-            langs += [lang] * len(seen)
-            sources += [source] * len(seen)
-            terms += seen.keys()
-            occurrences += seen.values()
-            documents += [docs[t] for t in seen]
-        held.clear()
-        names = [pa.array(x, pa.binary()).cast(pa.string()) for x in (langs, sources, terms)]
-        return pa.RecordBatch.from_arrays(
-            [*names, pa.array(occurrences, pa.int64()), pa.array(documents, pa.int64())],
-            names=["lang", "source", "term", "n", "docs"],
-        )
-
-    size = 0
-    for batch in batches:
-        columns = [batch.column(i).cast(pa.binary()).to_pylist() for i in range(3)]
-        for lang, source, text in zip(*columns, strict=True):
-            seen, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            before = len(seen)
-            found = Counter(terms_of(text))
-            seen.update(found)
-            docs.update(found.keys())
-            size += len(seen) - before
-            if size > HELD_COUNTS:
-                yield handed_on()
-                size = 0
-    if held:
-        yield handed_on()
+def _count(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+
+        def handed_on() -> pa.RecordBatch:
+            langs, sources, terms, occurrences, documents = [], [], [], [], []
+            for (lang, source), (seen, docs) in held.items():
+                langs += [lang] * len(seen)
+                sources += [source] * len(seen)
+                terms += seen.keys()
+                occurrences += seen.values()
+                documents += [docs[t] for t in seen]
+            held.clear()
+            names = [pa.array(x, pa.binary()).cast(pa.string()) for x in (langs, sources, terms)]
+            return pa.RecordBatch.from_arrays(
+                [*names, pa.array(occurrences, pa.int64()), pa.array(documents, pa.int64())],
+                names=["lang", "source", "term", "n", "docs"],
+            )
+
+        size = 0
+        for batch in batches:
+            columns = [batch.column(i).cast(pa.binary()).to_pylist() for i in range(3)]
+            for lang, source, text in zip(*columns, strict=True):
+                seen, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                before = len(seen)
+                found = Counter(terms_of(text))
+                seen.update(found)
+                docs.update(found.keys())
+                size += len(seen) - before
+                if size > most:
+                    yield handed_on()
+                    size = 0
+        if held:
+            yield handed_on()
+
+    return run
 
 
 def column_runs(
@@ -93,53 +96,57 @@ def column_runs(
         yield int(of[low]), term[first[low:high]], term[last[low:high]] + 1, count[first[low:high]]
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(block_terms: int):
     """Rows (lang, part, held) in order become blocks of runs; a block ends with its language."""
-    lang, number, size = None, 0, 0
-    block = 0
-    places: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
-    sizes: list[np.ndarray] = []
-
-    def finished() -> Iterator[pa.RecordBatch]:
-        term = np.repeat(np.arange(size), np.concatenate(sizes))
-        rows = list(column_runs(np.concatenate(places), term, np.concatenate(counts)))
-        n = len(rows)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * n),
-                pa.array([block] * n, pa.int64()),
-                pa.array([size] * n, pa.int32()),
-                pa.array([r[0] for r in rows], pa.int32()),
-                pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                pa.array([r[2] for r in rows], pa.list_(pa.int32())),
-                pa.array([r[3] for r in rows], pa.list_(pa.int64())),
-            ],
-            names=["lang", "block", "terms", "place", "starts", "ends", "counts"],
-        )
 
-    for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        first = 0
-        while first < len(langs):
-            if langs[first] != lang or size == BLOCK_TERMS:
-                if size:
-                    yield from finished()
-                lang, size, places, counts, sizes = langs[first], 0, [], [], []
-                block = (batch.column("part")[first].as_py() << 32) + number
-                number += 1
-            last = first
-            while last < len(langs) and langs[last] == lang and size + last - first < BLOCK_TERMS:
-                last += 1
-            held = batch.column("held").slice(first, last - first)
-            flat = held.flatten()
-            places.append(flat.field(0).to_numpy(zero_copy_only=False))
-            counts.append(flat.field(1).to_numpy(zero_copy_only=False))
-            sizes.append(held.value_lengths().to_numpy(zero_copy_only=False))
-            size += last - first
-            first = last
-    if size:
-        yield from finished()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lang, number, size = None, 0, 0
+        block = 0
+        places: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            term = np.repeat(np.arange(size), np.concatenate(sizes))
+            rows = list(column_runs(np.concatenate(places), term, np.concatenate(counts)))
+            n = len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * n),
+                    pa.array([block] * n, pa.int64()),
+                    pa.array([size] * n, pa.int32()),
+                    pa.array([r[0] for r in rows], pa.int32()),
+                    pa.array([r[1] for r in rows], pa.list_(pa.int32())),
+                    pa.array([r[2] for r in rows], pa.list_(pa.int32())),
+                    pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                ],
+                names=["lang", "block", "terms", "place", "starts", "ends", "counts"],
+            )
+
+        for batch in batches:
+            langs = batch.column("lang").to_pylist()
+            first = 0
+            while first < len(langs):
+                if langs[first] != lang or size == block_terms:
+                    if size:
+                        yield from finished()
+                    lang, size, places, counts, sizes = langs[first], 0, [], [], []
+                    block = (batch.column("part")[first].as_py() << 32) + number
+                    number += 1
+                last = first
+                while last < len(langs) and langs[last] == lang and size + last - first < block_terms:
+                    last += 1
+                held = batch.column("held").slice(first, last - first)
+                flat = held.flatten()
+                places.append(flat.field(0).to_numpy(zero_copy_only=False))
+                counts.append(flat.field(1).to_numpy(zero_copy_only=False))
+                sizes.append(held.value_lengths().to_numpy(zero_copy_only=False))
+                size += last - first
+                first = last
+        if size:
+            yield from finished()
+
+    return run
 
 
 def shares(counts: np.ndarray, whole: int) -> np.ndarray:
@@ -173,29 +180,33 @@ def _at(starts: np.ndarray, ends: np.ndarray, values: np.ndarray, zero: int, at:
     return out
 
 
-def _compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _compare(tile: int):
     """All pairs of sources of two tiles over one block; a source of the tiles without a row is zero."""
-    lang, block, left, right = key
-    terms = int(rows.terms.iloc[0])
-    empty = np.zeros(0, dtype=np.int64)
-    whole: dict[int, int] = {}
-    for first, wholes in zip(rows.firsts.iloc[0], rows["wholes"].iloc[0], strict=True):
-        whole.update(zip(range(first, first + len(wholes)), map(int, wholes), strict=True))
-    columns = {place: (empty, empty, empty) for place in whole}
-    for r in rows.itertuples():
-        columns[r.place] = (
-            np.asarray(r.starts, dtype=np.int64),
-            np.asarray(r.ends, dtype=np.int64),
-            shares(np.asarray(r.counts), whole[r.place]),
-        )
-    zeros = {place: int(shares(np.zeros(1), n)[0]) for place, n in whole.items()}
-    low, high = left * TILE_SOURCES, right * TILE_SOURCES
-    out = []
-    for a in range(low, low + TILE_SOURCES):
-        for b in range(max(a + 1, high), high + TILE_SOURCES):
-            if a in whole and b in whole:
-                out.append((lang, a, b, run_sum(columns[a], columns[b], zeros[a], zeros[b], terms), terms))
-    return pd.DataFrame(out, columns=["lang", "a", "b", "value", "terms"])
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lang, block, left, right = key
+        terms = int(rows.terms.iloc[0])
+        empty = np.zeros(0, dtype=np.int64)
+        whole: dict[int, int] = {}
+        for first, wholes in zip(rows.firsts.iloc[0], rows["wholes"].iloc[0], strict=True):
+            whole.update(zip(range(first, first + len(wholes)), map(int, wholes), strict=True))
+        columns = {place: (empty, empty, empty) for place in whole}
+        for r in rows.itertuples():
+            columns[r.place] = (
+                np.asarray(r.starts, dtype=np.int64),
+                np.asarray(r.ends, dtype=np.int64),
+                shares(np.asarray(r.counts), whole[r.place]),
+            )
+        zeros = {place: int(shares(np.zeros(1), n)[0]) for place, n in whole.items()}
+        low, high = left * tile, right * tile
+        out = []
+        for a in range(low, low + tile):
+            for b in range(max(a + 1, high), high + tile):
+                if a in whole and b in whole:
+                    out.append((lang, a, b, run_sum(columns[a], columns[b], zeros[a], zeros[b], terms), terms))
+        return pd.DataFrame(out, columns=["lang", "a", "b", "value", "terms"])
+
+    return run
 
 
 def _share(count: str, whole: str) -> str:
@@ -224,7 +235,7 @@ def audit(
     """
     ship(spark)
     plain = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counted = plain.mapInArrow(_count, "lang string, source string, term string, n long, docs long")
+    counted = plain.mapInArrow(_count(HELD_COUNTS), "lang string, source string, term string, n long, docs long")
     counted = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counted = written(spark, counted, "counted")
     kept = counted.groupBy("lang", "term").agg(F.sum("n").alias("of_lang"), F.sum("docs").alias("docs"))
@@ -273,7 +284,7 @@ def _pairs(spark: SparkSession, used: DataFrame, groups: DataFrame) -> DataFrame
         .select("lang", F.spark_partition_id().alias("part"), "held")
     )
     runs = held.mapInArrow(
-        _runs,
+        _runs(BLOCK_TERMS),
         "lang string, block long, terms int, place int, starts array<int>, ends array<int>, counts array<long>",
     )
     runs = written(spark, runs, "runs").withColumn("tile", F.expr(f"place div {TILE_SOURCES}").cast("int"))
@@ -299,7 +310,7 @@ def _pairs(spark: SparkSession, used: DataFrame, groups: DataFrame) -> DataFrame
     )
     sides = runs.join(met, ["lang", "tile"]).drop("tile")
     found = sides.groupBy("lang", "block", "left", "right").applyInPandas(
-        _compare, "lang string, a int, b int, value long, terms int"
+        _compare(TILE_SOURCES), "lang string, a int, b int, value long, terms int"
     )
     found = found.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("terms").alias("terms"))
 
