@@ -13,7 +13,11 @@ Three steps keep the work near the size of the input:
 2. In each list of nodes that share a prefix shingle, the member with the least of its own meets all others.
    That is linear in the lists and makes groups of copies one class.
 3. Shingles that one class alone holds can't make another link. By what is left, nodes are closed again, and the
-   rest meet under multi-match prefixes, in different classes only. No list is capped.
+   rest meet under multi-match prefixes, in different classes only. No list is capped. In long lists, which are of
+   families around one text, nodes meet by what tells them from a pivot, the member with the most usual shingles:
+   what two nodes differ in is what each differs in from the pivot but for what these have in common, and nodes
+   that link with the pivot need no other link. So members of a family that miss the threshold by little
+   meet under what few of them have changed, not under what all of them hold.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ SHARED, OF_UNION = 85, 100  # a link: OF_UNION * intersection >= SHARED * union
 MOST_MATCHES = 6
 VERIFY_COST = 0.1  # of comparing a shingle, in list entries met
 SIZE_STEP = 1.04  # sizes of a class are within this factor
+LONG_LIST = 64  # longer lists meet by differences from a pivot
 PROOF_SHARE = 0.3  # of the shingle space that the first step looks at
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -200,15 +205,80 @@ def with_matches(asked: DataFrame, listed: DataFrame, most: int, verify: float =
     )
 
 
-def candidates(rare: DataFrame, most: int = MOST_MATCHES) -> DataFrame:
+def long_lists(rare: DataFrame, most: int) -> DataFrame:
+    """(s, pivot): lists with more than LONG_LIST nodes, and of each the node with the most usual shingles."""
+    asked, _ = _prefixes(rare, most)
+    usual = rare.selectExpr("node", "aggregate(rare, 0L, (a, r) -> a + r.held) / n as usual")
+    listed = asked.join(usual, "node").groupBy("s")
+    listed = listed.agg(F.count("*").alias("members"), F.max(F.struct("usual", "node")).alias("p"))
+    return listed.where(f"members > {LONG_LIST}").select("s", F.col("p.node").alias("pivot"))
+
+
+def differences(rare: DataFrame, lists: DataFrame, sets: DataFrame, most: int) -> DataFrame:
+    """(pivot, node, label, n, pivot_n, d, apart): the ``d`` shingles that one of a node and a pivot of its lists has."""
+    asked, _ = _prefixes(rare, most)
+    pairs = asked.join(lists, "s").select("pivot", "node", "label").distinct()
+    left = sets.select("node", F.col("shingles").alias("mine"))
+    right = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("other"))
+    met = pairs.join(right, "pivot").join(left, "node")
+    apart = F.concat(F.array_except("mine", "other"), F.array_except("other", "mine"))
+    met = met.withColumn("apart", apart)
+    return met.selectExpr(
+        "pivot", "node", "label", "size(mine) as n", "size(other) as pivot_n", "size(apart) as d", "apart"
+    )
+
+
+def near_pivots(apart: DataFrame) -> DataFrame:
+    """Links (one, two) of pivots with their nodes, by the number of shingles that they differ in."""
+    linked = f"{SHARED + OF_UNION} * d <= {OF_UNION - SHARED} * (n + pivot_n) and node <> pivot"
+    return apart.where(linked).select(F.col("pivot").alias("one"), F.col("node").alias("two"))
+
+
+def around_pivots(apart: DataFrame) -> DataFrame:
+    """Rows (one, two) of nodes of different labels that share so many differences from a pivot that they may link.
+
+    Sets differ in d + d_2 - 2 * c shingles if c of their differences from the pivot are the same. One of the two,
+    which asks, does not link with the pivot, or the pivot links both; so c is at least 1. Rare differences come
+    first, and both have one of the c in their prefix. Differences that no other node of the pivot has count in d only.
+    """
+    both, gap = SHARED + OF_UNION, OF_UNION - SHARED
+    each = apart.select("pivot", "node", F.explode("apart").alias("s"))
+    held = each.groupBy("pivot", "s").agg(F.count("*").alias("held")).where("held > 1")
+    rare = each.join(held, ["pivot", "s"]).groupBy("pivot", "node")
+    rare = rare.agg(F.sort_array(F.collect_list(F.struct("held", "s"))).alias("rare"))
+    rare = apart.drop("apart").join(rare, ["pivot", "node"]).withColumn("e", F.size("rare"))
+
+    def prefix(of: DataFrame, least: str) -> DataFrame:
+        of = of.withColumn("prefix", F.expr(f"slice(rare, 1, cast(greatest(0, e - {least} + 1) as int))"))
+        of = of.select("pivot", "node", "label", "n", "d", "e", "outside", F.posexplode("prefix").alias("at", "r"))
+        return of.withColumn("s", F.col("r.s")).drop("r")
+
+    rare = rare.withColumn("outside", F.expr(f"{both} * d > {gap} * (n + pivot_n)"))
+    # the least c with any partner outside, and of a node outside with any partner
+    listed = prefix(rare, f"(({both} * d + {gap} * (pivot_n - n) + {2 * both}) div {2 * both})")
+    asking = prefix(rare.where("outside"), f"(({both} * d - {gap} * (n + pivot_n) + {2 * both - 1}) div {2 * both})")
+    listed = listed.withColumnsRenamed({name: f"{name}_2" for name in ("node", "label", "n", "d", "e", "at", "outside")})
+    shared = f"(({both} * (d + d_2) - {gap} * (n + n_2) + {2 * both - 1}) div {2 * both})"
+    near = (
+        f"label <> label_2 and (node < node_2 or not outside_2) and at <= e - {shared} and at_2 <= e_2 - {shared}"
+    )
+    met = asking.join(listed, ["pivot", "s"]).where(_fits("n", "n_2") & F.expr(near))
+    return met.select(F.least("node", "node_2").alias("one"), F.greatest("node", "node_2").alias("two"))
+
+
+def candidates(rare: DataFrame, most: int = MOST_MATCHES, without: DataFrame | None = None) -> DataFrame:
     """Pairs (one, two) of different labels that share as many prefix shingles as the larger one asks for.
 
+    Pairs that share a prefix shingle of ``without`` (s) are not looked for; it is left out of all lists.
+
     The larger node of a pair, by (n, node), decides. Lists are cut by the partner's class of size and by
     level: a node asks a list only as far as its prefix for partners of that size reaches, and for no
     more matches than it wants. What the counted shingles and the rest after the last of them can't make up
     to a link is no candidate either.
     """
     asked, listed = _prefixes(rare, most)
+    if without is not None:
+        asked, listed = (side.join(without, "s", "left_anti") for side in (asked, listed))
     both = SHARED + OF_UNION
     chosen = asked.join(with_matches(asked, listed, most), "node")
     smallest = f"greatest({_least_shared('n')}, cast(floor(pow({SIZE_STEP}, size_class)) as int))"
@@ -299,7 +369,13 @@ def classes(
     )
     rare = _ordered(left, spread.where("low < high").select("s", "held"))
     rare = written(spark, rare.where(f"e >= {_least_shared('n')}"), "rare")
-    more = written(spark, _linked(candidates(rare, most), sets), "links")
+    lists = written(spark, long_lists(rare, most), "long-lists")
+    more = _linked(candidates(rare, most, lists), sets)
+    if not lists.limit(1).isEmpty():
+        apart = written(spark, differences(rare, lists, sets, most), "apart")
+        around = written(spark, around_pivots(apart), "around")
+        more = more.union(near_pivots(apart)).union(_linked(around.distinct(), sets))
+    more = written(spark, more, "links")
     if not more.limit(1).isEmpty():
         labels = components(spark, links.union(more))
 

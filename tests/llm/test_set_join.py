@@ -178,3 +178,58 @@ def test_texts_of_one_template_below_the_threshold_do_not_all_meet(spark):
     found = {tuple(sorted(r)) for r in candidates(listed(spark, sets), 6).collect()}
     assert linked_pairs(sets) <= found
     assert len(found) < len(sets) < len(sets) * (len(sets) - 1) / 2 / 100
+
+
+def family(draw, members, outside):
+    """Texts with up to two changed words, which link with their base, and with three, which miss it by little."""
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(members + outside):
+        text = list(base)
+        for k, at in enumerate(draw.sample(range(4, 146), i % 3 if i < members else 3)):
+            text[at] = f"x{i}" if k else f"y{i % 40}"
+        texts.append(" ".join(text + ["z"] * (i % 2)))
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+def test_a_family_at_the_threshold_does_not_meet_in_full(spark, documents, monkeypatch):
+    rows = family(random.Random(5), 140, 60)
+    met, found = [], []
+    around, pairs = set_join.around_pivots, set_join.candidates
+    monkeypatch.setattr(set_join, "around_pivots", lambda apart: met.append(around(apart).count()) or around(apart))
+
+    def searched(rare, most, without):
+        found.append(pairs(rare, most, without).count())
+        return pairs(rare, most, without)
+
+    monkeypatch.setattr(set_join, "candidates", searched)
+    assert got(classes(spark, documents(rows))) == expected(rows)
+    assert met and sum(met) + sum(found) < len(rows)
+
+
+def test_pivots_lose_no_link(spark, documents, corpus, monkeypatch):
+    monkeypatch.setattr(set_join, "LONG_LIST", 1)
+    assert got(classes(spark, documents(corpus))) == expected(corpus)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pairs_around_a_pivot_and_links_with_it_are_all(spark, seed):
+    """Any pivot will do: nodes that link are in one component by links with the pivot and pairs around it."""
+    draw = random.Random(seed)
+    base = set(range(40))
+    sets = {frozenset(base)}
+    for i in range(150):
+        more = {draw.choice([100 + k % 7, 1000 + i * 9 + k]) for k in range(draw.randrange(7))}
+        sets.add(frozenset(base - set(draw.sample(range(40), draw.randrange(9))) | more))
+    sets = sorted(sets, key=sorted)
+    rows = [(p, i, i, len(s), len(sets[p]), len(s ^ sets[p]), list(s ^ sets[p])) for p in (0, len(sets) // 2) for i, s in enumerate(sets)]
+    ddl = "pivot long, node long, label long, n int, pivot_n int, d int, apart array<long>"
+    apart = spark.createDataFrame(rows, ddl).cache()
+    for p in (0, len(sets) // 2):
+        mine = apart.where(f"pivot = {p}")
+        direct = {tuple(sorted(r)) for r in set_join.near_pivots(mine).collect()}
+        assert direct == {(a, b) for a, b in linked_pairs(sets) if p in (a, b)}
+        pairs = {tuple(r) for r in set_join.around_pivots(mine).collect()}
+        inside = {p} | {a + b - p for a, b in direct}
+        want = {(a, b) for a, b in linked_pairs(sets) if not {a, b} <= inside}
+        assert want and want <= pairs
