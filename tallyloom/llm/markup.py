@@ -2,9 +2,10 @@
 
 A wrapper is a regular expression without unions over tags and texts, written as a tree: each node says
 whether it is optional, whether it repeats, and whether its own text is fixed or a slot. Within a page equal
-neighbours fold into a repeated group. Across the pages of a host the token streams are aligned by their
-paths, in Spark: a path that some pages lack is optional, one that a page has more than once is repeated, one
-whose texts differ is a slot. So no task holds a whole host, and its size has no bound to meet.
+neighbours fold into a repeated group, and what only some of them hold is optional. The wrapper of a host starts
+as the folded token stream that most of its pages have. Each page's stream is aligned with it in order: what
+a page lacks or has besides is optional, what repeats in a page is repeated, what has unlike texts is a slot.
+Pages are aligned one by one and summed up in Spark, so no task holds a whole host.
 
 The region of a host's content is what holds the most text: its ``article`` elements, the ``main`` one, or,
 where neither does, the smallest region around all its slots and optional parts. All text of the region is
@@ -16,7 +17,9 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import xxhash
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.ship import ship
 from tallyloom.llm.written import written
 
-HELD = 100_000  # paths that a task holds before it tells them
+HELD = 100_000  # places that a task holds before it tells them
 SPREAD = 16  # parts of a host's pages that meet its rule in different tasks
 MOST_DEPTH = 64  # of wrapper nodes; deeper elements belong to the node at this depth
 
@@ -244,101 +247,189 @@ def read_page(page: str, roots: frozenset[str] | set[str]) -> str | None:
     return "\n".join(blocks) if seen else None
 
 
-def page_paths(page: str) -> tuple[dict[str, tuple[str, int]], list[int]]:
-    """Each path that has a text, with a hash of its texts and the number of nodes that have one, and the length
+REPEATED, OPTIONAL = 1, 2  # flags of a token: [path, hash of its texts, flags]
+
+
+def places(wrapper: Sequence[str], stream: Sequence[str]) -> list[tuple[int, bool]]:
+    """For each path of a stream, its place in the wrapper and whether it is inserted after that place.
+
+    The k-th occurrences of a path may match; of these, the longest run that is in order in both does.
+    """
+    seen: Counter[str] = Counter()
+    known = {}
+    for i, path in enumerate(wrapper):
+        known[path, seen[path]] = i
+        seen[path] += 1
+    seen.clear()
+    ends: list[int] = []  # the least place that ends an ordered run of each length, and where in the stream it is
+    holders: list[int] = []
+    before = [-1] * len(stream)
+    found = []
+    for i, path in enumerate(stream):
+        found.append(known.get((path, seen[path]), -1))
+        seen[path] += 1
+        if found[i] >= 0:
+            k = bisect_left(ends, found[i])
+            before[i] = holders[k - 1] if k else -1
+            ends[k:k + 1], holders[k:k + 1] = [found[i]], [i]
+    matched = set()
+    i = holders[-1] if holders else -1
+    while i >= 0:
+        matched.add(i)
+        i = before[i]
+    last, out = -1, []
+    for i, at in enumerate(found):
+        last = at if i in matched else last
+        out.append((last, i not in matched))
+    return out
+
+
+def fold(one: list[list], two: list[list]) -> list[list] | None:
+    """The repeated group of two neighbours' tokens if one has all of the other's; what it has besides is optional."""
+    at = places([x[0] for x in one], [x[0] for x in two])
+    if sum(not inserted for _, inserted in at) < min(len(one), len(two)):
+        return None
+    met = {i: token for (i, inserted), token in zip(at, two, strict=True) if not inserted}
+    after: dict[int, list[list]] = {}
+    for (i, inserted), (path, text, flags) in zip(at, two, strict=True):
+        if inserted:
+            after.setdefault(i, []).append([path, text, flags | REPEATED | OPTIONAL])
+    out = after.get(-1, [])
+    for i, (path, text, flags) in enumerate(one):
+        if i in met:
+            text, flags = xxhash.xxh3_64_hexdigest(text + met[i][1]), flags | met[i][2] | REPEATED
+        else:
+            flags |= REPEATED | OPTIONAL
+        out.append([path, text, flags])
+        out += after.get(i, [])
+    return out
+
+
+def page_stream(page: str) -> tuple[list[list], list[int]]:
+    """The tokens [path, hash of texts, flags] of a page's texts in order, equal neighbours folded, and the length
     of text in articles, in main outside them, and elsewhere. What is boilerplate by its kind is in neither."""
-    found: dict[str, tuple[str, int]] = {}
     sizes = [0, 0, 0]
-    stack: list[tuple[str, bool, int]] = [("", False, ELSEWHERE)]  # path, left out, place
+    # path, left out, place, (key, tokens) of each child
+    stack: list[tuple[str, bool, int, list[tuple[str, list[list]]]]] = [("", False, ELSEWHERE, [])]
     for what, value, kind in events(page):
+        path, gone, place, items = stack[-1]
         if what == "open":
-            path, gone, place = stack[-1]
             tag = value.split(".", 1)[0]
             gone = gone or goes(kind, tag, place)
-            place = place_of(tag, place)
             path = f"{path}/{value}" if len(stack) <= MOST_DEPTH else path
-            stack.append((path, gone, place))
+            stack.append((path, gone, place_of(tag, place), []))
         elif what == "close":
             stack.pop()
-        else:
-            path, gone, place = stack[-1]
-            text = "" if gone else " ".join(value.split())
-            if text:
-                sizes[place] += len(text)
-                known, nodes = found.get(path, ("", 0))
-                found[path] = (xxhash.xxh3_64_hexdigest(known + text), nodes + 1)
-    return found, sizes
+            tokens = items[0][1] if len(items) == 1 else [x for _, held in items for x in held]
+            around = stack[-1][3]
+            if tokens and around and around[-1][0] == path and (group := fold(around[-1][1], tokens)):
+                around[-1] = (path, group)
+            elif tokens:
+                around.append((path, tokens))
+        elif text := "" if gone else " ".join(value.split()):
+            sizes[place] += len(text)
+            digest = xxhash.xxh3_64_hexdigest(text)
+            if items and not items[-1][0]:  # one text that a comment or a line end cuts
+                token = items[-1][1][0]
+                token[1] = xxhash.xxh3_64_hexdigest(token[1] + digest)
+            else:
+                items.append(("", [[path, digest, 0]]))
+    return [x for _, held in stack[0][3] for x in held], sizes
+
+
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            tokens, sizes = page_stream(page)
+            rows.append((host, *([x[i] for x in tokens] for i in range(3)), *sizes))
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(7)]
+        text, flags, n = pa.list_(pa.string()), pa.list_(pa.int32()), pa.int64()
+        kinds = (pa.string(), text, text, flags, n, n, n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["host", "paths", "texts", "flags", "article", "main", "other"],
+        )
 
 
 _NODES = pa.schema(
     [
-        ("host", pa.string()), ("path", pa.string()), ("low", pa.string()), ("high", pa.string()),
-        ("n", pa.int64()), ("most", pa.int64()), ("article", pa.int64()), ("main", pa.int64()), ("other", pa.int64()),
+        ("host", pa.string()), ("place", pa.int64()), ("inserted", pa.bool_()), ("path", pa.string()),
+        ("low", pa.string()), ("high", pa.string()), ("n", pa.int64()), ("flags", pa.int64()),
     ]
 )
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each host, without a path, and one for each path with a text, of the pages a task has seen."""
-    hosts: dict[str, list[int]] = {}
-    paths: dict[tuple[str, str], list] = {}
+    """A row for each place of a host's wrapper, or inserted after it, that a page of the task has."""
+    nodes: dict[tuple[str, int, bool, str], list] = {}
+    met: dict[tuple, list[tuple[int, bool]]] = {}
 
     def told() -> pa.RecordBatch:
-        rows = [(h, None, None, None, have[0], 0, *have[1:]) for h, have in hosts.items()]
-        rows += [(h, path, *have, 0, 0, 0) for (h, path), have in paths.items()]
-        hosts.clear()
-        paths.clear()
+        rows = [(*key, *have) for key, have in nodes.items()]
+        nodes.clear()
+        met.clear()
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _NODES]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, _NODES, strict=True)], schema=_NODES
         )
 
     for batch in batches:
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found, sizes = page_paths(page)
-            have = hosts.setdefault(host, [0, 0, 0, 0])
-            for i, size in enumerate((bool(found), *sizes)):
-                have[i] += size
-            if sizes[0] >= sizes[1] + sizes[2]:  # the article is enough to tell where the content is
-                continue
-            for path, (text, nodes) in found.items():
-                known = paths.setdefault((host, path), [text, text, 0, 0])
-                known[0], known[1] = min(known[0], text), max(known[1], text)
-                known[2] += 1
-                known[3] = max(known[3], nodes)
-        if len(hosts) + len(paths) > HELD:  # what is told early is summed up later
-            yield told()
+        for host, paths, texts, flags, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            key = (host, tuple(paths))
+            if key not in met:
+                met[key] = places(wrapper, paths)
+            own: dict[tuple[str, int, bool, str], list] = {}
+            for (place, inserted), path, text, flag in zip(met[key], paths, texts, flags, strict=True):
+                known = own.get((host, place, inserted, path))
+                if known:  # inserted more than once at a place
+                    text, flag = xxhash.xxh3_64_hexdigest(known[0] + text), known[1] | flag | REPEATED
+                own[host, place, inserted, path] = [text, flag]
+            for node, (text, flag) in own.items():
+                have = nodes.setdefault(node, [text, text, 0, 0])
+                have[0], have[1] = min(have[0], text), max(have[1], text)
+                have[2] += 1
+                have[3] |= flag
+            if len(nodes) + len(met) > HELD:  # what is told early is summed up later
+                yield told()
     yield told()
 
 
 def aligned(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """The wrapper of each host as rows: host, path, ``n`` pages that have it, ``optional``, ``repeated``, ``slot``;
-    and a row without a path with the host's pages and its lengths of text in ``article``, ``main``, ``other``.
-
-    Pages whose articles hold most of their text tell only their lengths; they need no more.
-    """
+    """The wrapper of each host as rows in order of ``place``: host, path, ``n`` pages that have it, ``optional``,
+    ``repeated``, ``slot``, and ``inserted`` for what stands after the place on some pages; and a row without a
+    path with the host's pages with text and its lengths of text in ``article``, ``main``, ``other``."""
     ship(spark)
+    streams = pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html")).mapInArrow(
+        _streams,
+        "host string, paths array<string>, texts array<string>, flags array<int>, article long, main long, other long",
+    )
+    streams = written(spark, streams, "streams")
+    some = streams.where("size(paths) > 0")
+    usual = some.groupBy("host", "paths").count().groupBy("host")
+    usual = usual.agg(F.max(F.struct("count", F.size("paths"), "paths")).alias("u")).select("host", "u.paths")
+    usual = written(spark, usual, "usual-streams").withColumnRenamed("paths", "wrapper")
+    usual = usual.withColumn("part", F.expr(f"explode(sequence(0, {SPREAD - 1}))"))
+    parted = some.withColumn("part", F.pmod(F.xxhash64("texts"), F.lit(SPREAD)).cast("int"))
     nodes = (
-        pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+        parted.join(usual, ["host", "part"])
+        .select("host", "paths", "texts", "flags", "wrapper")
         .mapInArrow(
-            _align,
-            "host string, path string, low string, high string, n long, most long, article long, main long, other long",
-        )
-        .groupBy("host", "path")
-        .agg(
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-            F.max("most").alias("most"),
-            *[F.sum(c).alias(c) for c in ("n", "article", "main", "other")],
+            _align, "host string, place long, inserted boolean, path string, low string, high string, n long, flags long"
         )
+        .groupBy("host", "place", "inserted", "path")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.bit_or("flags").alias("flags"))
+    )
+    totals = streams.groupBy("host").agg(
+        F.expr("count_if(size(paths) > 0)").alias("pages"), *[F.sum(c).alias(c) for c in ("article", "main", "other")]
     )
-    nodes = written(spark, nodes, "nodes")
-    totals = nodes.where("path is null").select("host", F.col("n").alias("pages"))
+    totals = written(spark, totals, "hosts")
     shape = nodes.join(totals, "host").selectExpr(
-        "host", "path", "n", "pages", "n < pages as optional", "most > 1 as repeated", "low < high as slot",
-        "article", "main", "other",
+        "host", "place", "inserted", "path", "n", "pages", f"n < pages or flags & {OPTIONAL} > 0 as optional",
+        f"flags & {REPEATED} > 0 as repeated", "low < high as slot", "article", "main", "other",
     )
-    return written(spark, shape, "wrappers")
+    whole = totals.selectExpr("host", "pages as n", "pages", "article", "main", "other")
+    return written(spark, shape.unionByName(whole, allowMissingColumns=True), "wrappers")
 
 
 def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -350,7 +441,7 @@ def wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """
     shape = aligned(spark, pages)
     hosts = shape.where("path is null").select("host", "n", "article", "main", "other")
-    varying = shape.where("path is not null and (slot or optional)").groupBy("host")
+    varying = shape.where("path is not null and (slot or n < pages)").groupBy("host")
     varying = varying.agg(F.min("path").alias("first"), F.max("path").alias("last"))
     # what the first and the last path in order share, all others do; the last part is a text's own element
     a, b = F.split("first", "/"), F.split("last", "/")

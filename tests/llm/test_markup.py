@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from tallyloom.llm.markup import aligned, main_text, read_page, wrappers
+from tallyloom.llm.markup import aligned, main_text, places, read_page, wrappers
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -164,3 +164,38 @@ def test_equal_texts_that_are_content_stay(spark):
 
 def test_empty_table(spark):
     assert main_text(spark, spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_streams_fold_and_align_in_order(spark):
+    def of(i):
+        note = "<div>Note</div>" if i == 2 else ""
+        items = "".join(f"<li><i>k{j}</i>" + ("<b>x</b>" if j else "") + "</li>" for j in range(1 + i))
+        return f"<body>{note}<div>Top</div><h2>t{i}</h2><ul>{items}</ul><article>a{i}" + "long " * 99 + "</article><div>End</div></body>"
+
+    rows = [(i, "https://a.example.org/", of(i)) for i in range(3)] + [(3, "https://a.example.org/", of(0))]
+    shape = aligned(spark, spark.createDataFrame(rows, SCHEMA).repartition(3)).where("path is not null").collect()
+    found = sorted((r.place, r.inserted, r.path, r.optional, r.repeated, r.slot) for r in shape)
+    assert [f[2:] for f in found if f[2].startswith("/body/div")] == [
+        ("/body/div", False, True, True),  # Top, with the note that one page has beside it
+        ("/body/div", False, False, False),  # End, which is no repetition of Top
+    ]
+    assert [f[2:] for f in found if "li" in f[2]] == [("/body/ul/li/i", False, True, True), ("/body/ul/li/b", True, True, True)]
+    assert [f[2:] for f in found if "article" in f[2]] == [("/body/article", False, False, True)]
+
+
+@pytest.mark.parametrize(
+    ("stream", "want"),
+    [
+        ("abc", [(0, False), (1, False), (2, False)]),
+        ("xac", [(-1, True), (0, False), (2, False)]),
+        ("acb", [(0, False), (1, True), (1, False)]),
+        ("aabc", [(0, False), (0, True), (1, False), (2, False)]),
+        ("", []),
+    ],
+)
+def test_places(stream, want):
+    got = places("abc", stream)
+    kept = [i for i, inserted in got if not inserted]
+    assert kept == sorted(set(kept)) and len(kept) == sum(not inserted for _, inserted in want)
+    if stream != "acb":  # of which two may match
+        assert got == want
