@@ -10,17 +10,55 @@ from pyspark.sql import functions as F
 from tallyloom.functions import quoted
 from tallyloom.operators.canonical import CHARGE_KEY, PROVIDER, dedup_latest
 from tallyloom.operators.staging import LOADED_AT
+from tallyloom.session import file_system, shuffles_removed
 
 KNOWN_FROM, KNOWN_TO, AS_OF = "known_from", "known_to", "as_of"
+PART = "_part"
+COMPRESSION = "zstd"
 
+# Bytes of rows, by Spark's estimate, whose versions are found at once, and the number of parts at most.
+AT_ONCE = 64 << 20
+PARTS = 64
 
-def versions(df: DataFrame, key: Sequence[str] = (PROVIDER, *CHARGE_KEY)) -> DataFrame:
+
+def versions(
+    df: DataFrame, key: Sequence[str] = (PROVIDER, *CHARGE_KEY), work: str | None = None, at_once: int = AT_ONCE
+) -> DataFrame:
     """Adds ``known_from`` and ``known_to``: a version holds from its load up to the next load of its charge.
 
     Rows of a charge from one load are reduced first, as ``dedup_latest`` does, on the map side too; so a
     charge's window holds one row per load, whatever its number of rows. A row without a load time is older
     than all others.
+
+    All rows go through two shuffles. With ``work``, a fresh folder that all executors share, what Spark
+    estimates at over ``at_once`` bytes is written there first, without a shuffle, in parts by the key's hash. The
+    parts are then done one after the other: each one's shuffle files and rows go when its versions are
+    written, so the disk holds every row once and one part's shuffles.
     """
+    parts = 1 if work is None else min(PARTS, -(-_estimated_bytes(df) // at_once))
+    if parts <= 1:
+        return _with_times(df, key)
+    spark = df.sparkSession
+    files, to_path = file_system(spark, work)
+    split, done = f"{work}/rows", f"{work}/versions"
+    columns = ", ".join(quoted(name) for name in key)
+    with shuffles_removed(spark):
+        each = df.selectExpr("*", f"cast(pmod(xxhash64({columns}), {parts}) as int) as {PART}")
+        each.write.partitionBy(PART).parquet(split, compression=COMPRESSION)
+        stored = spark.read.schema(each.schema).parquet(split)
+        found = None
+        for part in range(parts):
+            found = _with_times(stored.where(f"{PART} = {part}").drop(PART), key)
+            found.write.mode("append").parquet(done, compression=COMPRESSION)
+            files.delete(to_path(f"{split}/{PART}={part}"), True)
+    return spark.read.schema(found.schema).parquet(done)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _with_times(df: DataFrame, key: Sequence[str]) -> DataFrame:
     each = dedup_latest(df, (*key, LOADED_AT))
     columns = ", ".join(quoted(name) for name in key)
     following = (

@@ -10,13 +10,15 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators.canonical import canonical_all, dedup_latest
+from tallyloom.operators import history
+from tallyloom.operators.canonical import canonical_all, canonical_one, dedup_latest
 from tallyloom.operators.checks import Check
 from tallyloom.operators.history import as_of, changed_amounts, versions
 from tallyloom.operators.report import report
 from tallyloom.operators.sketches import column_sketches, described, measured_errors, merged_sketches
 from tallyloom.operators.stored_report import kept_counts, report_changed
 from tallyloom.plans import prefixed
+from tallyloom.queries import changes, feeds
 from tallyloom.sources import read_csv, with_load_time
 from tallyloom.sources.upsert import folder_values
 from tallyloom.streaming.ingest import feed_stream, ingest_stream
@@ -86,6 +88,46 @@ def test_a_new_check_reads_all_and_a_known_one_nothing(spark, folder):
 # History.
 
 
+def shuffle_files(spark):
+    """The shuffle files that the session's disk holds now."""
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in held.mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_versions_in_parts(spark, scratch, monkeypatch):
+    rows = [(f"k{i % 13}", None if i % 5 == 0 else 1 + i % 7, float(i * i % 17)) for i in range(120)]
+    known = charges(spark, *rows, (None, 3, 7.0), (None, 6, 8.0), (None, None, 9.0))
+    want = versions(known, ["k"])
+    monkeypatch.setattr(history, "PARTS", 3)
+    work, before = f"{scratch}/{uuid.uuid4().hex}", shuffle_files(spark)
+    found = versions(known, ["k"], work, 1)
+    assert not shuffle_files(spark) - before  # each part's went with it
+    assert os.path.isdir(f"{work}/versions") and not [n for n in os.listdir(f"{work}/rows") if n.startswith(history.PART)]
+    same(found, want)
+    assert versions(known.limit(0), ["k"], f"{work}-none", 1).count() == 0
+
+
+def test_few_rows_are_not_written(spark, scratch):
+    work = f"{scratch}/{uuid.uuid4().hex}"
+    assert versions(spark.range(3).selectExpr("id as k", "timestamp_ntz'2024-01-01 00:00:00' as _loaded_at"), ["k"], work).count() == 3
+    assert not os.path.exists(work)
+
+
+def test_the_report_in_parts_and_narrow(spark, monkeypatch):
+    """The whole canonical rows, by shuffles of the columns that differ."""
+    data = "/root/testdata/sf0.001"
+    instants = [f"timestamp_ntz'{at} 00:00:00'" for at in ("1994-01-01", "1996-07-15", "2030-01-01")]
+    feed = prefixed.map_report(prefixed.stage_report(feeds.report(spark, data)))
+    want = as_of(versions(canonical_one(feed)), instants).drop("known_from", "known_to")
+    monkeypatch.setattr(changes, "versions", lambda df, key, work: versions(df, key, work, 100_000))
+    found = changes.charges_as_of(spark, data)
+    assert found.dtypes == want.dtypes
+    same(found, want)
+    (path,) = {os.path.dirname(f.removeprefix("file://")) for f in found.inputFiles()}
+    assert set(os.listdir(f"{path}/..")) == {"rows", "versions"}
+    assert len(spark.read.parquet(path).columns) < 24 < len(found.columns)
+
+
 def charges(spark, *values):
     full = [(k, None if day is None else dt.datetime(2024, 1, day), v) for k, day, v in values]
     return spark.createDataFrame(full, "k string, _loaded_at timestamp_ntz, BilledCost double").repartition(3)
